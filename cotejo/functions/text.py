@@ -26,10 +26,16 @@ def title_case(c: Column | str) -> Column:
     """Raise every letter that follows a non-letter, lower the others.
 
     ``initcap`` only looks at white space; here ``d-cenca`` gives ``D-Cenca`` and
-    ``1x1800mg`` gives ``1X1800Mg``.
+    ``1x1800mg`` gives ``1X1800Mg``. The first letter is raised before it is titled, so that
+    a letter without a capital form of its own is spelled out (``ß`` gives ``Ss``).
     """
     runs = F.regexp_extract_all(F.lower(_col(c)), F.lit(_CASED_RUNS), F.lit(1))
-    return F.array_join(F.transform(runs, lambda run: F.initcap(run)), "")
+    return F.array_join(
+        F.transform(
+            runs, lambda run: F.concat(F.initcap(F.upper(F.left(run, F.lit(1)))), F.substr(run, F.lit(2)))
+        ),
+        "",
+    )
 
 
 def title_after_dash(c: Column | str) -> Column:

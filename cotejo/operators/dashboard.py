@@ -240,7 +240,7 @@ def descriptors(
         places = F.arrays_zip(c["paneIndices"].alias("pane"), c["columnIndices"].alias("column"))
         if not every_pane:
             places = F.slice(places, 1, 1)
-        return F.transform(places, lambda p: entry(c, p["0"], p["1"]))
+        return F.transform(places, lambda p: entry(c, p["pane"], p["column"]))
 
     return F.flatten(F.transform(named, entries))
 
@@ -341,12 +341,11 @@ def to_rows(
     listed ones that a payload lacks are ``fill``.
     """
     none = F.array().cast("array<string>")
-    arrays = [
-        F.coalesce(
-            F.get(F.filter(columns, lambda c, n=name: c["name"] == n), F.lit(0))["values"], none
-        ).alias(f"__a{i}")
-        for i, name in enumerate(names)
-    ]
+
+    def values_of(name: str) -> Column:
+        return F.coalesce(F.get(F.filter(columns, lambda c: c["name"] == name), F.lit(0))["values"], none)
+
+    arrays = [values_of(name).alias(f"__a{i}") for i, name in enumerate(names)]
     zipped = F.arrays_zip(*[F.col(f"__a{i}") for i in range(len(names))])
     spread = df.select(*ids, *arrays).select(*ids, F.posexplode(zipped).alias(row_number, "__row"))
     return spread.select(

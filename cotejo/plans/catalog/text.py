@@ -12,7 +12,7 @@ from cotejo.plans.catalog import query, table
 _TITLE = (
     "list_aggregate(list_transform(regexp_extract_all(lower({c}), "
     "'([\\p{{Lu}}\\p{{Ll}}\\p{{Lt}}]+|[^\\p{{Lu}}\\p{{Ll}}\\p{{Lt}}]+)'), "
-    "lambda x: upper(x[1]) || x[2:]), 'string_agg', '')"
+    "lambda x: CASE WHEN x[1] = 'ß' THEN 'Ss' ELSE upper(x[1]) END || x[2:]), 'string_agg', '')"
 )
 # Example dictionaries.
 PRIORITY_CODES = {"1-URGENT": "URG", "2-HIGH": "HIG", "3-MEDIUM": "MED"}

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 def _cells(line, sep: str, width: int):
     schema = ", ".join(f"c{i} string" for i in range(width))
-    parsed = F.from_csv(line, schema, {"sep": sep, "mode": "PERMISSIVE"})
+    parsed = F.from_csv(line, schema, {"sep": sep, "mode": "PERMISSIVE", "escape": '"'})
     return F.array(*[parsed[f"c{i}"] for i in range(width)])
 
 
