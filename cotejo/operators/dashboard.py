@@ -91,28 +91,32 @@ def split_body(c: Column | str) -> Column:
     )
 
 
-def html_attributes(c: Column | str, tag: str, key: str, value: str) -> Column:
-    """Map of one attribute to another over all tags of a kind; the last of equal keys stays."""
-    c = _col(c)
-    tags = F.regexp_extract_all(c, F.lit(rf"(?is)(<{tag}\b[^>]*>)"), F.lit(1))
+def with_html_attributes(df: DataFrame, html: str, tag: str, key: str, value: str, into: str) -> DataFrame:
+    """Add a map of one attribute to another over all tags of a kind; the last of equal keys
+    stays.
+
+    The steps are columns of their own on purpose. An expression used inside a lambda is
+    evaluated for every element, so the search through the page must not stand there.
+    """
 
     def attribute(text: Column, name: str) -> Column:
         return F.regexp_extract(text, rf"(?is)\b{name}\s*=\s*[\"']([^\"']*)[\"']", 1)
 
-    entries = F.transform(
-        tags, lambda t: F.struct(attribute(t, key).alias("key"), attribute(t, value).alias("value"))
+    tags = F.regexp_extract_all(F.col(html), F.lit(rf"(?is)(<{tag}\b[^>]*>)"), F.lit(1))
+    found = df.withColumn("__tags", tags).withColumns(
+        {
+            "__keys": F.transform("__tags", lambda t: attribute(t, key)),
+            "__values": F.transform("__tags", lambda t: attribute(t, value)),
+        }
     )
-    positioned = F.transform(entries, lambda e, i: F.struct(e["key"].alias("key"), e["value"].alias("value"), i.alias("i")))
-    keys = F.array_distinct(F.transform(entries, lambda e: e["key"]))
-    return F.map_from_entries(
-        F.transform(
-            keys,
-            lambda k: F.struct(
-                k.alias("key"),
-                F.element_at(F.filter(positioned, lambda e: e["key"] == k), -1)["value"].alias("value"),
-            ),
-        )
+    entries = F.zip_with(
+        "__keys", "__values", lambda k, v: F.struct(k.alias("key"), v.alias("value"))
+    )
+    last = F.filter(
+        entries,
+        lambda e, i: ~F.array_contains(F.slice("__keys", i + 2, F.size("__keys")), e["key"]),
     )
+    return found.withColumn(into, F.map_from_entries(last)).drop("__tags", "__keys", "__values")
 
 
 def html_text_of(c: Column | str, tag: str, element_id: str | None = None) -> Column:
@@ -121,9 +125,9 @@ def html_text_of(c: Column | str, tag: str, element_id: str | None = None) -> Co
     return F.nullif(F.regexp_extract(_col(c), rf"(?is)<{tag}\b{where}>(.*?)</{tag}>", 1), F.lit(""))
 
 
-def html_params(c: Column | str) -> Column:
-    """``name`` -> ``value`` of the ``param`` tags."""
-    return html_attributes(c, "param", "name", "value")
+def with_html_params(df: DataFrame, html: str, into: str = "params") -> DataFrame:
+    """Add the map ``name`` -> ``value`` of the ``param`` tags."""
+    return with_html_attributes(df, html, "param", "name", "value", into)
 
 
 # ---- parsed documents ------------------------------------------------------------------
@@ -141,10 +145,16 @@ def parse_response(c: Column | str) -> Column:
     return F.from_json(_col(c), RESPONSE_SCHEMA)
 
 
-def worksheet_panes(data: Column) -> Column:
-    """Map worksheet name -> pane columns of a first (bootstrap) document."""
-    models = data["secondaryInfo"]["presModelMap"]["vizData"]["presModelHolder"]["genPresModelMapPresModel"]["presModelMap"]
-    return F.transform_values(models, lambda _, m: m["presModelHolder"]["genVizDataPresModel"]["paneColumnsData"])
+def data_models(data: Column) -> Column:
+    """Map worksheet name -> model of a first (bootstrap) document; its keys are the
+    worksheets."""
+    return data["secondaryInfo"]["presModelMap"]["vizData"]["presModelHolder"]["genPresModelMapPresModel"]["presModelMap"]
+
+
+def worksheet_panes(data: Column, worksheet: str) -> Column:
+    """Pane columns of one worksheet, null when it is missing or has no data."""
+    model = F.try_element_at(data_models(data), F.lit(worksheet))
+    return model["presModelHolder"]["genVizDataPresModel"]["paneColumnsData"]
 
 
 def data_segments(data: Column) -> Column:
@@ -279,75 +289,94 @@ def at_position(position: Column, values: Column, text: Column) -> Column:
     return F.when(position >= 0, F.get(values, position)).otherwise(F.get(text, F.abs(position) - 1))
 
 
-def _resolve(positions: Column, values: Column, text: Column) -> Column:
-    inside = F.filter(positions, lambda i: i < F.size(values))
-    return F.transform(inside, lambda i: at_position(i, values, text))
+def named_columns(columns: Column) -> Column:
+    """Array of (name, dataType, positions): the value and the alias column of each descriptor
+    that has positions.
 
-
-def resolved_columns(columns: Column, dictionary: Column) -> Column:
-    """Array of (name, values): each descriptor's value and alias columns, decoded.
-
-    Positions past the end of the dictionary are dropped, a data type without a dictionary is
-    looked up in the text dictionary. The first column of a caption is called
-    ``caption-value`` or ``caption-alias``, later ones ``caption-fn-value``; of several
-    columns with the same final name the last one stays.
+    The first column of a caption is called ``caption-value`` or ``caption-alias``, later ones
+    ``caption-fn-value``. Only names are compared here, no values are touched.
     """
-    none = F.array().cast("array<string>")
-    text = F.coalesce(F.try_element_at(dictionary, F.lit("cstring")), none)
-
-    def parts(d: Column) -> Column:
-        values = F.coalesce(F.try_element_at(dictionary, d["dataType"]), text)
-        return F.array(
-            *[
-                F.struct(
-                    d["fieldCaption"].alias("caption"),
-                    d["fn"].alias("fn"),
-                    F.lit(kind).alias("kind"),
-                    F.size(d[source]).alias("given"),
-                    _resolve(d[source], values, text).alias("values"),
-                )
-                for kind, source in (("value", "valueIndices"), ("alias", "aliasIndices"))
-            ]
-        )
-
-    decoded = F.filter(F.flatten(F.transform(columns, parts)), lambda p: p["given"] > 0)
-    short = F.transform(decoded, lambda p: F.concat_ws("-", p["caption"], p["kind"]))
-    named = F.transform(
-        decoded,
-        lambda p, i: F.struct(
-            F.when(
-                F.array_position(short, F.concat_ws("-", p["caption"], p["kind"])) == i + 1,
-                F.concat_ws("-", p["caption"], p["kind"]),
+    parts = F.filter(
+        F.flatten(
+            F.transform(
+                columns,
+                lambda d: F.array(
+                    *[
+                        F.struct(
+                            F.concat_ws("-", d["fieldCaption"], F.lit(kind)).alias("short"),
+                            F.concat_ws("-", d["fieldCaption"], d["fn"], F.lit(kind)).alias("long"),
+                            d["dataType"].alias("dataType"),
+                            d[source].alias("positions"),
+                        )
+                        for kind, source in (("value", "valueIndices"), ("alias", "aliasIndices"))
+                    ]
+                ),
             )
-            .otherwise(F.concat_ws("-", p["caption"], p["fn"], p["kind"]))
-            .alias("name"),
-            p["values"].alias("values"),
-            i.alias("i"),
         ),
+        lambda p: F.size(p["positions"]) > 0,
     )
-    last = F.filter(
-        named,
-        lambda p: ~F.exists(named, lambda q: (q["name"] == p["name"]) & (q["i"] > p["i"])),
+    names = F.transform(parts, lambda p: p["short"])
+    return F.transform(
+        parts,
+        lambda p, i: F.struct(
+            F.when(F.array_position(names, p["short"]) == i + 1, p["short"]).otherwise(p["long"]).alias("name"),
+            p["dataType"].alias("dataType"),
+            p["positions"].alias("positions"),
+        ),
     )
-    return F.transform(last, lambda p: F.struct(p["name"].alias("name"), p["values"].alias("values")))
 
 
-def to_rows(
-    df: DataFrame, ids: Sequence[str], columns: str, names: Sequence[str], row_number: str = "row_no", fill: str = "0"
+def decode_columns(
+    df: DataFrame,
+    ids: Sequence[str],
+    named: str,
+    dictionary: str,
+    names: Sequence[str],
+    row_number: str = "row_no",
+    fill: str = "0",
 ) -> DataFrame:
-    """Decoded columns to rows, side by side; missing cells become ``fill``.
+    """Flat table out of named position arrays and a dictionary map, columns side by side.
 
-    ``names`` lists the output columns: names found in a payload but not listed are left out,
-    listed ones that a payload lacks are ``fill``.
+    Positions past the end of the dictionary are dropped, a data type without a dictionary is
+    looked up in the text dictionary, missing cells become ``fill``. ``names`` lists the
+    output columns, and only these are decoded; one that a payload lacks is ``fill``. Of
+    several columns with one name the last stays.
+
+    Each step is a set of columns: the lambdas of the last one refer to finished arrays.
     """
     none = F.array().cast("array<string>")
+    width = range(len(names))
 
-    def values_of(name: str) -> Column:
-        return F.coalesce(F.get(F.filter(columns, lambda c: c["name"] == name), F.lit(0))["values"], none)
+    def last_called(name: str) -> Column:
+        return F.try_element_at(F.filter(F.col(named), lambda c: c["name"] == name), F.lit(-1))
 
-    arrays = [values_of(name).alias(f"__a{i}") for i, name in enumerate(names)]
-    zipped = F.arrays_zip(*[F.col(f"__a{i}") for i in range(len(names))])
-    spread = df.select(*ids, *arrays).select(*ids, F.posexplode(zipped).alias(row_number, "__row"))
+    text = F.coalesce(F.try_element_at(F.col(dictionary), F.lit("cstring")), none)
+    picked = df.select(
+        *ids,
+        F.col(dictionary),
+        text.alias("__text"),
+        *[last_called(name).alias(f"__c{i}") for i, name in enumerate(names)],
+    )
+    located = picked.select(
+        *ids,
+        "__text",
+        *[F.coalesce(F.col(f"__c{i}")["positions"], F.array().cast("array<int>")).alias(f"__p{i}") for i in width],
+        *[
+            F.coalesce(
+                F.try_element_at(F.col(dictionary), F.col(f"__c{i}")["dataType"]), F.col("__text")
+            ).alias(f"__v{i}")
+            for i in width
+        ],
+    )
+
+    def decoded(i: int) -> Column:
+        values, positions = F.col(f"__v{i}"), F.col(f"__p{i}")
+        inside = F.filter(positions, lambda at: at < F.size(values))
+        return F.transform(inside, lambda at: at_position(at, values, F.col("__text")))
+
+    resolved = located.select(*ids, *[decoded(i).alias(f"__a{i}") for i in width])
+    zipped = F.arrays_zip(*[F.col(f"__a{i}") for i in width])
+    spread = resolved.select(*ids, F.posexplode(zipped).alias(row_number, "__row"))
     return spread.select(
         *ids,
         row_number,
@@ -368,16 +397,15 @@ def decode_worksheet(
 
     ``persisted`` is a column with the segment map of the session, where there is one.
     """
-    data = df.select(*ids, *([persisted] if persisted else []), parse_data(payload).alias("__d"))
-    parsed = data.select(
+    kept = [persisted] if persisted else []
+    data = df.select(*ids, *kept, parse_data(payload).alias("__d"))
+    opened = data.select(
         *ids,
-        descriptors(F.try_element_at(worksheet_panes(F.col("__d")), F.lit(worksheet))).alias("__columns"),
-        value_dictionary(
-            data_segments(F.col("__d")), F.col(persisted) if persisted else None
-        ).alias("__dictionary"),
+        *kept,
+        worksheet_panes(F.col("__d"), worksheet).alias("__panes"),
+        data_segments(F.col("__d")).alias("__segments"),
     )
-    resolved = parsed.select(*ids, resolved_columns(F.col("__columns"), F.col("__dictionary")).alias("__r"))
-    return to_rows(resolved, ids, "__r", names, row_number)
+    return _decode_opened(opened, ids, True, names, persisted, row_number)
 
 
 def decode_response(
@@ -390,33 +418,37 @@ def decode_response(
     row_number: str = "row_no",
 ) -> DataFrame:
     """The same out of command responses; zones of a story are used when there are no others."""
-    data = df.select(*ids, *([persisted] if persisted else []), parse_response(payload).alias("__d"))
+    kept = [persisted] if persisted else []
+    data = df.select(*ids, *kept, parse_response(payload).alias("__d"))
     zones = response_zones(F.col("__d"))
-    panes = F.get(
-        F.filter(
-            F.concat(zone_panes(zones), zone_panes(story_zones(zones))),
-            lambda z: z["worksheet"] == worksheet,
-        ),
-        F.lit(0),
-    )["panes"]
-    parsed = data.select(
+    found = F.filter(
+        F.concat(zone_panes(zones), zone_panes(story_zones(zones))), lambda z: z["worksheet"] == worksheet
+    )
+    opened = data.select(
+        *ids,
+        *kept,
+        F.get(found, F.lit(0))["panes"].alias("__panes"),
+        response_segments(F.col("__d")).alias("__segments"),
+    )
+    return _decode_opened(opened, ids, False, names, persisted, row_number)
+
+
+def _decode_opened(opened, ids, every_pane, names, persisted, row_number):
+    parsed = opened.select(
         *ids,
-        descriptors(panes, every_pane=False).alias("__columns"),
-        value_dictionary(
-            response_segments(F.col("__d")), F.col(persisted) if persisted else None
-        ).alias("__dictionary"),
+        named_columns(descriptors(F.col("__panes"), every_pane)).alias("__named"),
+        value_dictionary(F.col("__segments"), F.col(persisted) if persisted else None).alias("__dictionary"),
     )
-    resolved = parsed.select(*ids, resolved_columns(F.col("__columns"), F.col("__dictionary")).alias("__r"))
-    return to_rows(resolved, ids, "__r", names, row_number)
+    return decode_columns(parsed, ids, "__named", "__dictionary", names, row_number)
 
 
 def decode_flat(
     df: DataFrame, ids: Sequence[str], columns: str, dictionary: str, names: Sequence[str], row_number: str = "row_no"
 ) -> DataFrame:
     """Downloaded data: position arrays given flat per column, next to a dictionary map."""
-    named = F.filter(F.col(columns), lambda c: F.coalesce(c["fieldCaption"], F.lit("")) != "")
-    resolved = df.select(*ids, resolved_columns(named, F.col(dictionary)).alias("__r"))
-    return to_rows(resolved, ids, "__r", names, row_number)
+    captioned = F.filter(F.col(columns), lambda c: F.coalesce(c["fieldCaption"], F.lit("")) != "")
+    parsed = df.select(*ids, named_columns(captioned).alias("__named"), dictionary)
+    return decode_columns(parsed, ids, "__named", dictionary, names, row_number)
 
 
 # ---- catalogues ------------------------------------------------------------------------

@@ -80,37 +80,33 @@ def crosstab_to_long(
     A sheet is one row of the table, so the work is local to it and nothing is shuffled.
     """
     sheet = F.col(rows)
-    years = F.filter(sheet[0], lambda cell: F.trim(cell).rlike("^[0-9]+$"))
-    names = F.slice(sheet[1], drop_columns + 1, F.greatest(F.size(sheet[1]) - drop_columns, F.lit(0)))
-    months = F.slice(sheet, first_data_row + 1, 12)
+    width = F.greatest(F.size(sheet[1]) - drop_columns, F.lit(0))
+    by_month = df.select(
+        *ids,
+        F.filter(sheet[0], lambda cell: F.trim(cell).rlike("^[0-9]+$")).alias("__years"),
+        F.slice(sheet[1], drop_columns + 1, width).alias("__names"),
+        F.posexplode(F.slice(sheet, first_data_row + 1, 12)).alias("__month", "__cells"),
+    )
 
     def of_measure(metric: str, pattern: str) -> Column:
         positions = F.filter(
-            F.transform(names, lambda name, i: F.when(name.rlike(pattern), i)), lambda i: i.isNotNull()
+            F.transform("__names", lambda name, i: F.when(name.rlike(pattern), i)), lambda i: i.isNotNull()
         )
-        return F.flatten(
-            F.transform(
-                positions,
-                lambda position, k: F.transform(
-                    months,
-                    lambda cells, m: F.struct(
-                        F.get(years, k).alias("year"),
-                        (m + 1).alias("month"),
-                        F.lit(metric).alias("Metric"),
-                        F.get(cells, position + drop_columns).alias("text"),
-                    ),
-                ),
-            )
+        return F.transform(
+            positions,
+            lambda position, k: F.struct(
+                F.get("__years", k).alias("year"),
+                F.lit(metric).alias("Metric"),
+                F.get("__cells", position + drop_columns).alias("text"),
+            ),
         )
 
     cells = F.concat(*[of_measure(metric, pattern) for metric, pattern in measures.items()])
-    # `inline` needs the array as a column of its own: it then stays one projection.
     return (
-        df.select(*ids, cells.alias("__cells"))
-        .select(*ids, F.inline("__cells"))
+        by_month.select(*ids, "__month", F.inline(cells))
         .select(
             *ids,
-            month_from_parts("year", "month").alias("Date"),
+            month_from_parts("year", F.col("__month") + 1).alias("Date"),
             "Metric",
             F.regexp_replace("text", "[$,]", "").try_cast("double").alias("Value"),
         )
@@ -132,12 +128,9 @@ def densify_months(
     The monthly sums of a series are at most one row per calendar month; they are gathered
     into one row per series and filled there, without a join to a calendar.
     """
-    filled = gather_series(df, series, month, value, until, exact)
-    return filled.select(
-        *series,
-        F.posexplode("__values").alias("__t", value),
-        "__first",
-    ).select(*series, F.add_months("__first", F.col("__t")).alias(month), value)
+    gathered = gather_series(df, series, month, value, until, exact)
+    filled = fill_months(F.col("__by_month"), month_range("__first", "__until"))
+    return gathered.select(*series, F.explode(filled).alias(month, value))
 
 
 def gather_series(
@@ -147,23 +140,22 @@ def gather_series(
     value: str,
     until: Column | None = None,
     exact: str | None = None,
+    **sums: Column,
 ) -> DataFrame:
-    """One row per series: ``__first`` month, ``__values`` array of the filled monthly sums."""
+    """One row per series: the map ``__by_month`` of its monthly sums, its ``__first`` month,
+    the last month ``__until`` of the whole table, and further aggregates over the sums."""
     if until is None:
         until = df.agg(F.max(month)).scalar()
     monthly = group_sum(df, [*series, month], [value], exact)
     gathered = monthly.groupBy(*series).agg(
         F.map_from_entries(F.collect_list(F.struct(month, value))).alias("__by_month"),
         F.min(month).alias("__first"),
+        *[column.alias(name) for name, column in sums.items()],
     )
-    # The bound is a column of its own: a scalar subquery may not stand inside a lambda.
-    gathered = gathered.withColumn("__until", until)
-    zero = F.lit(0).cast(monthly.schema[value].dataType)
-    return gathered.select(
-        *series,
-        "__first",
-        F.transform(
-            month_range("__first", "__until"),
-            lambda m: F.coalesce(F.try_element_at("__by_month", m), zero),
-        ).alias("__values"),
-    )
+    return gathered.withColumn("__until", until)
+
+
+def fill_months(by_month: Column, months: Column) -> Column:
+    """The map with an entry for every one of ``months``, 0 where there was none."""
+    zeros = F.map_from_arrays(months, F.array_repeat(F.lit(0), F.size(months)))
+    return F.map_zip_with(by_month, zeros, lambda _, v, zero: F.coalesce(v, zero))

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cotejo.functions.text import _col
-from cotejo.operators.reshape import gather_series
+from cotejo.functions.dates import month_range
+from cotejo.operators.reshape import fill_months, gather_series
 
 
 def series_of(df: DataFrame, series: Sequence[str]) -> DataFrame:
@@ -28,44 +29,41 @@ def outlier(value: Column | str, prediction: Column | str, upper: float = 1.10,
     return F.coalesce((p > F.lit(upper) * v) | (p < F.lit(lower) * v), F.lit(False))
 
 
-def _sum(values: Column) -> Column:
-    return F.aggregate(values, F.lit(0).cast("decimal(38,2)"), lambda acc, v: (acc + v).cast("decimal(38,2)"))
+# The arithmetic of the fit as SQL text: it is long, and text is planned in one call.
+def _add_line(df: DataFrame, n: str, sum_y: str, sum_ty: str, name: str) -> DataFrame:
+    """Add the least squares line over the positions 0 .. n-1 as ``name_slope``, ``name_level``.
 
-
-def _line(values: Column, n: Column) -> tuple[Column, Column]:
-    """Least squares line over the positions 0 .. n-1: (level, slope); slope 0 for one point.
-
-    The sums are exact decimals and the position sums are closed forms, so the line does not
-    depend on the order in which values were gathered.
+    ``sum_y`` and ``sum_ty`` are the sums of the values and of position times value; the sums
+    of the positions are closed forms, because months are dense. A single point has slope 0.
     """
-    train = F.slice(values, 1, n)
-    steps = n.cast("double")
-    sum_t = steps * (steps - 1) / 2
-    sum_tt = (steps - 1) * steps * (2 * steps - 1) / 6
-    sum_y = _sum(train).cast("double")
-    sum_ty = _sum(F.transform(train, lambda v, i: (v * i).cast("decimal(38,2)"))).cast("double")
-    slope = F.coalesce(
-        F.try_divide(steps * sum_ty - sum_t * sum_y, steps * sum_tt - sum_t * sum_t), F.lit(0.0)
+    k, y, ty = f"{name}_n", f"{name}_y", f"{name}_ty"
+    sum_t, sum_tt = f"({k} * ({k} - 1) / 2)", f"(({k} - 1) * {k} * (2 * {k} - 1) / 6)"
+    return (
+        df.selectExpr("*", f"double({n}) AS {k}", f"double({sum_y}) AS {y}", f"double({sum_ty}) AS {ty}")
+        .selectExpr(
+            "*",
+            f"coalesce(try_divide({k} * {ty} - {sum_t} * {y}, {k} * {sum_tt} - {sum_t} * {sum_t}), 0D)"
+            f" AS {name}_slope",
+        )
+        .selectExpr("*", f"try_divide({y} - {name}_slope * {sum_t}, {k}) AS {name}_level")
     )
-    return F.try_divide(sum_y - slope * sum_t, steps), slope
 
 
-def _seasonal(values: Column, n: Column, target: Column, level: Column, slope: Column) -> Column:
-    """Mean distance from the line of the training months with the calendar month of
-    ``target``; 0 when there is none. Months are dense, so these are every twelfth."""
-    positions = F.filter(
-        F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))), lambda i: F.pmod(target - i, F.lit(12)) == 0
+def _add_guess(df: DataFrame, line: str, n: str, target: str, without: str, name: str) -> DataFrame:
+    """Add the prediction for a position: the line, plus the mean distance from it of the
+    fitted positions with the same calendar month. A calendar month that has not occurred
+    adds nothing. ``without`` is what the fit leaves out of that month's sum."""
+    first, c = f"pmod({target}, 12)", f"{name}_count"
+    level, slope = f"{line}_level", f"{line}_slope"
+    return df.selectExpr(
+        "*",
+        f"double(if({first} < {n}, floor(({n} - 1 - {first}) / 12) + 1, 0)) AS {c}",
+        f"double(get(__calendar, month(add_months(__first, {target})) - 1) - {without}) AS {name}_sum",
+    ).selectExpr(
+        "*",
+        f"{level} + {slope} * double({target}) + coalesce(try_divide({name}_sum - {level} * {c}"
+        f" - {slope} * ({first} * {c} + 6 * {c} * ({c} - 1)), {c}), 0D) AS {name}",
     )
-    usable = F.filter(positions, lambda i: i < n)
-    count = F.size(usable).cast("double")
-    sum_y = _sum(F.transform(usable, lambda i: F.get(values, i))).cast("double")
-    sum_t = F.aggregate(usable, F.lit(0), lambda acc, i: acc + i).cast("double")
-    return F.coalesce(F.try_divide(sum_y - level * count - slope * sum_t, count), F.lit(0.0))
-
-
-def _predict(values: Column, n: Column, target: Column) -> Column:
-    level, slope = F.col("__level"), F.col("__slope")
-    return level + slope * target.cast("double") + _seasonal(values, n, target, level, slope)
 
 
 def forecast(
@@ -81,41 +79,61 @@ def forecast(
     """History of every series with a prediction for its last month, and ``horizon`` months
     more.
 
-    Each series is extended with zeros to the last month of the table. The line and the
-    calendar month means are fitted on all months but the last to predict the last one
+    Each series is extended with zeros to the last month of the table. A line and the means
+    of the calendar months are fitted on all months but the last to predict the last one
     (rounded up), and on all months to predict the following ones. A series of one month has
-    no prediction for it. Values are summed exactly, in decimals of two digits.
+    no prediction for it.
+
+    Everything the fit needs is a sum over the months that have rows, zeros add nothing. So
+    the models of all series are one grouped aggregation, in exact decimals of two digits,
+    and predictions are arithmetic on its result.
     """
-    s = gather_series(df, series, month, value, until, exact="decimal(18,2)")
-    s = s.withColumn("__n", F.size("__values"))
-    v, n = F.col("__values"), F.col("__n")
-
-    def fitted(frame: DataFrame, months: Column, suffix: str, targets: Column) -> DataFrame:
-        level, slope = _line(v, months)
-        frame = frame.withColumns({"__level": level, "__slope": slope})
-        guess = F.transform(targets, lambda t: _predict(v, months, t))
-        return frame.withColumn(suffix, guess).drop("__level", "__slope")
-
-    s = fitted(s, n - 1, "__holdout", F.array(n - 1))
-    s = fitted(s, n, "__future", F.transform(F.sequence(F.lit(0), F.lit(horizon - 1)), lambda k: n + k))
-    history = F.transform(
-        v,
-        lambda y, t: F.struct(
-            F.add_months("__first", t).alias(month),
-            y.cast("double").alias(value),
-            F.when(t == n - 1, F.ceil(F.col("__holdout")[0]).cast("double")).alias(prediction),
-        ),
+    bound = until if until is not None else df.agg(F.max(month)).scalar()
+    y, index = f"`{value}`", f"(year(`{month}`) * 12 + month(`{month}`))"
+    by_calendar = ", ".join(
+        f"coalesce(sum({y}) FILTER (WHERE month(`{month}`) = {m}), 0)" for m in range(1, 13)
+    )
+    s = gather_series(
+        df, series, month, value, bound, "decimal(18,2)",
+        __sum=F.expr(f"sum({y})"),
+        __sum_at=F.expr(f"sum({y} * {index})"),
+        __last=F.coalesce(F.sum(F.when(F.col(month) == bound, F.col(value))), F.lit(0)),
+        __calendar=F.expr(f"array({by_calendar})"),
+    )
+    origin = "(year(__first) * 12 + month(__first))"
+    s = s.selectExpr(
+        "*",
+        f"year(__until) * 12 + month(__until) - {origin} + 1 AS __n",
+        f"__sum_at - {origin} * __sum AS __sum_t",
+    )
+    # Steps as columns: an expression that is used twice is then computed once.
+    s = _add_line(s, "__n - 1", "__sum - __last", "__sum_t - (__n - 1) * __last", "__train")
+    s = _add_line(s, "__n", "__sum", "__sum_t", "__whole")
+    s = _add_guess(s, "__train", "(__n - 1)", "(__n - 1)", "__last", "__next")
+    for k in range(horizon):
+        s = _add_guess(s, "__whole", "__n", f"(__n + {k})", "0", f"__ahead_{k}")
+    row = (
+        f"named_struct('{month}', {{}}, '{value}', cast({{}} AS decimal(38, 2)), "
+        f"'{prediction}', cast({{}} AS double))"
+    )
+    ahead = ", ".join(
+        row.format(f"add_months(__until, {k + 1})", "null", f"__ahead_{k}") for k in range(horizon)
     )
-    ahead = F.transform(
-        F.col("__future"),
-        lambda p, k: F.struct(
-            F.add_months("__first", n + k).alias(month),
-            F.lit(None).cast("double").alias(value),
-            p.alias(prediction),
-        ),
+    filled = fill_months(F.col("__by_month"), month_range("__first", "__until"))
+    s = s.withColumn("__filled", F.map_entries(filled))
+    history = f"transform(__filled, e -> {row.format('e.key', 'e.value', 'null')})"
+    rows = s.selectExpr(
+        *[f"`{c}`" for c in series],
+        "__until",
+        "ceil(__next) AS __holdout",
+        f"inline(concat({history}, array({ahead})))",
     )
-    rows = s.select(*series, F.concat(history, ahead).alias("__rows"))
-    return rows.select(*series, F.inline("__rows")).withColumn(flag, outlier(value, prediction))
+    return rows.selectExpr(
+        *[f"`{c}`" for c in series],
+        f"`{month}`",
+        f"double(`{value}`) AS `{value}`",
+        f"if(`{month}` = __until, double(__holdout), `{prediction}`) AS `{prediction}`",
+    ).withColumn(flag, outlier(value, prediction))
 
 
 def forecast_with(
@@ -157,7 +175,7 @@ def forecast_with(
         for batch in batches:
             for row in batch.itertuples(index=False):
                 record = dict(zip(batch.columns, row))
-                values = [float(x) for x in record["__values"]]
+                values = list(record["__values"])
                 n = len(values)
                 frame = features(record["__first"], n + horizon)
                 frame["value"] = values + [float("nan")] * horizon
@@ -173,7 +191,9 @@ def forecast_with(
                 out[prediction] = guess
                 yield out
 
-    plain = gathered.withColumn("__values", F.transform("__values", lambda v: v.cast("double")))
+    filled = F.map_entries(fill_months(F.col("__by_month"), month_range("__first", "__until")))
+    ordered = F.transform(F.array_sort(filled), lambda e: e["value"].cast("double"))
+    plain = gathered.select(*keys, "__first", ordered.alias("__values"))
     predicted = plain.mapInPandas(per_batch, schema)
     missing = lambda c: F.when(~F.isnan(c), F.col(c)).alias(c)
     return predicted.select(*keys, month, missing(value), missing(prediction)).withColumn(

@@ -59,17 +59,14 @@ def _document_parts(spark, folder):
         "doc_id", "lang", "source", F.split("text", "\n").alias("lines")
     )
     lengths = F.transform("lines", lambda line: F.length(line).cast("string"))
-    # Positions by a map instead of a search per line, for documents of many lines.
-    positions = lambda values: F.map_from_arrays(
-        values, F.transform(values, lambda _, i: i)
-    )
     staged = documents.withColumns(
         {"words": F.array_distinct("lines"), "lengths": lengths, "numbers": F.array_distinct(lengths)}
-    ).withColumns({"word_at": positions(F.col("words")), "number_at": positions(F.col("numbers"))})
+    )
+    found = lambda values, v: F.array_position(values, v).cast("int") - 1
     return staged.withColumns(
         {
-            "line_index": F.transform("lines", lambda line: F.col("word_at")[line]),
-            "length_index": F.transform("lengths", lambda n: F.col("number_at")[n]),
+            "line_index": F.transform("lines", lambda line: found("words", line)),
+            "length_index": F.transform("lengths", lambda n: found("numbers", n)),
         }
     )
 
@@ -272,7 +269,8 @@ def value_dictionary(spark, folder):
 )
 def column_descriptors(spark, folder):
     parsed = _documents(spark, folder).select("doc_id", dashboard.parse_data("payload").alias("d"))
-    panes = F.try_element_at(dashboard.worksheet_panes(F.col("d")), F.lit("[LINES]"))
+    parsed = parsed.select("doc_id", dashboard.worksheet_panes(F.col("d"), "[LINES]").alias("panes"))
+    panes = F.col("panes")
     selected = F.transform(
         dashboard.descriptors(panes, auto_select_only=True), lambda c: c["columnIndices"]
     )
@@ -550,12 +548,9 @@ def value_position(spark, folder):
 )
 def html_params(spark, folder):
     """Attributes of tags out of whole pages, the title beside them."""
-    pages = table(spark, folder, "pages")
-    return pages.select(
-        "page_id",
-        dashboard.html_text_of("html", "title").alias("title"),
-        F.explode(dashboard.html_attributes("html", "a", "href", "href")).alias("name", "value"),
-    )
+    pages = table(spark, folder, "pages").withColumn("title", dashboard.html_text_of("html", "title"))
+    linked = dashboard.with_html_attributes(pages, "html", "a", "href", "href", "links")
+    return linked.select("page_id", "title", F.explode("links").alias("name", "value"))
 
 
 @query(

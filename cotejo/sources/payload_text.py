@@ -8,10 +8,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _cells(line, sep: str, width: int):
+def _parsed(line, sep: str, width: int):
     schema = ", ".join(f"c{i} string" for i in range(width))
-    parsed = F.from_csv(line, schema, {"sep": sep, "mode": "PERMISSIVE", "escape": '"'})
-    return F.array(*[parsed[f"c{i}"] for i in range(width)])
+    return F.from_csv(line, schema, {"sep": sep, "mode": "PERMISSIVE", "escape": '"'})
+
+
+def _cells(parsed: str, width: int):
+    return F.array(*[F.col(parsed)[f"c{i}"] for i in range(width)])
 
 
 def text_to_table(
@@ -31,15 +34,16 @@ def text_to_table(
     """
     width = width or len(columns)
     lines = F.filter(F.split(F.col(text), "\r?\n"), lambda line: F.length(line) > 0)
-    exploded = df.select(*ids, lines.alias("__lines")).select(
-        *ids,
-        _cells(F.get("__lines", F.lit(0)), sep, width).alias("__head"),
-        F.posexplode(F.slice("__lines", 2, F.greatest(F.size("__lines") - 1, F.lit(0)))).alias(
-            row_number, "__line"
-        ),
+    # A line is parsed in one step and taken apart in the next, so that it is parsed once.
+    headed = df.select(*ids, lines.alias("__lines")).select(
+        *ids, "__lines", _parsed(F.get("__lines", F.lit(0)), sep, width).alias("__first")
+    )
+    body = F.slice("__lines", 2, F.greatest(F.size("__lines") - 1, F.lit(0)))
+    exploded = headed.select(
+        *ids, _cells("__first", width).alias("__head"), F.posexplode(body).alias(row_number, "__line")
     )
-    cells = exploded.withColumn("__cells", _cells(F.col("__line"), sep, width))
-    return cells.select(
+    parsed = exploded.select(*ids, row_number, "__head", _parsed(F.col("__line"), sep, width).alias("__row"))
+    return parsed.select(*ids, row_number, "__head", _cells("__row", width).alias("__cells")).select(
         *ids,
         row_number,
         *[
