@@ -14,8 +14,17 @@ WHITESPACE = (
     + "\u2028\u2029\u202f\u205f\u3000"
 )
 
+_CASED = r"\p{Lu}\p{Ll}\p{Lt}"
 # Runs of cased letters, and the runs between them.
-_CASED_RUNS = r"([\p{Lu}\p{Ll}\p{Lt}]+|[^\p{Lu}\p{Ll}\p{Lt}]+)"
+_CASED_RUNS = f"([{_CASED}]+|[^{_CASED}]+)"
+# Places where a word begins that does not follow a blank.
+_INNER_WORD = f"(?<=[^{_CASED} ])(?=[{_CASED}])"
+# A character that never stands in text (Unicode noncharacter), before a blank.
+_MARK = "\uffff "
+# Blocks with letters whose capital form is longer than themselves.
+_LONG_CAPITALS = (
+    r"[\u00df\u0149\u01f0\u0390\u03b0\u0587\u1e96-\u1e9a\u1f50-\u1f57\u1f80-\u1fff\ufb00-\ufb17\uffff]"
+)
 
 
 def _col(c: Column | str) -> Column:
@@ -25,17 +34,23 @@ def _col(c: Column | str) -> Column:
 def title_case(c: Column | str) -> Column:
     """Raise every letter that follows a non-letter, lower the others.
 
-    ``initcap`` only looks at white space; here ``d-cenca`` gives ``D-Cenca`` and
-    ``1x1800mg`` gives ``1X1800Mg``. The first letter is raised before it is titled, so that
-    a letter without a capital form of its own is spelled out (``ß`` gives ``Ss``).
+    ``initcap`` only looks at blanks; here ``d-cenca`` gives ``D-Cenca`` and ``1x1800mg``
+    gives ``1X1800Mg``. A marked blank is put before each inner word, ``initcap`` does the
+    rest, and the marks are taken out again: three string functions, all in generated code.
+    Texts with letters that have no capital of their own (``ß`` gives ``Ss``) go the longer
+    way over the runs of letters.
     """
-    runs = F.regexp_extract_all(F.lower(_col(c)), F.lit(_CASED_RUNS), F.lit(1))
-    return F.array_join(
+    low = F.lower(_col(c))
+    marked = F.regexp_replace(low, _INNER_WORD, _MARK)
+    short = F.replace(F.initcap(marked), F.lit(_MARK), F.lit(""))
+    runs = F.regexp_extract_all(low, F.lit(_CASED_RUNS), F.lit(1))
+    long = F.array_join(
         F.transform(
             runs, lambda run: F.concat(F.initcap(F.upper(F.left(run, F.lit(1)))), F.substr(run, F.lit(2)))
         ),
         "",
     )
+    return F.when(low.rlike(_LONG_CAPITALS), long).otherwise(short)
 
 
 def title_after_dash(c: Column | str) -> Column:

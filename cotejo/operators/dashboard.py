@@ -289,9 +289,9 @@ def at_position(position: Column, values: Column, text: Column) -> Column:
     return F.when(position >= 0, F.get(values, position)).otherwise(F.get(text, F.abs(position) - 1))
 
 
-def named_columns(columns: Column) -> Column:
-    """Array of (name, dataType, positions): the value and the alias column of each descriptor
-    that has positions.
+def name_columns(df: DataFrame, ids: Sequence[str], columns: Column, kept: Sequence[str], into: str) -> DataFrame:
+    """Add the array (name, dataType, positions) of the value and the alias column of each
+    descriptor that has positions.
 
     The first column of a caption is called ``caption-value`` or ``caption-alias``, later ones
     ``caption-fn-value``. Only names are compared here, no values are touched.
@@ -315,15 +315,19 @@ def named_columns(columns: Column) -> Column:
         ),
         lambda p: F.size(p["positions"]) > 0,
     )
-    names = F.transform(parts, lambda p: p["short"])
-    return F.transform(
-        parts,
+    # The parts are a column before they are compared with each other.
+    listed = df.select(*ids, *kept, parts.alias("__parts"))
+    named = F.transform(
+        "__parts",
         lambda p, i: F.struct(
-            F.when(F.array_position(names, p["short"]) == i + 1, p["short"]).otherwise(p["long"]).alias("name"),
+            F.when(F.array_position(F.col("__parts.short"), p["short"]) == i + 1, p["short"])
+            .otherwise(p["long"])
+            .alias("name"),
             p["dataType"].alias("dataType"),
             p["positions"].alias("positions"),
         ),
     )
+    return listed.select(*ids, *kept, named.alias(into))
 
 
 def decode_columns(
@@ -434,11 +438,10 @@ def decode_response(
 
 
 def _decode_opened(opened, ids, every_pane, names, persisted, row_number):
-    parsed = opened.select(
-        *ids,
-        named_columns(descriptors(F.col("__panes"), every_pane)).alias("__named"),
-        value_dictionary(F.col("__segments"), F.col(persisted) if persisted else None).alias("__dictionary"),
-    )
+    dictionary = value_dictionary(F.col("__segments"), F.col(persisted) if persisted else None)
+    parsed = opened.select(*ids, "__panes", dictionary.alias("__dictionary"))
+    columns = descriptors(F.col("__panes"), every_pane)
+    parsed = name_columns(parsed, ids, columns, ["__dictionary"], "__named")
     return decode_columns(parsed, ids, "__named", "__dictionary", names, row_number)
 
 
@@ -447,7 +450,7 @@ def decode_flat(
 ) -> DataFrame:
     """Downloaded data: position arrays given flat per column, next to a dictionary map."""
     captioned = F.filter(F.col(columns), lambda c: F.coalesce(c["fieldCaption"], F.lit("")) != "")
-    parsed = df.select(*ids, named_columns(captioned).alias("__named"), dictionary)
+    parsed = name_columns(df, ids, captioned, [dictionary], "__named")
     return decode_columns(parsed, ids, "__named", dictionary, names, row_number)
 
 

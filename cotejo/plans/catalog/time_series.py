@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from cotejo.functions.dates import month_start
 from cotejo.functions.numbers import MONEY
 from cotejo.operators import reshape, series
-from cotejo.operators.reconcile import side_by_side
+from cotejo.operators.aggregates import group_sum
 from cotejo.plans.catalog import query, table
 from cotejo.sources.payload_text import text_to_rows
 
@@ -120,15 +120,17 @@ def forecast_outliers(spark, folder):
     """,
 )
 def outlier_rule(spark, folder):
-    """The value of the year before as prediction; the shifted series is stacked on the series,
-    so that no join is needed."""
+    """The value of the year before as prediction. Each month gives one row for itself and one
+    for the month a year later, and these are summed: no join of the series with itself."""
     dense = reshape.densify_months(_monthly(spark, folder), SERIES, "Date", "Value", exact=MONEY)
-    shifted = dense.withColumn("Date", F.add_months("Date", 12))
-    both = side_by_side({"Value": dense, "Prediction": shifted.select(*dense.columns)}, [*SERIES, "Date"])
-    both = both.filter(F.col("Value").isNotNull()).withColumns(
-        {c: F.col(c).cast("double") for c in ("Value", "Prediction")}
+    own = "named_struct('Date', Date, 'Value', double(Value), 'Prediction', double(null))"
+    later = "named_struct('Date', add_months(Date, 12), 'Value', double(null), 'Prediction', double(Value))"
+    both = (
+        dense.selectExpr(*SERIES, f"inline(array({own}, {later}))")
+        .groupBy(*SERIES, "Date")
+        .agg(F.max("Value").alias("Value"), F.max("Prediction").alias("Prediction"))
     )
-    return both.withColumn("isOutlier", series.outlier("Value", "Prediction"))
+    return both.filter(F.col("Value").isNotNull()).withColumn("isOutlier", series.outlier("Value", "Prediction"))
 
 
 YEARS = list(range(1995, 2002))
@@ -151,34 +153,29 @@ YEARS = list(range(1995, 2002))
 )
 def crosstab_melt(spark, folder):
     """A year x month sheet per supplier, as tab separated text, back to a long fact."""
-    lines = table(spark, folder, "lineitem")
-    sums = [
-        F.sum(F.when(F.year("l_shipdate") == y, F.col(c).cast(MONEY))).cast("string").alias(f"{c}_{y}")
-        for y in YEARS
-        for c in ("l_quantity", "l_extendedprice")
-    ]
-    by_month = lines.groupBy(F.col("l_suppkey").alias("supplier"), F.month("l_shipdate").alias("month")).agg(*sums)
-    row = F.concat_ws(
-        "\t",
-        F.col("month").cast("string"),
-        *[F.coalesce(F.col(f"{c}_{y}"), F.lit("")) for y in YEARS for c in ("l_quantity", "l_extendedprice")],
+    lines = table(spark, folder, "lineitem").select(
+        F.col("l_suppkey").alias("supplier"),
+        F.date_format("l_shipdate", "yyyyMM").alias("month"),
+        "l_quantity",
+        "l_extendedprice",
     )
-    blank = "\t" * (2 * len(YEARS))
-    # At most twelve rows per sheet; a month without any row is a blank line.
-    body = F.concat_ws(
-        "\n",
-        F.transform(
-            F.sequence(F.lit(1), F.lit(12)),
-            lambda m: F.coalesce(F.try_element_at("__rows", m), F.concat(m.cast("string"), F.lit(blank))),
-        ),
+    sums = group_sum(lines, ["supplier", "month"], {"q": "l_quantity", "p": "l_extendedprice"}, MONEY)
+    # At most one entry per month of the seven years; a cell without an entry is blank.
+    cells = F.concat_ws("\t", F.col("q").cast("string"), F.col("p").cast("string"))
+    gathered = sums.groupBy("supplier").agg(
+        F.map_from_entries(F.collect_list(F.struct("month", cells.alias("cells")))).alias("cells")
     )
+    by_month = [
+        F.concat_ws(
+            "\t",
+            F.lit(str(m)),
+            *[F.coalesce(F.try_element_at("cells", F.lit(f"{y}{m:02}")), F.lit("\t")) for y in YEARS],
+        )
+        for m in range(1, 13)
+    ]
     years = "\t".join(["Mes"] + [f"{y}\t" for y in YEARS])
     names = "\t".join([""] + ["PIEZAS\tIMPORTE" for _ in YEARS])
-    sheets = (
-        by_month.groupBy("supplier")
-        .agg(F.map_from_entries(F.collect_list(F.struct("month", row.alias("row")))).alias("__rows"))
-        .select("supplier", F.concat(F.lit(f"{years}\n{names}\n\n"), body).alias("sheet"))
-    )
+    sheets = gathered.select("supplier", F.concat_ws("\n", F.lit(f"{years}\n{names}\n"), *by_month).alias("sheet"))
     rows = text_to_rows(sheets, ["supplier"], "sheet", "rows")
     return reshape.crosstab_to_long(
         rows, ["supplier"], "rows", {"Units": "PIEZAS", "MXN": "IMPORTE"}, drop_columns=1
