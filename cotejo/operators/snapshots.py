@@ -57,23 +57,21 @@ def snapshot_totals(
     """Totals of a live table and of its newest freeze, side by side.
 
     One row per month, institution, brand and measure; ``DATE_STANDARD`` is the newest live
-    month, ``DATE_FREEZE`` the newest freeze date, null where that side has no rows. Both
-    sides are stacked and summed in one aggregation, and only its result is turned into rows
-    per measure.
+    month, ``DATE_FREEZE`` the newest freeze date, null where that side has no rows. Each side
+    is summed per site before the sites are looked up; the sums are stacked and summed in one
+    aggregation, and only its result is turned into rows per measure.
     """
     live_month = month_from_parts("annual", "mes")
     newest_month = live.agg(F.max(live_month)).scalar()
     newest_freeze = frozen.agg(F.max(snapshot)).scalar()
 
     def side(df: DataFrame, dim: DataFrame, is_live: bool) -> DataFrame:
+        """Sums per month, site and brand; the site is looked up for the sums, not the rows."""
         brand = F.lit("-") if origin.brand is None else F.col(origin.brand)
-        narrow = df.select(
-            live_month.alias("DATE"),
-            F.col(origin.site).alias(site_key),
-            brand.alias("MARCA"),
-            *[F.col(m).try_cast(LAKE_DECIMAL).alias(m) for m in origin.measures],
-        )
-        known = lookup_join(narrow, dim.select(site_key, institution), [site_key], "left", salts)
+        summed = df.groupBy(
+            live_month.alias("DATE"), F.col(origin.site).alias(site_key), brand.alias("MARCA")
+        ).agg(*[F.sum(F.col(m).try_cast(LAKE_DECIMAL)).alias(m) for m in origin.measures])
+        known = lookup_join(summed, dim.select(site_key, institution), [site_key], "left", salts)
         return known.select(
             "DATE",
             F.col(institution).alias("INSTITUCION"),

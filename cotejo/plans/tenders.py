@@ -20,7 +20,7 @@ from cotejo.functions.numbers import parse_number
 from cotejo.functions.text import strip_leading_zeros, title_case
 from cotejo.operators import reconcile
 from cotejo.operators.clean import SourceSpec, clean_source
-from cotejo.operators.joins import full_join_null_safe, lookup_join
+from cotejo.operators.joins import lookup_join
 from cotejo.operators.reshape import crosstab_to_long
 from cotejo.operators.snapshots import LEDGER_SCHEMA, Origin, diff_ledger, snapshot_diff, snapshot_totals
 from cotejo.sources.delimited import read_or_empty
@@ -159,8 +159,10 @@ def delivery_export_fact(
 def consumption_export_fact(
     measures: DataFrame, stock: DataFrame, institution: str, column: str, metric: str, back: int = 4
 ) -> DataFrame:
-    """Consumption out of two BI exports, one with the stock and one with the other measure."""
-    both = full_join_null_safe(measures, stock, ["Month", "Molecule"])
+    """Consumption out of two BI exports, one with the stock and one with the other measure.
+    The two are stacked, each with nulls for the other's measure: the sums bring them together
+    and a join is not needed."""
+    both = measures.unionByName(stock, allowMissingColumns=True)
     spec = SourceSpec(
         rename={"Stock": "Inventario", column: metric},
         derive={
