@@ -155,7 +155,7 @@ def crosstab_melt(spark, folder):
     """A year x month sheet per supplier, as tab separated text, back to a long fact."""
     lines = table(spark, folder, "lineitem").select(
         F.col("l_suppkey").alias("supplier"),
-        F.date_format("l_shipdate", "yyyyMM").alias("month"),
+        (F.year("l_shipdate") * 100 + F.month("l_shipdate")).alias("month"),
         "l_quantity",
         "l_extendedprice",
     )
@@ -169,7 +169,7 @@ def crosstab_melt(spark, folder):
         F.concat_ws(
             "\t",
             F.lit(str(m)),
-            *[F.coalesce(F.try_element_at("cells", F.lit(f"{y}{m:02}")), F.lit("\t")) for y in YEARS],
+            *[F.coalesce(F.try_element_at("cells", F.lit(y * 100 + m)), F.lit("\t")) for y in YEARS],
         )
         for m in range(1, 13)
     ]

@@ -18,6 +18,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Recording the source line of every column expression doubles the time to build a plan.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
