@@ -58,7 +58,8 @@ DATA_SCHEMA = (
 )
 INFO_SCHEMA = (
     "sheetName string, worldUpdate struct<applicationPresModel: struct<workbookPresModel: struct<"
-    "sheetsInfo: array<struct<sheet: string, isDashboard: boolean, isVisible: boolean>>, "
+    "sheetsInfo: array<struct<sheet: string, isDashboard: boolean, isVisible: boolean, "
+    "namesOfSubsheets: array<string>, windowId: string>>, "
     f"dashboardPresModel: struct<zones: {ZONES}>>>>"
 )
 RESPONSE_SCHEMA = (
@@ -396,20 +397,33 @@ def decode_worksheet(
     names: Sequence[str],
     persisted: str | None = None,
     row_number: str = "row_no",
+    info: str | None = None,
 ) -> DataFrame:
     """Flat table of one worksheet out of bootstrap documents; no rows where it is missing.
 
     ``persisted`` is a column with the segment map of the session, where there is one.
+    ``info`` is a column with the first document of the body: a workbook that is a story has
+    its columns there, in the zones of its first point, of which the first panes count.
     """
     kept = [persisted] if persisted else []
-    data = df.select(*ids, *kept, parse_data(payload).alias("__d"))
+    documents = [parse_data(payload).alias("__d")]
+    if info:
+        documents.append(parse_info(info).alias("__i"))
+    data = df.select(*ids, *kept, *documents)
+    story = []
+    if info:
+        zones = story_zones(info_zones(F.col("__i")))
+        found = F.filter(zone_panes(zones), lambda z: z["worksheet"] == worksheet)
+        is_story = data_models(F.col("__d")).isNull()
+        story = [F.when(is_story, F.get(found, F.lit(0))["panes"]).alias("__story")]
     opened = data.select(
         *ids,
         *kept,
         worksheet_panes(F.col("__d"), worksheet).alias("__panes"),
         data_segments(F.col("__d")).alias("__segments"),
+        *story,
     )
-    return _decode_opened(opened, ids, True, names, persisted, row_number)
+    return _decode_opened(opened, ids, True, names, persisted, row_number, "__story" if info else None)
 
 
 def decode_response(
@@ -437,10 +451,12 @@ def decode_response(
     return _decode_opened(opened, ids, False, names, persisted, row_number)
 
 
-def _decode_opened(opened, ids, every_pane, names, persisted, row_number):
+def _decode_opened(opened, ids, every_pane, names, persisted, row_number, story=None):
     dictionary = value_dictionary(F.col("__segments"), F.col(persisted) if persisted else None)
-    parsed = opened.select(*ids, "__panes", dictionary.alias("__dictionary"))
+    parsed = opened.select(*ids, "__panes", dictionary.alias("__dictionary"), *([story] if story else []))
     columns = descriptors(F.col("__panes"), every_pane)
+    if story:
+        columns = F.coalesce(columns, descriptors(F.col(story), every_pane=False))
     parsed = name_columns(parsed, ids, columns, ["__dictionary"], "__named")
     return decode_columns(parsed, ids, "__named", "__dictionary", names, row_number)
 

@@ -377,7 +377,8 @@ def _customer_info(spark, folder):
         _nested(
             F.struct(
                 F.array(
-                    F.struct(F.col("c_mktsegment").alias("sheet"), rich.alias("isDashboard"), F.lit(True).alias("isVisible"))
+                    F.struct(F.col("c_mktsegment").alias("sheet"), rich.alias("isDashboard"), F.lit(True).alias("isVisible"),
+                             F.array("c_name", "c_mktsegment").alias("namesOfSubsheets"), F.col("c_custkey").cast("string").alias("windowId"))
                 ).alias("sheetsInfo"),
                 _nested(zones, "zones").alias("dashboardPresModel"),
             ),
@@ -409,11 +410,14 @@ def list_zones(spark, folder):
 @query(
     "list_sheets",
     """
-    SELECT c_custkey, c_mktsegment AS sheet, c_acctbal >= 0 AS "isDashboard", true AS "isVisible" FROM customer
+    SELECT c_custkey, c_mktsegment AS sheet, c_acctbal >= 0 AS "isDashboard", true AS "isVisible",
+           c_name || '|' || c_mktsegment AS "namesOfSubsheets", CAST(c_custkey AS VARCHAR) AS "windowId"
+    FROM customer
     """,
 )
 def list_sheets(spark, folder):
-    return dashboard.list_sheets(_customer_info(spark, folder), ["c_custkey"], "info")
+    sheets = dashboard.list_sheets(_customer_info(spark, folder), ["c_custkey"], "info")
+    return sheets.withColumn("namesOfSubsheets", F.array_join("namesOfSubsheets", "|"))
 
 
 @query(

@@ -245,3 +245,78 @@ def multi_file_union(spark, folder):
     )
     unified = unify_dates(delivered, "order_date")
     return exclude_month(unified, "order_date", 1998, 5, F.col("source_file") == "5-LOW.txt")
+
+
+@query(
+    "sql_file_awards",
+    """
+    WITH l AS (SELECT CAST(year(l_shipdate) AS INTEGER) AS annual, strftime(l_shipdate, '%Y-%m-01') AS month_date,
+                      l_suppkey, CAST(l_partkey AS VARCHAR) AS product_id,
+                      CAST(l_quantity AS DECIMAL(28,6)) AS units, CAST(l_extendedprice AS DECIMAL(28,6)) AS amount
+               FROM lineitem)
+    SELECT month_date, n_name AS institucion, product_id, CAST(sum(units) AS DOUBLE) AS units, CAST(sum(amount) AS DOUBLE) AS amount
+    FROM l JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
+    WHERE annual >= (SELECT max(annual) FROM l) - 2 AND n_name IN ('NATION_1', 'NATION_2', 'NATION_3')
+    GROUP BY 1, 2, 3
+    """,
+)
+def sql_file_awards(spark, folder):
+    awards = table(spark, folder, "lineitem").select(
+        F.year("l_shipdate").cast("string").alias("annual"),
+        F.month("l_shipdate").cast("string").alias("mes"),
+        F.col("l_suppkey").alias("clave_clues"),
+        F.col("l_partkey").cast("string").alias("clave_cbycm"),
+        F.col("l_quantity").alias("piezas"),
+        F.col("l_extendedprice").alias("importe_max"),
+    )
+    nations = table(spark, folder, "nation").select(
+        F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("institucion")
+    )
+    sites = table(spark, folder, "supplier").join(nations, "s_nationkey").select(
+        F.col("s_suppkey").alias("clave_clues"), "institucion"
+    )
+    wanted = F.array(*[F.lit(n) for n in ("NATION_1", "NATION_2", "NATION_3")])
+    result = run_sql_file(
+        spark, "lake_awards.sql", {"awards": awards, "sites": sites}, {"years": 2, "institutions": wanted}
+    )
+    return result.withColumns({c: F.col(c).cast("double") for c in ("units", "amount")})
+
+
+@query(
+    "sql_file_consumption",
+    """
+    WITH l AS (SELECT CAST(year(l_shipdate) AS INTEGER) AS annual, strftime(l_shipdate, '%Y-%m-01') AS month_date,
+                      CAST(l_partkey AS VARCHAR) AS product_id, l_returnflag AS flag,
+                      CAST(l_quantity AS DECIMAL(28,6)) AS stock, CAST(l_extendedprice AS DECIMAL(28,6)) AS price,
+                      CAST(l_tax AS DECIMAL(28,6)) AS tax, CAST(l_discount AS DECIMAL(28,6)) AS discount
+               FROM lineitem)
+    SELECT month_date, CASE flag WHEN 'A' THEN 'IMSS' WHEN 'R' THEN 'ISSSTE' ELSE 'CENSIDA' END AS institucion,
+           product_id, CAST(sum(stock) AS DOUBLE) AS stock,
+           CAST(sum(CASE flag WHEN 'A' THEN price WHEN 'R' THEN tax ELSE discount END) AS DOUBLE) AS consumption
+    FROM l WHERE annual >= (SELECT max(annual) FROM l) - 4
+    GROUP BY 1, 2, 3
+    """,
+)
+def sql_file_consumption(spark, folder):
+    lines = table(spark, folder, "lineitem")
+
+    def programme(flag, column, measure):
+        return lines.filter(F.col("l_returnflag") == flag).select(
+            F.year("l_shipdate").cast("string").alias("annual"),
+            F.month("l_shipdate").cast("string").alias("mes"),
+            F.col("l_partkey").cast("string").alias("clave_cbycm"),
+            F.col("l_quantity").alias("inventario"),
+            F.col(measure).alias(column),
+        )
+
+    result = run_sql_file(
+        spark,
+        "lake_consumption.sql",
+        {
+            "first_table": programme("A", "cpm_r", "l_extendedprice"),
+            "second_table": programme("R", "dpn", "l_tax"),
+            "third_table": programme("N", "consumo_autorizado", "l_discount"),
+        },
+        {"years": 4},
+    )
+    return result.withColumns({c: F.col(c).cast("double") for c in ("stock", "consumption")})

@@ -10,8 +10,11 @@ from pyspark.sql import functions as F
 
 from cotejo.functions.dates import month_from_parts, month_number
 from cotejo.functions.mapping import bucket_other, replace_values
-from cotejo.functions.text import contains_any, extract_any, strip, title_case
+from cotejo.functions.numbers import parse_number
+from cotejo.functions.text import capitalize, contains_any, extract_any, split_once, strip, title_case
 from cotejo.operators import quality, refresh, shares
+from cotejo.operators.dashboard import decode_worksheet
+from cotejo.operators.filters import drop_totals
 from cotejo.operators.joins import dict_lookup
 
 # Columns of the registry and their names in the download.
@@ -31,6 +34,24 @@ MEASURE = "Número de registros"
 RARE_ORIGINS = ("traspaso", "fonasa", "minsal")
 
 
+def registry_from_payloads(
+    payloads: DataFrame, worksheet: str, payload: str = "payload", info: str | None = None
+) -> DataFrame:
+    """Download rows out of stored dashboard payloads.
+
+    ``payloads`` has one row per payload with its ``Principio Activo``, ``Estado`` and
+    ``period`` ("month year"); total rows of the dashboard are dropped.
+    """
+    names = [n for n in DOWNLOAD_NAMES if n.endswith("-alias")]
+    period = split_once("period", " ")
+    ids = ["Principio Activo", "Estado", "Mes", "Año"]
+    described = payloads.withColumns({"Mes": capitalize(period[0]), "Año": period[1]})
+    decoded = decode_worksheet(described, ids, payload, worksheet, names, info=info)
+    kept = drop_totals(drop_totals(decoded, "Establecimiento Origen-alias"), "Problema de salud-alias")
+    measure = "SUM(Number of Records)-alias"
+    return kept.drop("row_no").withColumn(measure, parse_number(measure, ",", "bigint"))
+
+
 def registry_download(df: DataFrame) -> DataFrame:
     """The last download with the columns of the master; months are given by name."""
     dated = df.withColumn("Fecha", month_from_parts("Año", month_number("Mes")))
@@ -70,9 +91,9 @@ def _purchases(
     )
 
 
-def _with_sites(df: DataFrame, recipient: str, sites: DataFrame) -> DataFrame:
+def _with_sites(df: DataFrame, recipient: str, sites: DataFrame, salts: int) -> DataFrame:
     lowered = df.withColumn(recipient, F.lower(recipient))
-    return dict_lookup(lowered, recipient, sites, "CENABAST", "FONASA", "Establecimiento destino")
+    return dict_lookup(lowered, recipient, sites, "CENABAST", "FONASA", "Establecimiento destino", salts=salts)
 
 
 def purchases_v1(
@@ -82,17 +103,20 @@ def purchases_v1(
     sites: DataFrame,
     regions: DataFrame,
     ingredients: Sequence[str],
+    salts: int = 1,
 ) -> dict[str, DataFrame]:
-    """Patients per purchase, with region and origin, and the keys nobody could resolve."""
+    """Patients per purchase, with region and origin, and the keys nobody could resolve.
+    ``salts`` spreads the purchases of a hot ingredient, site or town over several tasks."""
     rows = _purchases(purchases, ingredients, "NombreGenerico", "anio", "Mes", None)
     origin = bucket_other(strip(F.lower("Origen")), RARE_ORIGINS)
     rows = rows.withColumns(
         {"Origen": title_case(origin), "ComunaDestinatario": F.lower("ComunaDestinatario")}
     )
-    placed = _with_sites(rows, "NombreDestinatario", sites)
-    placed = dict_lookup(placed, "ComunaDestinatario", regions, "Comuna", "Region", "Region")
+    placed = _with_sites(rows, "NombreDestinatario", sites, salts)
+    placed = dict_lookup(placed, "ComunaDestinatario", regions, "Comuna", "Region", "Region", salts=salts)
     allocated = shares.allocate_share(
-        placed, index, ratios, "Principio activo", "Problema de salud", "Denominacion", "CantidadDespacho"
+        placed, index, ratios, "Principio activo", "Problema de salud", "Denominacion", "CantidadDespacho",
+        salts=salts,
     )
     result = allocated.select(
         "Fecha", "Principio activo", "Problema de salud", "Region", "Establecimiento destino",
@@ -113,6 +137,7 @@ def purchases_v2(
     sites: DataFrame,
     ingredients: Sequence[str],
     channel: str = "Ley Ricarte Soto",
+    salts: int = 1,
 ) -> dict[str, DataFrame]:
     """The same for the later layout: one channel only, unrounded, ratios per trade name."""
     product, recipient = "Nombre producto comercial", "Nombre cliente destinatario"
@@ -120,9 +145,10 @@ def purchases_v2(
         purchases, ingredients, "Nombre producto genérico", "Año", "Mes",
         F.col("Nombre canal de distribución") == channel,
     )
-    placed = _with_sites(rows, recipient, sites)
+    placed = _with_sites(rows, recipient, sites, salts)
     allocated = shares.allocate_share(
-        placed, index, ratios, "Principio activo", "Problema de salud", product, "Cantidad de pedido", digits=None
+        placed, index, ratios, "Principio activo", "Problema de salud", product, "Cantidad de pedido", digits=None,
+        salts=salts,
     )
     result = allocated.select(
         "Fecha", "Principio activo", "Problema de salud", "Nombre región", "Establecimiento destino",

@@ -16,9 +16,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cotejo.functions.dates import month_from_parts, month_number, run_stamp
+from cotejo.functions.mapping import map_or_else
 from cotejo.functions.numbers import parse_number
 from cotejo.functions.text import strip_leading_zeros, title_case
 from cotejo.operators import reconcile
+from cotejo.operators.aggregates import group_sum
 from cotejo.operators.clean import SourceSpec, clean_source
 from cotejo.operators.joins import lookup_join
 from cotejo.operators.reshape import crosstab_to_long
@@ -88,9 +90,15 @@ def flat_facts(files: Sequence[tuple[DataFrame, FlatFile]], exact: str | None =
 def award_flat_fact(
     df: DataFrame, institutions: DataFrame, wanted: Sequence[str], back: int = 2, exact: str | None = None
 ) -> DataFrame:
-    """Awards: the institution comes from the site, and only some institutions count."""
+    """Awards: the institution comes from the site, and only some institutions count. Sums per
+    site come first, the site is looked up for them."""
+    per_site = group_sum(
+        df, ["ANNUAL", "MES", "CLAVE_CLUES", "CLAVE_CByCM"], ["PIEZAS", "IMPORTE_MAX"], exact
+    )
     placed = lookup_join(
-        df, institutions.select("CLAVE_CLUES", F.col("INSTITUCION").alias("Institucion")), ["CLAVE_CLUES"]
+        per_site,
+        institutions.select("CLAVE_CLUES", F.col("INSTITUCION").alias("Institucion")),
+        ["CLAVE_CLUES"],
     )
     spec = SourceSpec(
         rename={"CLAVE_CByCM": "Product_ID", "PIEZAS": "Units", "IMPORTE_MAX": "MXN"},
@@ -156,6 +164,26 @@ def delivery_export_fact(
     return clean_source(df, spec)
 
 
+def consumption_lake_fact(lake: DataFrame, metrics: Mapping[str, str]) -> DataFrame:
+    """Result of the stored consumption statement as long fact. ``metrics`` names the
+    consumption measure of each institution; the stock keeps its own name."""
+    spec = SourceSpec(
+        rename={"institucion": "Institucion", "product_id": "Product_ID", "stock": "Inventario"},
+        derive={"Date": F.to_date("month_date")},
+        keys=["Date", "Institucion", "Product_ID"],
+        measures=["Inventario", "consumption"],
+    )
+    metric = F.when(F.col("Metric") == "consumption", map_or_else("Institucion", metrics, "Metric"))
+    return clean_source(lake, spec).withColumn("Metric", F.coalesce(metric, F.col("Metric")))
+
+
+def by_product_name(fact: DataFrame, catalogue: DataFrame) -> DataFrame:
+    """Fact per product name instead of product code, for sources that only know names.
+    Codes with the same name are summed; codes without a name are left out."""
+    keys = ["Date", "Institucion", "Product", "Metric"]
+    return group_sum(add_products(fact, catalogue), keys, ["Value"])
+
+
 def consumption_export_fact(
     measures: DataFrame, stock: DataFrame, institution: str, column: str, metric: str, back: int = 4
 ) -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -55,7 +54,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = context.getCheckpointDir()
     if current:
         return current
-    folder = spark.conf.get("spark.checkpoint.dir", None) or os.environ.get("COTEJO_CHECKPOINT_DIR")
+    folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")

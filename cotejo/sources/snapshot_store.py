@@ -12,7 +12,11 @@ SNAPSHOT = "snapshot_month"
 
 
 def write_snapshot(df: DataFrame, root: str, date: str) -> None:
-    """Write ``df`` as the snapshot of its newest month; only that partition is replaced."""
+    """Write ``df`` as the snapshot of its newest month; only that partition is replaced.
+
+    ``df`` is read twice, for its newest month and for its rows: pass an expensive one through
+    ``session.cut_lineage`` first.
+    """
     newest = df.agg(F.date_format(F.max(date), "yyyy-MM")).scalar()
     (
         df.withColumn(SNAPSHOT, newest)

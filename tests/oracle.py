@@ -71,7 +71,7 @@ def main(arguments: list[str]) -> int:
 
     folder = arguments[0] if arguments else "/root/testdata/sf0.01"
     wanted = arguments[1:] or list(contract.queries())
-    spark = get_session("oracle", "local[8]", 8, {"spark.ui.enabled": "false"})
+    spark = get_session("oracle", "local[8]", 8, {"spark.ui.enabled": "false", **({"spark.sql.autoBroadcastJoinThreshold": "-1"} if os.environ.get("NO_BROADCAST") else {})})
     spark.sparkContext.setLogLevel("ERROR")
     connection = connect(folder)
     failed = 0

@@ -203,3 +203,48 @@ def test_purchases(spark):
 
 def test_every_origin_has_a_name_of_its_own():
     assert len({o.name for o in tenders.ORIGINS}) == 7
+
+
+def test_registry_out_of_payloads(spark):
+    import json
+
+    def part(*positions):
+        return {"tupleIds": [], "valueIndices": [], "aliasIndices": list(positions)}
+
+    captions = ["Establecimiento Origen", "Problema de salud", "Región de Origen", "SUM(Number of Records)"]
+    panes = {
+        "paneColumnsList": [{"vizPaneColumns": [part(0, 3, 0), part(1, 1, 3), part(2, 2, 2), part(-5, -6, -5)]}],
+        "vizDataColumns": [{"fieldCaption": c, "dataType": "cstring", "paneIndices": [0], "columnIndices": [i]} for i, c in enumerate(captions)],
+    }
+    words = ["site", "problem", "region", "%all%", "1,234", "99"]
+    payload = json.dumps({"secondaryInfo": {"presModelMap": {
+        "vizData": {"presModelHolder": {"genPresModelMapPresModel": {"presModelMap": {"W": {"presModelHolder": {"genVizDataPresModel": {"paneColumnsData": panes}}}}}}},
+        "dataDictionary": {"presModelHolder": {"genDataDictionaryPresModel": {"dataSegments": {"0": {"dataColumns": [{"dataType": "cstring", "dataValues": words}]}}}}}}}})
+    df = spark.createDataFrame([("Rituximab", "Activo", "enero 2024", payload)], "`Principio Activo` string, Estado string, period string, payload string")
+    got = public_health.registry_download(public_health.registry_from_payloads(df, "W"))
+    assert [tuple(r) for r in got.collect()] == [(date(2024, 1, 1), "Rituximab", "problem", "Activo", "region", "site", 1234)]
+
+
+def test_consumption_chain_by_product_name(spark):
+    lake = spark.createDataFrame([("2024-01-01", "IMSS", "1", 5.0, 7.0), ("2024-01-01", "IMSS", "2", 1.0, 2.0), ("2024-01-01", "IMSS", "3", 1.0, 2.0)],
+                                 "month_date string, institucion string, product_id string, stock double, consumption double")
+    fact = tenders.consumption_lake_fact(lake, {"IMSS": "CPMR"})
+    catalogue = spark.createDataFrame([("1", "same"), ("2", "SAME")], "CLAVE_CBYCM string, PRINC_ACTIVO string")
+    named = tenders.by_product_name(fact, catalogue)
+    assert rows(named, "Product", "Metric", "Value") == [("Same", "CPMR", 9.0), ("Same", "Inventario", 6.0)]
+    board = named.withColumn("Product", F.lit(tenders.NO_PRODUCT_NAME))
+    report = tenders.chain_validation({"Board": board, "FF": named, "Lake": named}, RUN, product="Product", coarse_first=True)
+    assert {r["Motivo"] for r in report.collect()} == {"Sin diferencias"} and report.count() == 4
+
+
+def test_purchases_with_salts(spark):
+    index = spark.createDataFrame([("Rituximab", "p", 1.0)], "`Principio activo` string, `Problema de salud` string, Indice double")
+    sites = spark.createDataFrame([("a", "A")], "CENABAST string, FONASA string")
+    ratios = spark.createDataFrame([("Rituximab", "p", "b", 2.0)], "`Principio activo` string, `Problema de salud` string, `Nombre producto comercial` string, Ratio double")
+    bought = spark.range(50).select(
+        F.lit("2024").alias("Año"), F.lit("1").alias("Mes"), F.lit("Ley Ricarte Soto").alias("Nombre canal de distribución"),
+        F.lit("A").alias("Nombre cliente destinatario"), F.lit("rituximab").alias("Nombre producto genérico"), F.lit("b").alias("Nombre producto comercial"),
+        F.lit("r").alias("Nombre región"), F.col("id").cast("double").alias("Cantidad de pedido"))
+    plain = public_health.purchases_v2(bought, index, ratios, sites, ["rituximab"])
+    salted = public_health.purchases_v2(bought, index, ratios, sites, ["rituximab"], salts=8)
+    assert rows(salted["patients"], "Establecimiento destino", "Pacientes Totales") == rows(plain["patients"], "Establecimiento destino", "Pacientes Totales")
