@@ -34,7 +34,7 @@ def _col(c: Column | str) -> Column:
 def title_case(c: Column | str) -> Column:
     """Raise every letter that follows a non-letter, lower the others.
 
-    ``initcap`` only looks at blanks; here ``d-cenca`` gives ``D-Cenca`` and ``1x1800mg``
+    ``initcap`` only looks at blanks; here ``a-word`` gives ``A-Word`` and ``1x1800mg``
     gives ``1X1800Mg``. A marked blank is put before each inner word, ``initcap`` does the
     rest, and the marks are taken out again: three string functions, all in generated code.
     Texts with letters that have no capital of their own (``ß`` gives ``Ss``) go the longer

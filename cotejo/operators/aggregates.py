@@ -12,6 +12,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def with_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows in which no key is null; plain null tests are pushed to the scan."""
+    for key in keys:
+        df = df.filter(F.col(f"`{key}`").isNotNull())
+    return df
+
+
 def group_sum(
     df: DataFrame,
     keys: Sequence[str],
@@ -28,7 +35,7 @@ def group_sum(
         F.coalesce(F.sum(F.col(old).cast(exact) if exact else F.col(old)), F.lit(0)).alias(new)
         for new, old in named.items()
     ]
-    return df.dropna(subset=list(keys)).groupBy(*keys).agg(*sums)
+    return with_keys(df, keys).groupBy(*keys).agg(*sums)
 
 
 def distinct_on(

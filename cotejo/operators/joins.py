@@ -54,7 +54,7 @@ def dict_lookup(
         F.col(key).alias(column),
         *[F.col(c).alias(f"__o{i}") for i, c in enumerate(order)],
         F.col(value).alias(into),
-    ).dropna(subset=[column])
+    ).filter(F.col(column).isNotNull())
     single = distinct_on(entries, [column], [f"__o{i}" for i in range(len(order))], keep="last")
     return lookup_join(df, single.select(column, into), [column], "left", salts)
 

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cotejo.operators.aggregates import distinct_on
+from cotejo.operators.aggregates import distinct_on, with_keys
 from cotejo.operators.joins import lookup_join
 
 BOTH, LEFT_ONLY, RIGHT_ONLY = "both", "left_only", "right_only"
@@ -147,7 +147,7 @@ def period_membership(
     """
     newest = current if current is not None else df.agg(F.max(month)).scalar()
     previous = F.add_months(newest, -1)
-    recent = df.dropna(subset=list(columns)).filter(F.col(month).isin(newest, previous))
+    recent = with_keys(df, columns).filter(F.col(month).isin(newest, previous))
     seen = recent.groupBy(*columns).agg(
         F.bool_or(F.col(month) == newest).alias("__now"),
         F.bool_or(F.col(month) == previous).alias("__before"),

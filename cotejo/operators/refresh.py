@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cotejo.operators.aggregates import conditional_sum
+from cotejo.operators.aggregates import conditional_sum, with_keys
 from cotejo.operators.filters import before_first
 
 
@@ -37,7 +37,7 @@ def retro_diff(
         previous.select(*dims, F.col(measure).alias("__v"), F.lit(False).alias("__now"))
     )
     sums = (
-        stacked.dropna(subset=dims)
+        with_keys(stacked, dims)
         .groupBy(*dims)
         .agg(
             conditional_sum(F.col("__now"), "__v").alias(current_name),

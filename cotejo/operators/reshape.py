@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cotejo.functions.dates import month_from_parts, month_range
-from cotejo.operators.aggregates import conditional_sum, group_sum
+from cotejo.operators.aggregates import conditional_sum, group_sum, with_keys
 
 
 def melt(
@@ -60,7 +60,7 @@ def pivot_sum_max(
         conditional_sum(F.col(column) == v, total).alias(total_prefix + name)
         for v, name in names.items()
     ]
-    kept = df.dropna(subset=list(index)).filter(F.col(column).isin(*names))
+    kept = with_keys(df, index).filter(F.col(column).isin(*names))
     return kept.groupBy(*index).agg(*dates, *totals)
 
 

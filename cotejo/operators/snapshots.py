@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from cotejo.functions.dates import month_from_parts
 from cotejo.functions.numbers import LAKE_DECIMAL, ratio
-from cotejo.operators.aggregates import distinct_on
+from cotejo.operators.aggregates import distinct_on, with_keys
 from cotejo.operators.joins import lookup_join
 from cotejo.operators.reconcile import Labels
 
@@ -61,19 +61,20 @@ def snapshot_totals(
     is summed per site before the sites are looked up; the sums are stacked and summed in one
     aggregation, and only its result is turned into rows per measure.
     """
-    live_month = month_from_parts("annual", "mes")
-    newest_month = live.agg(F.max(live_month)).scalar()
+    month = month_from_parts("annual", "mes")
+    newest_month = live.select("annual", "mes").distinct().agg(F.max(month)).scalar()
     newest_freeze = frozen.agg(F.max(snapshot)).scalar()
 
     def side(df: DataFrame, dim: DataFrame, is_live: bool) -> DataFrame:
-        """Sums per month, site and brand; the site is looked up for the sums, not the rows."""
+        """Sums per month, site and brand. Months stay text and sites are looked up only for
+        the sums, not for the rows."""
         brand = F.lit("-") if origin.brand is None else F.col(origin.brand)
         summed = df.groupBy(
-            live_month.alias("DATE"), F.col(origin.site).alias(site_key), brand.alias("MARCA")
+            "annual", "mes", F.col(origin.site).alias(site_key), brand.alias("MARCA")
         ).agg(*[F.sum(F.col(m).try_cast(LAKE_DECIMAL)).alias(m) for m in origin.measures])
         known = lookup_join(summed, dim.select(site_key, institution), [site_key], "left", salts)
         return known.select(
-            "DATE",
+            month.alias("DATE"),
             F.col(institution).alias("INSTITUCION"),
             "MARCA",
             F.lit(is_live).alias("__live"),
@@ -89,7 +90,7 @@ def snapshot_totals(
         return F.bround(F.sum(F.when(condition, F.coalesce(F.col(measure), F.lit(0)))), 2)
 
     grouped = (
-        stacked.dropna(subset=["DATE", "INSTITUCION", "MARCA"])
+        with_keys(stacked, ["DATE", "INSTITUCION", "MARCA"])
         .groupBy("DATE", "INSTITUCION", "MARCA")
         .agg(
             F.bool_or(is_live).alias("__has_live"),

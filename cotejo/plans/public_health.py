@@ -13,6 +13,7 @@ from cotejo.functions.mapping import bucket_other, replace_values
 from cotejo.functions.numbers import parse_number
 from cotejo.functions.text import capitalize, contains_any, extract_any, split_once, strip, title_case
 from cotejo.operators import quality, refresh, shares
+from cotejo.operators.aggregates import with_keys
 from cotejo.operators.dashboard import decode_worksheet
 from cotejo.operators.filters import drop_totals
 from cotejo.operators.joins import dict_lookup
@@ -74,7 +75,7 @@ def registry_changes(current: DataFrame, previous: DataFrame, ingredients: Seque
 def indication_shares(registry: DataFrame, ingredients: Sequence[str]) -> DataFrame:
     """Share of each health problem in the records of its ingredient. Rows with a missing key
     are no part of the grouped registry and do not count."""
-    grouped = registry.dropna(subset=list(REGISTRY[:-1]))
+    grouped = with_keys(registry, REGISTRY[:-1])
     wanted = grouped.filter(F.col("Principio activo").isin(*ingredients))
     return shares.share_index(wanted, "Principio activo", "Problema de salud", MEASURE)
 

@@ -11,7 +11,7 @@ C = "c"
 
 
 def test_title_case_follows_every_non_letter(values):
-    items = ["d-cenca", "1x1800mg VIAL", "o'NEIL", "ñandú del SUR", "straße", "ßa", "", None, "a\tb\nc", "  x"]
+    items = ["some-word", "1x1800mg VIAL", "o'NEIL", "ñandú del SUR", "straße", "ßa", "", None, "a\tb\nc", "  x"]
     expected = [None if v is None else v.title() for v in items]
     assert values(items, tx.title_case(C)) == expected
 

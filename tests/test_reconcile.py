@@ -1,5 +1,4 @@
 import itertools
-from datetime import date
 
 import numpy as np
 import pandas as pd
