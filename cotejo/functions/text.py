@@ -14,7 +14,8 @@ WHITESPACE = (
     + "\u2028\u2029\u202f\u205f\u3000"
 )
 
-_CASED = r"\p{Lu}\p{Ll}\p{Lt}"
+# Letters with case, and marks that count as lower case letters (the ordinals in `Nº`, `1ª`).
+_CASED = r"\p{IsLowercase}\p{IsUppercase}\p{IsTitlecase}"
 # Runs of cased letters, and the runs between them.
 _CASED_RUNS = f"([{_CASED}]+|[^{_CASED}]+)"
 # Places where a word begins that does not follow a blank.

@@ -11,13 +11,17 @@ C = "c"
 
 
 def test_title_case_follows_every_non_letter(values):
-    items = ["some-word", "1x1800mg VIAL", "o'NEIL", "ñandú del SUR", "straße", "ßa", "", None, "a\tb\nc", "  x"]
+    items = ["some-word", "1x1800mg VIAL", "o'NEIL", "ñandú del SUR", "straße", "ßa", "nºa 1ªB", "", None, "a\tb\nc", "  x"]
     expected = [None if v is None else v.title() for v in items]
     assert values(items, tx.title_case(C)) == expected
 
 
-@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(st.lists(st.text(alphabet=st.characters(min_codepoint=32, max_codepoint=0x24F)), min_size=1, max_size=200))
+# Three letters whose case differs between Java and Python are left out (see README).
+LATIN = st.characters(min_codepoint=32, max_codepoint=0x24F, exclude_characters="\u0130\u0149\u019b")
+
+
+@settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.text(alphabet=LATIN), min_size=1, max_size=200))
 def test_title_case_equals_python(values, items):
     assert values(items, tx.title_case(C)) == [v.title() for v in items]
 
