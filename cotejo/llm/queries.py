@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cotejo.llm import decontam, jaccard, packing, pii, quality
+from cotejo.llm import decontam, html_extract, jaccard, license, packing, pii, quality, sharding, tokencount, warc
 from cotejo.llm.common import read
 
 
@@ -17,6 +17,10 @@ def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_wrapper_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return html_extract.extract(read(spark, folder, "pages"))
+
+
 def op2_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.similar(read(spark, folder, "documents"))
 
@@ -25,6 +29,10 @@ def op3_compression_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality(read(spark, folder, "documents"))
 
 
+def op4_sentence_rule_licences(spark: SparkSession, folder: str) -> DataFrame:
+    return license.licences(read(spark, folder, "documents"))
+
+
 def op5_disguised_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     return pii.personal_data(read(spark, folder, "documents"))
 
@@ -33,6 +41,19 @@ def op6_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(read(spark, folder, "documents"), tokenizer_file())
 
 
+def op7_longest_match_counts(spark: SparkSession, folder: str) -> DataFrame:
+    initial, following = tokencount.sentencepiece_vocabulary(tokenizer_file("piece_bpe_32k.model"))
+    return tokencount.token_counts(read(spark, folder, "documents"), initial, following)
+
+
+def op8_revisit_archives(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.round_trip(read(spark, folder, "pages"))
+
+
+def op9_balanced_label_propagation(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.shard(read(spark, folder, "documents"), 16)
+
+
 def op10_spaced_seed_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontam.contaminated(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
 
@@ -40,10 +61,15 @@ def op10_spaced_seed_decontamination(spark: SparkSession, folder: str) -> DataFr
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_wrapper_extraction,
         op2_ngram_jaccard_join,
         op3_compression_quality,
+        op4_sentence_rule_licences,
         op5_disguised_personal_data,
         op6_best_fit_packing,
+        op7_longest_match_counts,
+        op8_revisit_archives,
+        op9_balanced_label_propagation,
         op10_spaced_seed_decontamination,
     )
 }
