@@ -7,8 +7,9 @@ to their members and verified on the whole sets.
 
 Only connections matter, so pairs are verified in two steps. First every group with its next two
 in each shingle's list, and every member with its group's head. Then, with the components found,
-every remaining pair that passes the filters and would join two components. No pair is left out
-but those already connected, so the components are those of all links.
+every remaining pair that passes the filters and would join two components: short lists pair by
+pair, long ones, which only large groups of near copies have, in blocks. No pair is left out but
+those already connected, so the components are those of all links.
 """
 
 from __future__ import annotations
@@ -37,16 +38,35 @@ def prefix_length(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
 
-def frequent_shingles(docs: DataFrame, percent: int, size: int) -> np.ndarray:
+def _reach(n: int, percent: int) -> int:
+    """Shingles of a set that are counted: its prefix and half as many more."""
+    return min(n, prefix_length(n, percent) * 3 // 2 + 1)
+
+
+def frequent_shingles(docs: DataFrame, percent: int, size: int, rounds: int = 2) -> np.ndarray:
     """Bit table of the shingles that lie in the first parts of more than ``RARE`` sets.
 
-    It only orders shingles. Its 2**18 words are all that reaches the driver.
+    Where frequent shingles leave a prefix, others move up into it; each further round counts
+    those and no others. The table only orders shingles. Its 2**18 words are all that reaches
+    the driver.
     """
+    words = 1 << (TABLE_BITS - 6)
+    table = np.zeros(words, np.uint64)
+    for turn in range(rounds):
+        found = _counted(docs, percent, size, table if turn else None)
+        table[found["word"].to_numpy()] |= found["bits"].to_numpy().view(np.uint64)
+    return table
+
+
+def _counted(docs: DataFrame, percent: int, size: int, known: np.ndarray | None) -> pa.Table:
+    """Words of the bit table of shingles found frequent, beyond those of the table ``known``."""
+    table = None if known is None else docs.sparkSession.sparkContext.broadcast(known)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         parts: list[np.ndarray] = []
         schema = pa.schema([("h", pa.int64()), ("c", pa.int64())])
+        frequent = None if table is None else table.value
 
         def flush():
             keys, counts = np.unique(np.concatenate(parts), return_counts=True)
@@ -57,19 +77,27 @@ def frequent_shingles(docs: DataFrame, percent: int, size: int) -> np.ndarray:
         for batch in batches:
             for raw in texts_of(batch):
                 keys = shingle_set(raw, size)
-                if len(keys) and (s := digest(keys)) not in seen:
-                    seen.add(s)
-                    first = keys[: prefix_length(len(keys), percent) * 5 // 4 + 1]
+                if not len(keys) or (s := digest(keys)) in seen:
+                    continue
+                seen.add(s)
+                reach = _reach(len(keys), percent)
+                if frequent is None:
+                    first = keys[:reach]
+                else:
+                    common = is_frequent(frequent, keys)
+                    moved = int(common[:reach].sum())
+                    first = keys[reach:][~common[reach:]][:moved]
+                if len(first):
                     parts.append(first)
                     held += len(first)
-                    if held > FLUSH:
-                        yield flush()
-                        held = 0
+                if held > FLUSH:
+                    yield flush()
+                    held = 0
         if parts:
             yield flush()
 
     mask = (1 << (TABLE_BITS - 6)) - 1
-    words = (
+    return (
         docs.select("text")
         .mapInArrow(run, "h long, c long")
         .groupBy("h")
@@ -80,9 +108,6 @@ def frequent_shingles(docs: DataFrame, percent: int, size: int) -> np.ndarray:
         .agg(F.bit_or("bit").alias("bits"))
         .toArrow()
     )
-    table = np.zeros(mask + 1, np.uint64)
-    table[words["word"].to_numpy()] = words["bits"].to_numpy().view(np.uint64)
-    return table
 
 
 def is_frequent(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
@@ -207,8 +232,7 @@ def similar(docs: DataFrame, percent: int = 75, size: int = 5) -> DataFrame:
     repeated = same.groupBy("doc_id").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).filter("low <> high")
     own = same.join(repeated, "doc_id").select(F.col("low").alias("a"), F.col("rep").alias("b"))
     first = components(_verify(docs, tried, sets, percent, size).unionByName(own))
-    rest = _remaining(buckets, sets, first, percent)
-    more = stage(_verify(docs, rest.join(tried, ["a", "b"], "left_anti"), sets, percent, size))
+    more = stage(_across(docs, buckets, sets, tried, first, percent, size))
     final = first
     if not more.isEmpty():
         final = components(more.unionByName(first.select(F.col("component").alias("a"), F.col("v").alias("b"))))
@@ -220,37 +244,121 @@ def similar(docs: DataFrame, percent: int = 75, size: int = 5) -> DataFrame:
     )
 
 
-def _remaining(buckets: DataFrame, sets: DataFrame, first: DataFrame, percent: int) -> DataFrame:
-    """Pairs of members of different components whose groups pass the filters.
-
-    In a shingle's list the largest component meets only the members of the others.
-    """
+def _across(docs: DataFrame, buckets: DataFrame, sets: DataFrame, tried: DataFrame, first: DataFrame, percent: int, size: int) -> DataFrame:
+    """Links (a, b) between different components: of short lists pair by pair, of long ones in
+    blocks. A group with several sets is a list of its own."""
     members = stage(
-        sets.join(first, sets["rep"] == first["v"], "left").select("g", "rep", F.coalesce("component", "rep").alias("k"))
+        sets.join(first, sets["rep"] == first["v"], "left").select("g", "n", "rep", "s", F.coalesce("component", "rep").alias("k"))
+    )
+    kinds = members.groupBy("g", "k").agg(F.count(F.lit(1)).alias("m"), F.first("n").alias("n"))
+    alone = kinds.groupBy("g").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("g")
+    alone = alone.join(kinds, "g").select(F.col("g").alias("h"), "g", "n", F.lit(0).alias("pos"), "k", "m")
+    listed = buckets.select("h", "g", "n", "pos").join(kinds.drop("n"), "g").select("h", "g", "n", "pos", "k", "m").unionByName(alone)
+    totals = listed.groupBy("h").agg(F.min("k").alias("low"), F.max("k").alias("high"), F.sum("m").alias("total"))
+    listed = stage(listed.join(totals.filter("low <> high").select("h", "total"), "h"))
+    pairs = _short_lists(listed.filter(F.col("total") <= RARE), members, percent).join(tried, ["a", "b"], "left_anti")
+    return _verify(docs, pairs, sets, percent, size).unionByName(
+        _long_lists(docs, listed.filter(F.col("total") > RARE), members, percent, size)
     )
-    kinds = members.select("g", "k").distinct()
-    listed = buckets.select("h", "g", "n", "pos").join(kinds, "g")
-    mixed = listed.groupBy("h").agg(F.min("k").alias("low"), F.max("k").alias("high")).filter("low <> high").select("h")
-    listed = stage(listed.join(mixed, "h", "left_semi"))
-    main = listed.groupBy("h", "k").agg(F.count(F.lit(1)).alias("c")).groupBy("h").agg(F.max_by("k", F.struct("c", "k")).alias("main"))
-    minor = listed.join(main, "h").filter("k <> main")
+
+
+def _short_lists(listed: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """Pairs of members of different components whose groups pass the filters; a list of ``RARE``
+    members at most gives a bounded number."""
     other = listed.select("h", *(F.col(c).alias(f"{c}_o") for c in ("g", "n", "pos", "k")))
-    across = (
-        minor.join(other, "h")
-        .filter("k <> k_o and (k_o = main or k < k_o)")
+    return _ordered(
+        listed.join(other, "h")
+        .filter("k < k_o")
         .filter(_compatible(percent, "n", "pos", "n_o", "pos_o"))
         .select("g", "k", "g_o", "k_o")
-    )
-    within = kinds.join(kinds.select("g", F.col("k").alias("k_o")), "g").filter("k < k_o").select("g", "k", F.col("g").alias("g_o"), "k_o")
-    return _ordered(
-        across.unionByName(within)
         .distinct()
-        .join(members.withColumnRenamed("rep", "a"), ["g", "k"])
+        .join(members.select("g", "k", F.col("rep").alias("a")), ["g", "k"])
         .join(members.select(F.col("g").alias("g_o"), F.col("k").alias("k_o"), F.col("rep").alias("b")), ["g_o", "k_o"])
         .select("a", "b")
     )
 
 
+# Documents of a block; a task compares two blocks.
+BLOCK = 256
+
+
+def _long_lists(docs: DataFrame, listed: DataFrame, members: DataFrame, percent: int, size: int) -> DataFrame:
+    """Links between components among documents that share long lists.
+
+    Such lists are left only where documents consist of frequent shingles, as large groups of
+    near copies do; the lists of one group have the same members. Lists with common members make
+    a cluster, a cluster is dealt into blocks, and every two blocks meet in one task, which sends
+    on only links that join components.
+    """
+    heads = listed.groupBy("h").agg(F.min("g").alias("b"))
+    cluster = components(listed.select("h", F.col("g").alias("a")).join(heads, "h").select("a", "b"))
+    single = heads.select(F.col("b").alias("v"), F.col("b").alias("component")).join(cluster, "v", "left_anti")
+    cluster = cluster.unionByName(single.distinct())
+    dealt = members.join(cluster, members["g"] == cluster["v"]).select("rep", "s", "k", F.col("component").alias("c"))
+    counts = dealt.groupBy("c").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    dealt = stage(dealt.join(counts, "c").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")))
+    texts = keep_ids(docs.selectExpr("cast(doc_id as long) rep", "text"), dealt, "rep").join(dealt, "rep")
+    met = texts.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "rep", "s", "k", "text", "c", F.least("block", "o").alias("lo"), F.greatest("block", "o").alias("hi"), "block"
+    )
+
+    def run(table: pa.Table) -> pa.Table:
+        sets, ids, labels, blocks = [], [], [], []
+        rows = zip(*(table[c].to_pylist() for c in ("rep", "s", "k", "block")), (v.as_py() for v in table["text"].cast(pa.binary())))
+        seen = set()
+        for rep, s, k, block, raw in rows:
+            keys = shingle_set(raw, size)
+            if rep not in seen and len(keys) and digest(keys) == s:
+                seen.add(rep)
+                sets.append(keys)
+                ids.append(rep)
+                labels.append(k)
+                blocks.append(block)
+        links = _joining(sets, labels, percent)
+        return pa.table({"a": pa.array([ids[i] for i, _ in links], pa.int64()), "b": pa.array([ids[j] for _, j in links], pa.int64())})
+
+    return met.groupBy("c", "lo", "hi").applyInArrow(run, "a long, b long")
+
+
+def _joining(sets: list[np.ndarray], labels: list[int], percent: int) -> list[tuple[int, int]]:
+    """Pairs of similar sets of different labels, but none whose labels are joined already."""
+    if len(set(labels)) < 2:
+        return []
+    sizes = np.array([len(s) for s in sets])
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    _, token, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = count[token] > 1
+    owner, token = owner[shared], np.unique(token[shared], return_inverse=True)[1]
+    common = np.zeros((len(sets), len(sets)), np.float32)
+    width = 4096
+    order = np.argsort(token, kind="stable")
+    owner, token = owner[order], token[order]
+    edges = np.searchsorted(token, np.arange(0, (token[-1] if len(token) else 0) + width + 1, width))
+    for at, (lo, hi) in enumerate(zip(edges[:-1], edges[1:])):
+        part = np.zeros((len(sets), width), np.float32)
+        part[owner[lo:hi], token[lo:hi] - at * width] = 1
+        common += part @ part.T
+    names = {k: i for i, k in enumerate(dict.fromkeys(labels))}
+    label = np.array([names[k] for k in labels])
+    union = sizes[:, None] + sizes[None, :] - common
+    good = np.triu(100 * common >= percent * union, 1) & (label[:, None] != label[None, :])
+    parent = list(range(len(names)))
+
+    def root(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    links = []
+    for i, j in np.argwhere(good).tolist():
+        a, b = root(label[i]), root(label[j])
+        if a != b:
+            parent[a] = b
+            links.append((i, j))
+    return links
+
+
 def keep_one(docs: DataFrame, percent: int = 75, size: int = 5) -> DataFrame:
     """Rows of ``docs``, all columns, but those of a document that is not the smallest of its
     component. Documents without shingles stay, as do rows with a null doc_id."""
