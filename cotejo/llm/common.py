@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import uuid
 from collections.abc import Iterable, Iterator
 
@@ -18,12 +19,29 @@ SPACE = "[\\x20\\x09-\\x0D]+"
 FILTER_BITS = 24
 
 
+# Rows that a Python worker gets at a time in staged work: texts may be long.
+BATCH_ROWS = 512
+
+
+@contextlib.contextmanager
+def small_batches(spark: SparkSession, rows: int = BATCH_ROWS):
+    """Within, jobs that start hand Python workers ``rows`` rows at a time."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def stage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back: lineage ends here, a lost
     executor costs nothing, and later joins know the size of the table."""
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/cotejo-llm/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with small_batches(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -385,7 +385,7 @@ def extract(pages: DataFrame, group: int = GROUP) -> DataFrame:
     """Main text of every row of ``pages`` (page_id, url, html).
 
     Returns page_id, url, text, n_chars, n_fixed (texts fixed in the host's wrapper), n_group
-    (pages the wrapper is from). A null or empty html has an empty text. A null url is a host of
+    (different pages the wrapper is from). A null or empty html has an empty text. A null url is a host of
     its own; repeated rows are returned each; other columns are not read; an empty table gives no
     rows. Hosts are split by hash into groups of about ``group`` pages, so that no task holds a
     large host; the page text goes through one shuffle.
@@ -403,12 +403,14 @@ def extract(pages: DataFrame, group: int = GROUP) -> DataFrame:
         schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64()), ("n_fixed", pa.int64()), ("n_group", pa.int64())])
         table = table.sort_by([("page_id", "ascending")])
         pages = [tokens(v.as_py() or "") for v in table["html"]]
-        wrapper = infer(iter(pages))
+        # Copies of a page say nothing about what its host repeats.
+        distinct = list({v: page for v, page in zip(table["html"].to_pylist(), pages) if page}.values())
+        wrapper = infer(iter(distinct))
         rows = []
         for number, url, page in zip(table["page_id"].to_pylist(), table["url"].to_pylist(), pages):
-            fixed = fixed_texts(wrapper, page) if len(pages) > 1 else [False] * len(page)
+            fixed = fixed_texts(wrapper, page) if len(distinct) > 1 else [False] * len(page)
             text = main_text(page, fixed)
-            rows.append((number, url, text, len(text), sum(fixed), len(pages)))
+            rows.append((number, url, text, len(text), sum(fixed), len(distinct)))
         return pa.Table.from_batches([record_batch(schema, zip(*rows))])
 
     return keyed.select("page_id", "url", "html", "host", "part").groupBy("host", "part").applyInArrow(run, EXTRACTED)

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cotejo.llm.common import components, digest, keep_ids, record_batch, shingle_set, stage, texts_of
+from cotejo.llm.common import components, digest, keep_ids, record_batch, shingle_set, small_batches, stage, texts_of
 
 # Documents in which a shingle may lie and still count as rare. Any value gives the same result.
 RARE = 32
@@ -97,7 +97,7 @@ def _counted(docs: DataFrame, percent: int, size: int, known: np.ndarray | None)
             yield flush()
 
     mask = (1 << (TABLE_BITS - 6)) - 1
-    return (
+    words = (
         docs.select("text")
         .mapInArrow(run, "h long, c long")
         .groupBy("h")
@@ -106,8 +106,9 @@ def _counted(docs: DataFrame, percent: int, size: int, known: np.ndarray | None)
         .select(F.expr(f"cast(shiftrightunsigned(h, 6) & {mask}L as int)").alias("word"), F.expr("shiftleft(1L, cast(h & 63 as int))").alias("bit"))
         .groupBy("word")
         .agg(F.bit_or("bit").alias("bits"))
-        .toArrow()
     )
+    with small_batches(docs.sparkSession):
+        return words.toArrow()
 
 
 def is_frequent(table: np.ndarray, keys: np.ndarray) -> np.ndarray:

@@ -64,7 +64,7 @@ _NOTICE = re.compile(
 _SPDX = re.compile(r"^spdx licen[sc]e identifier (.+)$")
 _COPYRIGHT = re.compile(r"^copyright(?: c)?(?: \d{4})+ ")
 _SIGNS = re.compile(r"[^a-z0-9]+")
-_CUT = re.compile(r"(?<=[.;:!?])\s+|\n[ \t]*\n|\n(?=[ \t]*(?:[-*•]|\d+[.)]|\([a-z0-9]\))[ \t])")
+_CUT = re.compile(r"(?<=[.;:!?])(?<!dentifier:)\s+|\n[ \t]*\n|\n(?=[ \t]*(?:[-*•]|\d+[.)]|\([a-z0-9]\))[ \t])")
 _BULLET = re.compile(r"^\s*(?:(?://|#|--|;|\*+|/\*+)\s*)?(?:[-*•]|\d+[.)]|\([a-z0-9]\))?\s*")
 _HINT = re.compile(rb"licen[sc]e|copyright|permission|warrant|redistribut|public domain|spdx", re.I)
 

@@ -102,7 +102,8 @@ class Finder:
             new, starts, ends = rewritten
             for start, end, kind in self.plain(new):
                 span = (starts[start], ends[end - 1], kind)
-                if not any(k == kind and s < span[1] and span[0] < e for s, e, k in base):
+                # A plain span stays as it is; one that reaches further is added beside it.
+                if not any(k == kind and s <= span[0] and span[1] <= e for s, e, k in base):
                     more.append(span)
         rank = {k: i for i, k in enumerate(KINDS)}
         key = lambda x: (x[0], rank[x[2]], x[1])

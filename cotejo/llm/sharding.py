@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from cotejo.llm.common import stage
 
-ROUNDS = 4
+ROUNDS = 6
 
 
 def identified(docs: DataFrame) -> DataFrame:
@@ -30,13 +30,38 @@ def identified(docs: DataFrame) -> DataFrame:
     )
 
 
-def propagate(links: DataFrame, shards: int, room: int, rounds: int = ROUNDS) -> DataFrame:
-    """Labels (row, label) of the rows of ``links`` (row, key) after some rounds of moves.
+def spread(links: DataFrame, shards: int, room: int) -> tuple[DataFrame | None, list[int]]:
+    """Labels (row, label) of keys with more rows than a shard has, and the rows they take of
+    each shard. Such a key is dealt over as few neighbouring shards as hold it. There are at most
+    as many of these keys as shards times keys of a row, so their counts may go to the driver."""
+    large = sorted(links.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") > room).collect(), key=lambda r: (-r.c, r.key))
+    taken, start, label = [0] * shards, 0, None
+    for r in large:
+        width = min(shards, -(-r.c // room))
+        here = F.pmod(F.pmod(F.xxhash64("row"), F.lit(width)) + start, F.lit(shards)).cast("int")
+        label = F.when(F.col("key") == r.key, here) if label is None else label.when(F.col("key") == r.key, here)
+        for s in range(width):
+            taken[(start + s) % shards] += -(-r.c // width)
+        start = (start + width) % shards
+    if label is None:
+        return None, taken
+    return stage(links.withColumn("label", label).filter("label is not null").groupBy("row").agg(F.min("label").alias("label"))), taken
+
+
+def propagate(links: DataFrame, shards: int, room: list[int], rounds: int = ROUNDS) -> DataFrame:
+    """Labels (row, label) of the rows of ``links`` (row, key) after some rounds of moves; a
+    shard has room for ``room`` rows.
 
     Only counts by shard reach the driver. Votes of a key are summed before they are sent, so a
     key of any size costs as many rows as it has labels.
     """
-    labels = stage(links.select("row").distinct().select("row", F.pmod(F.xxhash64("row"), F.lit(shards)).cast("int").alias("label")))
+    # Rows start by hash where there is room.
+    place, start, label = F.pmod(F.xxhash64("row"), F.lit(max(1, sum(max(0, r) for r in room)))), 0, F.lit(0)
+    for s in range(shards):
+        if room[s] > 0:
+            label = F.when(place >= start, F.lit(s)).otherwise(label)
+            start += room[s]
+    labels = stage(links.select("row").distinct().select("row", label.cast("int").alias("label")))
     for turn in range(rounds):
         votes = links.join(labels, "row").groupBy("key", "label").agg(F.count(F.lit(1)).alias("c"))
         # Ties go to the shard that the key names, so that not all ties want the same one.
@@ -53,8 +78,7 @@ def propagate(links: DataFrame, shards: int, room: int, rounds: int = ROUNDS) ->
                 leaving[f.label] += f.c
         if not any(asking):
             break
-        # Those who leave make room in the next round at the latest.
-        share = [min(1.0, max(0, room - here[s] + leaving[s] // 2) / asking[s]) if asking[s] else 0.0 for s in range(shards)]
+        share = [min(1.0, max(0, room[s] - here[s] + leaving[s]) / asking[s]) if asking[s] else 0.0 for s in range(shards)]
         luck = F.pmod(F.xxhash64("row", F.lit(turn)), F.lit(1 << 20)) / float(1 << 20)
         goes = luck < F.element_at(F.array(*map(F.lit, share)), F.col("wish") + 1)
         labels = stage(asked.select("row", F.when(goes, F.col("wish")).otherwise(F.col("label")).alias("label")))
@@ -94,7 +118,12 @@ def shard(docs: DataFrame, shards: int = 16, links: DataFrame | None = None) ->
     total = rows.count()
     # Shards 0 .. total % shards - 1 hold one row more.
     quota = [total // shards + (s < total % shards) for s in range(shards)]
-    labels = propagate(member, shards, math.ceil(total / shards))
+    room = math.ceil(total / shards)
+    large, taken = spread(member, shards, max(room, 1))
+    rest = member if large is None else stage(member.join(large, "row", "left_anti"))
+    labels = propagate(rest, shards, [room - t for t in taken])
+    if large is not None:
+        labels = stage(labels.unionByName(large))
     first_key = member.groupBy("row").agg(F.min("key").alias("key"))
     linked = stage(
         labels.join(first_key, "row").orderBy("label", "key", "row").withColumn("at", F.monotonically_increasing_id())

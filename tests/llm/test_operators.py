@@ -1,0 +1,448 @@
+"""Operators against brute force on small tables, and their corner cases."""
+
+from __future__ import annotations
+
+import base64
+import collections
+import hashlib
+import itertools
+import os
+import re
+import zlib
+
+import numpy as np
+import pytest
+
+import __spark_entry__ as contract
+import corpus_pipeline
+from cotejo.llm import decontam, html_extract, jaccard, license, packing, pii, quality, sharding, tokencount, warc
+from cotejo.llm.queries import QUERIES, tokenizer_file
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+FOLDER = "/root/testdata/sf0.001"
+needs_data = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test tables not present")
+
+
+def prose(seed: int, n: int) -> str:
+    rng = np.random.default_rng(seed)
+    return " ".join("".join(rng.choice(list("abcdefghij"), 5)) for _ in range(n))
+
+
+def odd_texts() -> list[str | None]:
+    """Null, empty, blank, short, repeated, tied and very long texts."""
+    long = prose(1, 30_000)
+    copy = prose(2, 200)
+    words = copy.split()
+    near = " ".join(words[:100] + ["other"] + words[101:])
+    return [None, "", " \t\n", "one", "One two", "one  TWO", copy, copy, near, long, long + " end", "é ü 漢字 " * 30, "x" * 5000, "a\r\n\r\nb\x1cc", prose(3, 60), "same same " * 40]
+
+
+def docs_of(spark, texts, first=0):
+    rows = [(first + i, t, "en", "s", None if t is None else len(t)) for i, t in enumerate(texts)]
+    return spark.createDataFrame(rows, DOCS)
+
+
+def odd(spark):
+    """Odd texts, a repeated row, a null id, and columns with the names of results."""
+    df = docs_of(spark, odd_texts()).unionByName(docs_of(spark, ["one two three"], 3)).unionByName(docs_of(spark, [odd_texts()[6]], 6))
+    null = spark.createDataFrame([(None, odd_texts()[6], None, None, None)], DOCS)
+    from pyspark.sql import functions as F
+
+    return df.unionByName(null).withColumns({c: F.lit(1) for c in ("n_words", "component_id", "shard", "size", "s", "g", "h", "rep", "part", "key", "spans", "row", "k")})
+
+
+def empty(spark):
+    return spark.createDataFrame([], DOCS)
+
+
+def shingles(text):
+    w = WORD.findall((text or "").translate({c: c + 32 for c in range(65, 91)}))
+    if not w:
+        return frozenset()
+    return frozenset(tuple(w[i : i + 5]) for i in range(len(w) - 4)) if len(w) >= 5 else frozenset([tuple(w)])
+
+
+def brute_components(rows):
+    sets = collections.defaultdict(list)
+    for i, t in rows:
+        sets[i].append(shingles(t))
+    parent = {i: i for i in sets}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in itertools.combinations(sets, 2):
+        if any(x and y and 100 * len(x & y) >= 75 * len(x | y) for x in sets[a] for y in sets[b]):
+            ra, rb = root(a), root(b)
+            parent[max(ra, rb)] = min(ra, rb)
+    return {i: root(i) for i in sets}
+
+
+def check_components(df):
+    rows = [(r.doc_id, r.text) for r in df.select("doc_id", "text").collect()]
+    got = jaccard.similar(df).collect()
+    assert len(got) == len(rows)
+    want = brute_components([r for r in rows if r[0] is not None])
+    for r in got:
+        assert r.component_id == (None if r.doc_id is None else want[r.doc_id]), r
+    assert sorted(r.n_shingles for r in got) == sorted(len(shingles(t)) for _, t in rows)
+
+
+def test_jaccard_corner_cases(spark):
+    check_components(odd(spark))
+    assert jaccard.similar(empty(spark)).count() == 0
+
+
+def test_jaccard_group_of_near_copies(spark):
+    """More near copies of one text than a short list holds, in chains of growing distance."""
+    rng = np.random.default_rng(5)
+    base = prose(4, 120).split()
+    texts = []
+    for i in range(150):
+        words = list(base)
+        for place in rng.choice(120, int(rng.integers(0, 7)), replace=False):
+            words[place] = f"w{i}x{place}"
+        texts.append(" ".join(words))
+    passage = prose(6, 60)
+    texts += [f"{prose(100 + i, 40)} {passage} {prose(300 + i, 30)}" for i in range(80)]
+    check_components(docs_of(spark, texts))
+
+
+def test_keep_one_takes_effect(spark):
+    df = docs_of(spark, odd_texts())
+    kept = {r.doc_id for r in jaccard.keep_one(df).collect()}
+    want = brute_components(list(enumerate(odd_texts())))
+    assert kept == {i for i, c in want.items() if i == c}
+    assert jaccard.keep_one(df).columns == df.columns
+
+
+def brute_counts(text):
+    w = WORD.findall(text or "")
+    seen = collections.Counter(zip(w, w[1:], w[2:]))
+    again = {k + d for k in range(len(w) - 2) if seen[w[k], w[k + 1], w[k + 2]] > 1 for d in range(3)}
+    lines, copies = set(), 0
+    for line in (text or "").split("\n"):
+        if WORD.search(line):
+            copies += line in lines
+            lines.add(line)
+    return len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text or "")), copies, len(again)
+
+
+def test_quality_counts(spark):
+    df = odd(spark)
+    texts = {r.doc_id: r.text for r in docs_of(spark, odd_texts()).collect()}
+    for r in quality.quality(df).collect():
+        if r.doc_id is not None and r.doc_id != 3:
+            want = brute_counts(texts[r.doc_id])
+            assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == want
+            assert r.base_failed == (want[0] < 50 or 100 * want[4] > 50 * want[0])
+            assert not (r.base_failed and r.kept)
+    assert quality.quality(empty(spark)).count() == 0
+
+
+def test_quality_bands(spark):
+    rng = np.random.default_rng(0)
+    noise = " ".join(base64.b85encode(rng.bytes(30)).decode() for _ in range(200))
+    loops = "\n".join(prose(9, 12) + f" {i}" for i in range(200))
+    df = docs_of(spark, [prose(7, 300), noise, loops, None])
+    assert [r.kept for r in quality.quality(df).orderBy("doc_id").collect()] == [True, False, False, False]
+    assert [r.doc_id for r in quality.keep_good(df).collect()] == [0]
+    assert quality.keep_good(df).columns == df.columns
+
+
+PLAIN = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def brute_spans(text):
+    def good(kind, found):
+        digits = re.sub("[^0-9]", "", found)
+        if kind == "ip":
+            return all(int(p) <= 255 for p in found.split("."))
+        if kind == "card":
+            d = [int(c) for c in digits][::-1]
+            return 14 <= len(d) <= 19 and (sum(d[::2]) + sum(sum(divmod(2 * c, 10)) for c in d[1::2])) % 10 == 0
+        return kind == "email" or 10 <= len(digits) <= 15
+
+    spans = [(m.start(), k, m.end(), kind) for k, kind in enumerate(PLAIN) for m in re.finditer(PLAIN[kind], text) if good(kind, m[0])]
+    return [f"{kind}:{s}:{e}" for s, _, e, kind in sorted(spans)]
+
+
+def test_personal_data_base_spans(spark):
+    rng = np.random.default_rng(8)
+    alphabet = list("ab1 2.3@-+(45)678é90\n")
+    texts = ["".join(rng.choice(alphabet, 200)) for _ in range(150)]
+    texts += ["a@b@c.d.e x@y..z %@q.r", "1.2.3.4.5.6.7.8 999.1.1.1 0001.2.3.4", "4111 1111 1111 1111 4111111111111112", "+1 (555) 123-4567. +12 +1234567890123456", None, ""]
+    for r, text in zip(pii.personal_data(docs_of(spark, texts)).orderBy("doc_id").collect(), texts):
+        want = brute_spans(text or "")
+        assert r.base_sha256 == hashlib.sha256(",".join(want).encode()).hexdigest()
+        assert (r.n_email, r.n_ip, r.n_card, r.n_phone) == tuple(sum(w.startswith(k + ":") for w in want) for k in PLAIN)
+        assert set(want) <= set(filter(None, r.spans.split(",")))
+    assert pii.personal_data(empty(spark)).count() == 0
+    assert pii.personal_data(odd(spark)).count() == odd(spark).count()
+
+
+@pytest.mark.parametrize(
+    ("text", "kind", "source"),
+    [
+        ("write to john.doe [at] example [dot] com now", "email", "john.doe [at] example [dot] com"),
+        ("write to john (at) example.org now", "email", "john (at) example.org"),
+        ("mail jane dot roe at example dot co dot uk please", "email", "jane dot roe at example dot co dot uk"),
+        ("mail jоhn@exаmple.com please", "email", "jоhn@exаmple.com"),
+        ("mail ａｂｃ＠ｄｅｆ．ｃｏｍ please", "email", "ａｂｃ＠ｄｅｆ．ｃｏｍ"),
+        ("call plus one five five five one two three four five six seven today", "phone", "plus one five five five one two three four five six seven"),
+        ("host 10[.]0[.]0[.]12 is down", "ip", "10[.]0[.]0[.]12"),
+        ("card four one one one one one one one one one one one one one one one ok", "card", "four one one one one one one one one one one one one one one one"),
+        ("zero​width a​b@c.org.", "email", "a​b@c.org"),
+    ],
+)
+def test_personal_data_in_disguise(text, kind, source):
+    base, more = pii.Finder().spans("é\n" + text)
+    assert (kind, source) in [(k, ("é\n" + text)[s:e]) for s, e, k in base + more]
+
+
+def test_personal_data_leaves_plain_text_alone():
+    for text in ("we met at noon and at ten one two", "the dot at the end", "un dos tres", "Привет, это обычный текст."):
+        assert pii.Finder().spans(text) == ([], [])
+
+
+def test_redact(spark):
+    df = docs_of(spark, ["to a@b.co or c [at] d [dot] org.", None, "clean"])
+    got = pii.redact(df).orderBy("doc_id").collect()
+    assert [r.text for r in got] == ["to <EMAIL> or <EMAIL>.", None, "clean"]
+    assert [r.n_chars for r in got] == [len("to <EMAIL> or <EMAIL>."), None, 5]
+
+
+def check_packing(rows, texts):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(tokenizer_file())
+    want = []
+    for doc, text in texts:
+        ids = np.array(tokenizer.encode(text or "", add_special_tokens=False).ids + [1], "<u4")
+        want += [(doc, p, s, len(ids[s : s + 4096]), zlib.crc32(ids[s : s + 4096].tobytes())) for p, s in enumerate(range(0, len(ids), 4096))]
+    key = lambda x: tuple((v is not None, v) for v in x)
+    assert sorted(((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in rows), key=key) == sorted(want, key=key)
+    sequences = collections.defaultdict(list)
+    for r in rows:
+        sequences[r.sequence_id].append((r.offset, r.length))
+    for pieces in sequences.values():
+        at = 0
+        for offset, length in sorted(pieces):
+            assert offset == at
+            at += length
+        assert at <= 4096
+    return len(sequences), -(-sum(w[3] for w in want) // 4096)
+
+
+def test_packing(spark):
+    df = odd(spark)
+    rows = packing.pack(df, tokenizer_file()).collect()
+    made, least = check_packing(rows, [(r.doc_id, r.text) for r in df.select("doc_id", "text").collect()])
+    assert made <= least + 2
+    assert packing.pack(empty(spark), tokenizer_file()).count() == 0
+
+
+def test_packing_merges_partitions(spark):
+    texts = [prose(i, 20 + 37 * i % 400) for i in range(200)]
+    made, least = check_packing(packing.pack(docs_of(spark, texts).repartition(20), tokenizer_file()).collect(), list(enumerate(texts)))
+    assert made <= 1.1 * least + 2
+
+
+@pytest.mark.parametrize("lengths", [[], [4096], [3000] * 5, [1] * 5000, list(range(1, 300))])
+def test_best_fit(lengths):
+    bins, offsets = packing.best_fit(np.array(lengths, np.int64), 4096)
+    fill = collections.defaultdict(int)
+    for i in sorted(range(len(lengths)), key=lambda i: (bins[i], offsets[i])):
+        assert offsets[i] == fill[bins[i]]
+        fill[bins[i]] += lengths[i]
+    assert all(v <= 4096 for v in fill.values())
+
+
+def test_decontamination(spark):
+    item = prose(50, 40)
+    words = item.split()
+    changed = list(words)
+    for place in (7, 18, 29):
+        changed[place] = "zzz"
+    texts = [f"{prose(1, 90)} {item} {prose(2, 50)}", f"{prose(3, 50)} {' '.join(changed)}", prose(4, 200), None, "", " ".join(words[:16]) + " " + prose(5, 30), "Short, Item!", "short item and more"]
+    benchmark = spark.createDataFrame([(1, item, 0), (2, "short item", 0), (3, None, 0), (4, "", 0), (None, item, 0)], "item_id long, text string, i int")
+    for most in (0, 1_000_000):  # with a shuffled and with a broadcast join
+        got = {(r.doc_id, r.item_id): r for r in decontam.contaminated(docs_of(spark, texts), benchmark, broadcast_hashes=most).collect()}
+        assert set(got) == {(0, 1), (1, 1), (5, 1), (6, 2)}
+        assert (got[0, 1].n_words, got[0, 1].doc_start, got[0, 1].n_span) == (40, 90, 40)
+        assert got[1, 1].n_words == 37
+    assert decontam.contaminated(empty(spark), benchmark).count() == 0
+    assert decontam.contaminated(docs_of(spark, texts), benchmark.limit(0)).count() == 0
+    assert {r.doc_id for r in decontam.drop_contaminated(docs_of(spark, texts), benchmark).collect()} == {2, 3, 4, 7}
+    assert decontam.contaminated(odd(spark), benchmark).count() == 0
+
+
+def test_decontamination_runs_no_python(spark):
+    df = decontam.contaminated(docs_of(spark, [prose(1, 50)]), spark.createDataFrame([(1, prose(1, 50))], "item_id long, text string"))
+    assert not re.search("Python|Pandas|Arrow", df._jdf.queryExecution().executedPlan().toString())
+
+
+def greedy(word, initial, following, longest):
+    at = n = 0
+    while at < len(word):
+        end = next((e for e in range(min(len(word), at + longest), at, -1) if word[at:e] in (following if at else initial)), 0)
+        if not end:
+            return 0
+        at, n = end, n + 1
+    return n
+
+
+def test_token_counts_automaton():
+    rng = np.random.default_rng(3)
+    for _ in range(30):
+        pieces = lambda: {"".join(rng.choice(list("abc"), int(rng.integers(1, 6)))) for _ in range(12)}
+        initial, following = pieces(), pieces()
+        automaton = tokencount.Automaton(initial, following)
+        for _ in range(200):
+            word = "".join(rng.choice(list("abcd"), int(rng.integers(1, 15)), p=[0.4, 0.3, 0.28, 0.02]))
+            assert automaton.count(word) == greedy(word, initial, following, 6), (word, initial, following)
+
+
+def test_token_counts(spark):
+    initial, following = tokencount.sentencepiece_vocabulary(tokenizer_file("piece_bpe_32k.model"))
+    i, f, longest = set(initial), set(following), max(map(len, initial + following))
+    texts = odd_texts()
+    for r, text in zip(tokencount.token_counts(docs_of(spark, texts), initial, following).orderBy("doc_id").collect(), texts):
+        counts = [greedy(w, i, f, longest) for w in WORD.findall(text or "")]
+        assert (r.n_words, r.n_tokens, r.n_unknown) == (len(counts), sum(counts) + counts.count(0), counts.count(0))
+    assert tokencount.token_counts(empty(spark), initial, following).count() == 0
+    assert tokencount.token_counts(odd(spark), initial, following).count() == odd(spark).count()
+
+
+def test_archives(spark):
+    pages = [(1, "http://a/1", "<p>x</p>"), (2, "http://a/2", "<p>x</p>"), (3, None, None), (4, "http://b", ""), (5, "u", "a\r\n\r\nb\r\n"), (6, "u", "\r\n\r\nx\r\n\r\n\r\n"), (7, "u\nv", "é漢" * 5000), (8, "w", "WARC/1.1\r\nContent-Length: 3\r\n\r\n"), (9, "u", "<p>x</p>"), (9, "u", "<p>x</p>"), (None, "n", "<p>x</p>"), (10, "z", "\r\n"), (11, "z", "\n")]
+    df = spark.createDataFrame([(*p, 0) for p in pages], "page_id long, url string, html string, payload int").repartition(3)
+    largest = collections.defaultdict(lambda: -1)
+    for p, _, h in pages:
+        largest[h or ""] = max(largest[h or ""], -1 if p is None else p)
+    got = warc.round_trip(df).collect()
+    assert len(got) == len(pages) and all(r.intact for r in got)
+    want = []
+    for p, _, h in pages:
+        raw, first = (h or "").encode(), largest[h or ""]
+        code = base64.b32encode(hashlib.sha1(raw).digest()).decode()
+        want.append((p or -1, len(raw), code, *(("response", -1) if p == first else ("revisit", first))))
+    assert sorted((r.page_id or -1, r.payload_bytes, r.payload_digest, r.record_type, -1 if r.refers_to is None else r.refers_to) for r in got) == sorted(want)
+    assert warc.round_trip(df.limit(0)).count() == 0
+    assert {r.record_type for r in warc.round_trip(df, least_bytes=10**6).collect()} == {"response"}
+
+
+def check_shards(rows, texts, shards=16):
+    counts = collections.Counter(r.shard for r in rows)
+    sizes = [counts[s] for s in range(shards)]
+    assert len(rows) == len(texts) and max(sizes) - min(sizes) <= 1
+    for s in range(shards):
+        assert sorted(r.slot for r in rows if r.shard == s) == list(range(counts[s]))
+    assert sorted((r.size, r.text_crc32) for r in rows) == sorted((len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for t in texts)
+    assert {(r.law, r.grown_shard) for r in rows} <= {("rows", None)}
+
+
+def test_shards(spark):
+    texts = [f"text {i // 4}" for i in range(400)] + [prose(i, 20) for i in range(300)] + [None, ""] + ["hot"] * 350
+    rows = sharding.shard(docs_of(spark, texts)).collect()
+    check_shards(rows, texts)
+    places = collections.defaultdict(set)
+    for r in rows:
+        places[texts[r.doc_id] or ""].add(r.shard)
+    assert sum(len(v) > 1 for v in places.values()) <= 17 and len(places["hot"]) <= 8
+    check_shards(sharding.shard(odd(spark)).collect(), [r.text for r in odd(spark).select("text").collect()])
+    assert sharding.shard(empty(spark)).count() == 0
+    check_shards(sharding.shard(docs_of(spark, ["a", "b"])).collect(), ["a", "b"])
+    links = spark.createDataFrame([(i, f"k{i % 50}") for i in range(400)], "doc_id long, key string")
+    check_shards(sharding.shard(docs_of(spark, texts), links=links).collect(), texts)
+
+
+def test_licences(spark):
+    wrapped = "\n".join(re.findall(r".{1,60}(?:\s|$)", " ".join(license.SENTENCES[k] for k in ("mit-grant", "mit-notice", "mit-as-is", "mit-liability"))))
+    bsd = "\n".join(f"{i}. {license.SENTENCES[k]}" if i else license.SENTENCES[k] for i, k in enumerate(("bsd-grant", "bsd-source", "bsd-binary", "bsd-endorse")))
+    texts = [
+        "Title\nReleased under the MIT License.\nmore", "words. Licensed under CC BY-NC 4.0.\n", "This work is licensed under the GNU General Public License, version 3.",
+        f"MIT\n\nCopyright (c) 2020 Someone\n\n{wrapped}", bsd, "SPDX-License-Identifier: Apache-2.0", "A driving license is needed.", None, "", license.SENTENCES["bsd-binary"],
+        "This file is licensed under the Apache License, Version 2.0.", "Released under the MIT License. Released under the MIT License.",
+    ]
+    got = [r.licences for r in license.licences(docs_of(spark, texts)).orderBy("doc_id").collect()]
+    assert got == ["MIT", "CC-BY-NC-4.0", "GPL-3.0", "MIT", "BSD-3-Clause", "Apache-2.0", "", "", "", "", "Apache-2.0", "MIT"]
+    assert license.licences(empty(spark)).count() == 0
+    assert license.licences(odd(spark)).count() == odd(spark).count()
+
+
+FRAME = (
+    "<html><head><title>t</title><script>var a='<p>no</p>';</script></head><body><header class='site'><a href='/'>Site</a></header><nav><ul>{nav}</ul></nav>"
+    "<div class='cookie-notice'>We use cookies</div>{main}<aside>side</aside><section id='comments'><p>reader says</p></section><form>go <input></form><footer>&copy; x</footer></body></html>"
+)
+
+
+def test_extraction(spark):
+    nav = "".join(f"<li><a href='/{i}'>n{i}</a></li>" for i in range(4))
+    article = "<article><header><h1>Head {i}</h1><span>by x</span></header><p>One&nbsp;&amp; <b>two<br><p>three   <!-- c -->{i}<div class='ad'>buy</div><p>end &lt;</article>"
+    plain = "<div><h1>Head {i}</h1><p>own words of page {i} here</p><p><a href='x'>only a link</a></p></div>"
+    rows = [(i, "http://h.example/a", FRAME.format(nav=nav[: 60 * (i % 3)] + nav, main=article.format(i=i))) for i in range(6)]
+    rows += [(10 + i, "http://p.example/a", FRAME.format(nav=nav, main=plain.format(i=i))) for i in range(5)]
+    rows += [(20, None, None), (21, "", ""), (22, "x", "<p>broken <b>text & more"), (22, "x", "<p>broken <b>text & more"), (None, "x", "<article>" + "<p>a " * 3000)]
+    df = spark.createDataFrame([(*r, 1, 2) for r in rows], "page_id long, url string, html string, host int, part int")
+    got = html_extract.extract(df).collect()
+    assert len(got) == len(rows) and all(r.n_chars == len(r.text) for r in got)
+    text = collections.defaultdict(list)
+    for r in got:
+        text[r.page_id].append(r.text)
+    for i in range(6):
+        assert text[i] == [f"Head {i}\nOne & two\nthree {i}\nend <"]
+    for i in range(5):
+        assert text[10 + i] == [f"Head {i}\nown words of page {i} here"]
+    assert text[20] == text[21] == [""] and text[22] == ["broken text & more"] * 2 and text[None][0].count("\n") == 2999
+    assert html_extract.extract(df.limit(0)).count() == 0
+
+
+def test_wrapper_is_inferred():
+    page = lambda n, extra: html_extract.tokens(f"<ul>{''.join(f'<li>{i}{n}</li>' for i in range(n))}</ul>{extra}<p>fixed</p><p>{n}</p>")
+    wrapper = html_extract.infer(iter([page(2, ""), page(4, "<em>new</em>"), page(3, "")]))
+    kinds = [w.kind for w in wrapper]
+    assert "plus" in kinds and "opt" in kinds
+    assert [w.text for w in wrapper if w.kind == "text"] == ["fixed", None]
+    assert html_extract.consume(wrapper, page(9, ""), 0) == len(page(9, ""))
+
+
+@needs_data
+def test_queries_give_whole_tables(spark):
+    documents = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    pages = spark.read.parquet(f"{FOLDER}/pages.parquet")
+    for name, function in QUERIES.items():
+        assert name in contract.queries()
+        count = function(spark, FOLDER).count()
+        if name.startswith(("op1_", "op8_")):
+            assert count == pages.count()
+        elif name.startswith("op6_"):
+            assert count >= documents.count()
+        elif not name.startswith("op10_"):
+            assert count == documents.count()
+
+
+@needs_data
+def test_pipeline_against_brute_force(spark):
+    documents = {r.doc_id: r.text for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()}
+    items = [WORD.findall(r.text.lower()) for r in spark.read.parquet(f"{FOLDER}/benchmark.parquet").collect()]
+    import zstandard
+
+    press = zstandard.ZstdCompressor(level=3).compress
+    kept = {i: t for i, t in documents.items() if quality.judge(t, quality.Bands(), press)[6]}
+    component = brute_components(list(kept.items()))
+    kept = {i: t for i, t in kept.items() if component[i] == i}
+    eights = {tuple(w[k : k + 12]) for w in items for k in range(len(w) - 11)}
+    kept = {i: t for i, t in kept.items() if not any(tuple(w[k : k + 12]) in eights for w in [WORD.findall(t.lower())] for k in range(len(w) - 11))}
+    finder = pii.Finder()
+    kept = {i: pii.redact_text(t, sum(finder.spans(t), [])) for i, t in kept.items()}
+    check_packing(corpus_pipeline.run(spark, FOLDER).collect(), list(kept.items()))
+    assert [name for name, _ in corpus_pipeline.STAGES] == ["quality", "near_duplicates", "decontamination", "personal_data", "packing"]
