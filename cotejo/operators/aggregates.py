@@ -24,8 +24,10 @@ def group_sum(
     keys: Sequence[str],
     measures: Sequence[str] | Mapping[str, str],
     exact: str | None = None,
+    keep_nulls: bool = False,
 ) -> DataFrame:
-    """Sum measures per key. Rows with a null key are dropped, a group of nulls sums to 0.
+    """Sum measures per key; a group of nulls sums to 0. Rows with a null key are dropped, or
+    with ``keep_nulls`` a null is a key like others.
 
     ``exact`` names a decimal type to sum in, which makes the result independent of the order
     in which tasks finish. ``measures`` may rename: ``{"new": "old"}``.
@@ -35,7 +37,7 @@ def group_sum(
         F.coalesce(F.sum(F.col(old).cast(exact) if exact else F.col(old)), F.lit(0)).alias(new)
         for new, old in named.items()
     ]
-    return with_keys(df, keys).groupBy(*keys).agg(*sums)
+    return (df if keep_nulls else with_keys(df, keys)).groupBy(*keys).agg(*sums)
 
 
 def distinct_on(

@@ -96,34 +96,48 @@ def with_html_attributes(df: DataFrame, html: str, tag: str, key: str, value: st
     """Add a map of one attribute to another over all tags of a kind; the last of equal keys
     stays.
 
-    The steps are columns of their own on purpose. An expression used inside a lambda is
-    evaluated for every element, so the search through the page must not stand there.
+    Attributes may be quoted either way or not at all; their character references and percent
+    codes are resolved. Tags without the key attribute are skipped. The steps are columns of
+    their own on purpose. An expression used inside a lambda is evaluated for every element, so
+    the search through the page must not stand there.
     """
 
     def attribute(text: Column, name: str) -> Column:
-        return F.regexp_extract(text, rf"(?is)\b{name}\s*=\s*[\"']([^\"']*)[\"']", 1)
-
-    tags = F.regexp_extract_all(F.col(html), F.lit(rf"(?is)(<{tag}\b[^>]*>)"), F.lit(1))
-    found = df.withColumn("__tags", tags).withColumns(
-        {
-            "__keys": F.transform("__tags", lambda t: attribute(t, key)),
-            "__values": F.transform("__tags", lambda t: attribute(t, value)),
-        }
+        raw = F.regexp_extract(text, rf"(?is)\s{name}\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)", 1)
+        plain = html_unescape(F.regexp_replace(raw, "^[\"']|[\"']$", ""))
+        return F.coalesce(F.try_url_decode(F.replace(plain, F.lit("+"), F.lit("%2B"))), plain)
+
+    pattern = rf"(?is)(<{tag}\b(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>)"
+    tags = F.filter(
+        F.regexp_extract_all(F.col(html), F.lit(pattern), F.lit(1)), lambda t: t.rlike(rf"(?is)\s{key}\s*=")
     )
-    entries = F.zip_with(
-        "__keys", "__values", lambda k, v: F.struct(k.alias("key"), v.alias("value"))
+    entries = F.transform(
+        "__tags", lambda t, i: F.struct(attribute(t, key).alias("key"), i.alias("place"), attribute(t, value).alias("value"))
     )
+    # Sorted by key and place, the last of equal keys stands before another key.
+    found = df.withColumn("__tags", tags).withColumn("__entries", F.array_sort(entries))
     last = F.filter(
-        entries,
-        lambda e, i: ~F.array_contains(F.slice("__keys", i + 2, F.size("__keys")), e["key"]),
+        "__entries", lambda e, i: ~F.coalesce(F.get("__entries", i + 1)["key"] == e["key"], F.lit(False))
     )
-    return found.withColumn(into, F.map_from_entries(last)).drop("__tags", "__keys", "__values")
+    pairs = F.transform(last, lambda e: F.struct(e["key"], e["value"]))
+    return found.withColumn(into, F.map_from_entries(pairs)).drop("__tags", "__entries")
+
+
+# Character references of markup signs.
+REFERENCES = {"&quot;": '"', "&#34;": '"', "&#39;": "'", "&#x27;": "'", "&apos;": "'", "&lt;": "<", "&gt;": ">", "&nbsp;": "\u00a0", "&amp;": "&"}
+
+
+def html_unescape(c: Column) -> Column:
+    """Text with the references of markup signs resolved, the ampersand last."""
+    for reference, sign in REFERENCES.items():
+        c = F.replace(c, F.lit(reference), F.lit(sign))
+    return c
 
 
 def html_text_of(c: Column | str, tag: str, element_id: str | None = None) -> Column:
     """Text inside the first tag of a kind, optionally the one with an id; null if there is none."""
     where = rf"[^>]*\bid\s*=\s*[\"']{element_id}[\"'][^>]*" if element_id else "[^>]*"
-    return F.nullif(F.regexp_extract(_col(c), rf"(?is)<{tag}\b{where}>(.*?)</{tag}>", 1), F.lit(""))
+    return F.nullif(html_unescape(F.regexp_extract(_col(c), rf"(?is)<{tag}\b{where}>(.*?)</{tag}>", 1)), F.lit(""))
 
 
 def with_html_params(df: DataFrame, html: str, into: str = "params") -> DataFrame:
@@ -134,6 +148,14 @@ def with_html_params(df: DataFrame, html: str, into: str = "params") -> DataFram
 # ---- parsed documents ------------------------------------------------------------------
 
 
+def malformed(df: DataFrame, ids: Sequence[str], document: str) -> DataFrame:
+    """Rows whose document is there but is no JSON object, with the reason; the decoders give
+    no rows for them."""
+    parsed = F.try_parse_json(document)
+    reason = F.when(parsed.isNull(), "not JSON").when(~F.schema_of_variant(parsed).startswith("OBJECT"), "not an object")
+    return df.select(*ids, F.when(F.col(document).isNotNull(), reason).alias("reason")).filter("reason is not null")
+
+
 def parse_data(c: Column | str) -> Column:
     return F.from_json(_col(c), DATA_SCHEMA)
 

@@ -63,11 +63,16 @@ def exclude_month(df: DataFrame, column: str, year: int, month: int, where: Colu
     return df.filter(~F.coalesce(hit, F.lit(False)))
 
 
-def drop_totals(df: DataFrame, column: str, markers: Sequence[str] = ("Grand Total", "%all%")) -> DataFrame:
-    """Drop total rows. Tables have no row order here, so a total is known by its marker
-    (or by a missing key), not by being last."""
+def drop_totals(
+    df: DataFrame,
+    column: str,
+    markers: Sequence[str] = ("Grand Total", "%all%"),
+    null_is_total: bool = False,
+) -> DataFrame:
+    """Drop total rows. Tables have no row order here, so a total is known by its marker, not by
+    being last. Rows without a key stay unless ``null_is_total``."""
     c = F.col(column)
-    return df.filter(c.isNotNull() & ~c.isin(*markers))
+    return df.filter(F.coalesce(~c.isin(*markers), F.lit(not null_is_total)))
 
 
 def select_members(
@@ -94,7 +99,7 @@ def select_members(
     return df.filter(F.col(column).isin(keep) & (known == len(asked)))
 
 
-def top_rows(df: DataFrame, order: Sequence[Column | str], n: int = 200) -> DataFrame:
+def top_rows(df: DataFrame, order: Sequence[Column | str], n: int) -> DataFrame:
     """First ``n`` rows of a total order (a report limited to ``n`` rows)."""
     return df.orderBy(*order).limit(n)
 

@@ -3,13 +3,15 @@
 There are no broadcast hints in this package: the planner broadcasts a side only when its
 size, by statistics or as measured by AQE, is under ``spark.sql.autoBroadcastJoinThreshold``,
 and shuffles both sides otherwise. For a hot key on the fact side of a shuffled join,
-``salts`` spreads its rows; the salt is a hash of the row, so a task that runs twice gives
-the same rows.
+``salts`` collapses equal rows to one with a count, spreads the different ones by a hash of the
+row, and unfolds them after the join; a task that runs twice gives the same rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,18 +24,26 @@ def lookup_join(
 ) -> DataFrame:
     """Join a fact to a lookup table; several lookup rows per key fan out.
 
-    With ``salts`` > 1 each lookup row is repeated that often and each fact row goes to one of
-    the copies: a key with a third of the fact is then spread over ``salts`` tasks.
+    With ``salts`` > 1 equal fact rows are joined as one, each lookup row is repeated ``salts``
+    times and each different fact row goes to one of the copies: a key with a third of the fact
+    is then spread over ``salts`` tasks. Rows with a null key match nothing and are not joined.
     """
     on = list(on)
     if salts <= 1:
         return fact.join(dim, on, how)
     if how not in ("left", "inner", "left_semi", "left_anti"):
         raise ValueError(f"salting needs a join that keeps or drops fact rows, not {how}")
-    salted_fact = fact.withColumn("__salt", F.pmod(F.xxhash64(*fact.columns), F.lit(salts)).cast("int"))
+    keyed = reduce(and_, [F.col(f"`{k}`").isNotNull() for k in on])
+    counted = fact.filter(keyed).groupBy(*[F.col(f"`{c}`") for c in fact.columns]).agg(F.count(F.lit(1)).alias("__n"))
+    salted_fact = counted.withColumn("__salt", F.pmod(F.xxhash64(*fact.columns), F.lit(salts)).cast("int"))
     copies = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
     salted_dim = dim.withColumn("__salt", copies)
-    return salted_fact.join(salted_dim, [*on, "__salt"], how).drop("__salt")
+    joined = salted_fact.join(salted_dim, [*on, "__salt"], how).drop("__salt")
+    # As often as the row stood in the fact.
+    unfolded = joined.withColumn("__n", F.explode(F.array_repeat(F.lit(0), F.col("__n").cast("int")))).drop("__n")
+    if how in ("inner", "left_semi"):
+        return unfolded
+    return unfolded.unionByName(fact.filter(~keyed), allowMissingColumns=True)
 
 
 def dict_lookup(

@@ -29,12 +29,13 @@ def melt_sum(
     variable: str = "Metric",
     value: str = "Value",
     exact: str | None = None,
+    keep_nulls: bool = False,
 ) -> DataFrame:
     """Long fact with one row per key and measure.
 
     Sums first and melts the sums: melting first would double the rows that are aggregated.
     """
-    return melt(group_sum(df, keys, measures, exact), keys, measures, variable, value)
+    return melt(group_sum(df, keys, measures, exact, keep_nulls), keys, measures, variable, value)
 
 
 def pivot_sum_max(
@@ -46,11 +47,14 @@ def pivot_sum_max(
     newest: str = "MAX_DATE",
     total_prefix: str = "TOTAL_",
     newest_prefix: str = "DATE_",
+    rest: str | None = None,
 ) -> DataFrame:
     """Long to wide by the values of ``column``, sum of one column and maximum of another.
 
     ``names`` maps each value of ``column`` to the suffix of its output columns. With the
     values known this is one conditional aggregation: no job to find the values, one shuffle.
+    Rows of other values, null among them, are left out, or with ``rest`` gathered under that
+    suffix.
     """
     dates = [
         F.max(F.when(F.col(column) == v, F.col(newest))).alias(newest_prefix + name)
@@ -60,7 +64,13 @@ def pivot_sum_max(
         conditional_sum(F.col(column) == v, total).alias(total_prefix + name)
         for v, name in names.items()
     ]
-    kept = with_keys(df, index).filter(F.col(column).isin(*names))
+    kept = with_keys(df, index)
+    if rest is None:
+        kept = kept.filter(F.col(column).isin(*names))
+    else:
+        other = ~F.coalesce(F.col(column).isin(*names), F.lit(False))
+        dates.append(F.max(F.when(other, F.col(newest))).alias(newest_prefix + rest))
+        totals.append(conditional_sum(other, total).alias(total_prefix + rest))
     return kept.groupBy(*index).agg(*dates, *totals)
 
 
@@ -75,7 +85,8 @@ def crosstab_to_long(
     """Year x measure crosstab to (ids, Date, Metric, Value).
 
     ``rows`` holds a whole sheet as array of rows of cell texts: years in the first row,
-    repeated measure names in the second, one row per month from ``first_data_row`` on.
+    repeated measure names in the second, one row per month from ``first_data_row`` on. A sheet
+    with text below its twelfth month is an error: no row is cut off.
     The k-th column whose name contains a measure's pattern belongs to the k-th year.
     A sheet is one row of the table, so the work is local to it and nothing is shuffled.
     """
@@ -85,8 +96,11 @@ def crosstab_to_long(
         *ids,
         F.filter(sheet[0], lambda cell: F.trim(cell).rlike("^[0-9]+$")).alias("__years"),
         F.slice(sheet[1], drop_columns + 1, width).alias("__names"),
-        F.posexplode(F.slice(sheet, first_data_row + 1, 12)).alias("__month", "__cells"),
+        F.posexplode(F.slice(sheet, first_data_row + 1, F.greatest(F.size(sheet) - first_data_row, F.lit(0)))).alias("__month", "__cells"),
     )
+    blank = F.forall("__cells", lambda cell: F.coalesce(F.trim(cell) == "", F.lit(True)))
+    beyond = F.raise_error(F.concat(F.lit("sheet row below the twelfth month: "), F.concat_ws("|", "__cells")))
+    by_month = by_month.filter(F.when(F.col("__month") < 12, True).when(blank, False).otherwise(beyond.cast("boolean")))
 
     def of_measure(metric: str, pattern: str) -> Column:
         positions = F.filter(
@@ -143,9 +157,10 @@ def gather_series(
     **sums: Column,
 ) -> DataFrame:
     """One row per series: the map ``__by_month`` of its monthly sums, its ``__first`` month,
-    the last month ``__until`` of the whole table, and further aggregates over the sums."""
-    if until is None:
-        until = df.agg(F.max(month)).scalar()
+    the last month ``__until`` of the whole table, and further aggregates over the sums. Dates
+    inside a month count for its first day."""
+    df = df.withColumn(month, F.trunc(month, "month"))
+    until = df.agg(F.max(month)).scalar() if until is None else F.trunc(until, "month")
     monthly = group_sum(df, [*series, month], [value], exact)
     gathered = monthly.groupBy(*series).agg(
         F.map_from_entries(F.collect_list(F.struct(month, value))).alias("__by_month"),

@@ -197,7 +197,7 @@ def drop_total_row(spark, folder):
         .agg(F.sum("total").alias("total"))
         .withColumn("priority", F.coalesce("priority", F.lit("Grand Total")))
     )
-    return filters.drop_totals(report, "priority").withColumn("total", F.col("total").cast("double"))
+    return filters.drop_totals(report, "priority", null_is_total=True).withColumn("total", F.col("total").cast("double"))
 
 
 @query(

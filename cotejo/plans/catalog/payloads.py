@@ -547,7 +547,7 @@ def value_position(spark, folder):
     WITH t AS (SELECT page_id, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title,
                       unnest(list_distinct(regexp_extract_all(html, '<a\b[^>]*\bhref="([^"]*)"[^>]*>', 1))) AS href
                FROM pages)
-    SELECT page_id, nullif(title, '') AS title, href AS name, href AS value FROM t
+    SELECT page_id, replace(nullif(title, ''), '&amp;', '&') AS title, href AS name, href AS value FROM t
     """,
 )
 def html_params(spark, folder):
@@ -576,4 +576,4 @@ def payload_csv(spark, folder):
     bodies = table(spark, folder, "customer").select(
         "c_custkey", F.when(F.col("c_mktsegment") == "MACHINERY", F.lit("")).otherwise(body).alias("body")
     )
-    return text_to_table(bodies, ["c_custkey"], "body", ["name", "nation"], width=3)
+    return text_to_table(bodies, ["c_custkey"], "body", ["name", "nation"])

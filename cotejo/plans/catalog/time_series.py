@@ -133,13 +133,11 @@ def outlier_rule(spark, folder):
     return both.filter(F.col("Value").isNotNull()).withColumn("isOutlier", series.outlier("Value", "Prediction"))
 
 
-YEARS = list(range(1995, 2002))
-
-
 @query(
     "crosstab_melt",
-    f"""
-    WITH y AS (SELECT unnest({YEARS}) AS year), m AS (SELECT unnest(range(1, 13)) AS month),
+    """
+    WITH y AS (SELECT CAST(unnest(range(a, b + 1)) AS INTEGER) AS year
+               FROM (SELECT min(year(l_shipdate)) AS a, max(year(l_shipdate)) AS b FROM lineitem)), m AS (SELECT unnest(range(1, 13)) AS month),
     s AS (SELECT l_suppkey AS supplier, CAST(year(l_shipdate) AS INTEGER) AS year, CAST(month(l_shipdate) AS INTEGER) AS month,
                  CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS units,
                  CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS mxn
@@ -159,8 +157,10 @@ def crosstab_melt(spark, folder):
         "l_quantity",
         "l_extendedprice",
     )
+    first, last = lines.agg(F.min("month"), F.max("month")).first()
+    years_of = range(first // 100, last // 100 + 1)
     sums = group_sum(lines, ["supplier", "month"], {"q": "l_quantity", "p": "l_extendedprice"}, MONEY)
-    # At most one entry per month of the seven years; a cell without an entry is blank.
+    # At most one entry per month of the years; a cell without an entry is blank.
     cells = F.concat_ws("\t", F.col("q").cast("string"), F.col("p").cast("string"))
     gathered = sums.groupBy("supplier").agg(
         F.map_from_entries(F.collect_list(F.struct("month", cells.alias("cells")))).alias("cells")
@@ -169,12 +169,12 @@ def crosstab_melt(spark, folder):
         F.concat_ws(
             "\t",
             F.lit(str(m)),
-            *[F.coalesce(F.try_element_at("cells", F.lit(y * 100 + m)), F.lit("\t")) for y in YEARS],
+            *[F.coalesce(F.try_element_at("cells", F.lit(y * 100 + m)), F.lit("\t")) for y in years_of],
         )
         for m in range(1, 13)
     ]
-    years = "\t".join(["Mes"] + [f"{y}\t" for y in YEARS])
-    names = "\t".join([""] + ["PIEZAS\tIMPORTE" for _ in YEARS])
+    years = "\t".join(["Mes"] + [f"{y}\t" for y in years_of])
+    names = "\t".join([""] + ["PIEZAS\tIMPORTE" for _ in years_of])
     sheets = gathered.select("supplier", F.concat_ws("\n", F.lit(f"{years}\n{names}\n"), *by_month).alias("sheet"))
     rows = text_to_rows(sheets, ["supplier"], "sheet", "rows")
     return reshape.crosstab_to_long(

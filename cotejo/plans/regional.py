@@ -18,7 +18,7 @@ from cotejo.functions.mapping import inverted, map_values, replace_values
 from cotejo.functions.numbers import parse_number
 from cotejo.functions.text import extract_any, strip, suffix, title_after_dash, title_case
 from cotejo.operators import quality, reconcile, series
-from cotejo.operators.aggregates import distinct_on, group_sum
+from cotejo.operators.aggregates import distinct_on, group_sum, with_keys
 from cotejo.operators.filters import drop_totals
 from cotejo.operators.joins import keep_known, lookup_join
 from cotejo.operators.reshape import melt_sum
@@ -30,6 +30,12 @@ SENT_KEYS = ("Date", "Product", "Country_ID", "Country_Name", "Channel")
 SERIES = ("Metric", "Channel", "Country_ID", "Product")
 AMOUNT_SCALE = 100000
 STAMP = "Fecha extracción"
+# Sums are made in this type, so that they don't depend on the order in which tasks end.
+EXACT = "decimal(28,6)"
+
+
+def _plain(df: DataFrame) -> DataFrame:
+    return df.withColumn("Value", F.col("Value").cast("double"))
 
 
 def _titled(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -75,12 +81,14 @@ def sales_fact(
         F.col("UNITS_QTY").cast("double").alias("QTY"),
         amount.alias("USD"),
     )
-    summed = group_sum(rows, ["Date", "Country_ID", "Channel", "Product_ID"], ["QTY", "USD"])
+    summed = group_sum(
+        with_keys(rows, ["Date"]), ["Date", "Country_ID", "Channel", "Product_ID"], ["QTY", "USD"], EXACT, keep_nulls=True
+    )
     described = lookup_join(
         summed, dimension.select("Country_ID", "Product_ID", *dims), ["Country_ID", "Product_ID"]
     )
     keys = ["Date", *dims, "Country_ID", "Channel"]
-    return melt_sum(_titled(described, ["Channel"]), keys, ["QTY", "USD"])
+    return _plain(melt_sum(_titled(described, ["Channel"]), keys, ["QTY", "USD"], exact=EXACT, keep_nulls=True))
 
 
 def market_fact(market: DataFrame, country_codes: Mapping[str, str]) -> DataFrame:
@@ -98,8 +106,8 @@ def market_fact(market: DataFrame, country_codes: Mapping[str, str]) -> DataFram
         F.bround(F.col("Values Usd").cast("double"), 2).alias("USD"),
     )
     raw = ["Date", *DIMENSIONS, "Country_ID", "Channel"]
-    summed = group_sum(rows, raw, ["QTY", "USD"])
-    return melt_sum(_titled(summed, [*DIMENSIONS, "Channel"]), raw, ["QTY", "USD"])
+    summed = group_sum(with_keys(rows, ["Date"]), raw, ["QTY", "USD"], EXACT, keep_nulls=True)
+    return _plain(melt_sum(_titled(summed, [*DIMENSIONS, "Channel"]), raw, ["QTY", "USD"], exact=EXACT, keep_nulls=True))
 
 
 def historical_validation(
@@ -127,7 +135,7 @@ def catalogue_reports(
     """The four catalogue checks: class codes of catalogue and of the dimensional report
     against the market, products with several molecules, molecules against the market."""
     labels = labels or {}
-    flex = drop_totals(market, "Period").select(
+    flex = drop_totals(market, "Period", null_is_total=True).select(
         title_case(strip("Product Description2")).alias("Product"),
         title_case(strip("Product Description")).alias("Product v2"),
         title_case(strip("Molecule")).alias("Molecule"),
@@ -207,7 +215,7 @@ def sent_fact(
         F.col("Units of SKU").cast("long").alias("Value"),
     )
     known = keep_known(rows, products, ["Product_ID"])
-    summed = group_sum(known, ["Date", "Product_ID", "Client Internal Code", "Channel"], ["Value"])
+    summed = group_sum(known, ["Date", "Product_ID", "Client Internal Code", "Channel"], ["Value"], EXACT)
     placed = lookup_join(summed, clients, ["Client Internal Code"])
     named = lookup_join(placed, products, ["Product_ID"]).withColumns(
         {
@@ -215,7 +223,7 @@ def sent_fact(
             "Channel": replace_values(strip("Channel"), channels),
         }
     )
-    return group_sum(named, SENT_KEYS, ["Value"])
+    return _plain(group_sum(named, SENT_KEYS, ["Value"], EXACT))
 
 
 def market_units(market: DataFrame, manufacturer: str, codes: Mapping[str, str]) -> DataFrame:
@@ -228,7 +236,7 @@ def market_units(market: DataFrame, manufacturer: str, codes: Mapping[str, str])
         title_case("Channel").alias("Channel"),
         F.col("Units").alias("Value"),
     )
-    return group_sum(rows, SENT_KEYS, ["Value"])
+    return _plain(group_sum(rows, SENT_KEYS, ["Value"], EXACT))
 
 
 def sent_vs_market(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,7 +55,8 @@ def read_delimited(
         .option("sep", sep)
         .option("header", header)
         .option("encoding", name)
-        .option("enforceSchema", True)
+        # A header that names other columns, or another order, is an error; see read_by_header.
+        .option("enforceSchema", False)
     )
     if name.upper().startswith("UTF-16") or name.upper().startswith("UTF-32"):
         reader = reader.option("multiLine", True)
@@ -62,6 +64,37 @@ def read_delimited(
     return df.select(*[F.col(f"`{c}`") for c in columns]) if columns else df
 
 
+def read_by_header(
+    spark: SparkSession,
+    paths: Sequence[str],
+    schema: T.StructType,
+    sep: str = ";",
+    encoding: str = "utf8",
+) -> DataFrame:
+    """Read files whose headers may order the columns differently or have further ones.
+
+    Files with the same header are read together, each layout by a schema of its own; columns
+    are then taken by name, and one that a layout lacks is null. Only the first line of each
+    file is read to find its layout.
+    """
+    layouts: dict[tuple[str, ...], list[str]] = {}
+    for path in paths:
+        names = spark.read.option("sep", sep).option("header", True).option("encoding", spark_encoding(encoding)).csv(path).columns
+        layouts.setdefault(tuple(n.replace(BYTE_ORDER_MARK, "").strip() for n in names), []).append(path)
+    types = {f.name: f.dataType for f in schema}
+
+    def read(names: tuple[str, ...], files: list[str]) -> DataFrame:
+        own = T.StructType([T.StructField(n, types.get(n, T.StringType())) for n in names])
+        df = (
+            spark.read.schema(own).option("sep", sep).option("header", True).option("enforceSchema", True)
+            .option("encoding", spark_encoding(encoding)).option("multiLine", spark_encoding(encoding).upper().startswith(("UTF-16", "UTF-32")))
+            .csv(files)
+        )
+        return df.select(*[F.col(f"`{f.name}`") if f.name in names else F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
+
+    return reduce(DataFrame.unionByName, [read(names, files) for names, files in layouts.items()])
+
+
 def read_folder(
     spark: SparkSession,
     path: str,

@@ -2,19 +2,30 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _parsed(line, sep: str, width: int):
-    schema = ", ".join(f"c{i} string" for i in range(width))
-    return F.from_csv(line, schema, {"sep": sep, "mode": "PERMISSIVE", "escape": '"'})
+# A quoted stretch, its quotes doubled inside.
+_QUOTED = '"(?:[^"]++|"")*+"'
 
 
-def _cells(parsed: str, width: int):
-    return F.array(*[F.col(parsed)[f"c{i}"] for i in range(width)])
+def _records(text):
+    """Lines of the text; a line break between quotes belongs to the cell."""
+    return F.regexp_extract_all(text, F.lit(f'((?:[^"\\r\\n]++|{_QUOTED}|")++)'), F.lit(1))
+
+
+def _cells(record, sep: str):
+    """Cells of a record, as many as there are, without their quotes."""
+    mark = re.escape(sep)
+    found = F.regexp_extract_all(F.concat(F.lit(sep), record), F.lit(f"{mark}({_QUOTED}|(?:(?!{mark}).)*+)"), F.lit(1))
+    return F.transform(
+        found,
+        lambda c: F.when(c.startswith('"'), F.regexp_replace(F.regexp_replace(c, '^"|"$', ""), '""', '"')).otherwise(c),
+    )
 
 
 def text_to_table(
@@ -23,31 +34,25 @@ def text_to_table(
     text: str,
     columns: Sequence[str],
     sep: str = ",",
-    width: int | None = None,
     row_number: str = "row_no",
 ) -> DataFrame:
     """Rows of the delimited text in ``text``, columns found by the names in its first line.
 
-    ``width`` is the largest number of columns a text may have (that of ``columns`` by
-    default). A blank text, or one with a header only, gives no rows. A text is one row of
-    the table and is parsed where it is.
+    A text may have any number of columns; one that it lacks is null, an empty cell without
+    quotes too. A blank text, or one with a header only, gives no rows. A text is one row of the
+    table and is parsed where it is.
     """
-    width = width or len(columns)
-    lines = F.filter(F.split(F.col(text), "\r?\n"), lambda line: F.length(line) > 0)
-    # A line is parsed in one step and taken apart in the next, so that it is parsed once.
-    headed = df.select(*ids, lines.alias("__lines")).select(
-        *ids, "__lines", _parsed(F.get("__lines", F.lit(0)), sep, width).alias("__first")
+    headed = df.select(*ids, _records(F.col(text)).alias("__lines")).select(
+        *ids, "__lines", _cells(F.get("__lines", F.lit(0)), sep).alias("__head")
     )
     body = F.slice("__lines", 2, F.greatest(F.size("__lines") - 1, F.lit(0)))
-    exploded = headed.select(
-        *ids, _cells("__first", width).alias("__head"), F.posexplode(body).alias(row_number, "__line")
-    )
-    parsed = exploded.select(*ids, row_number, "__head", _parsed(F.col("__line"), sep, width).alias("__row"))
-    return parsed.select(*ids, row_number, "__head", _cells("__row", width).alias("__cells")).select(
+    exploded = headed.select(*ids, "__head", F.posexplode(body).alias(row_number, "__line"))
+    parsed = exploded.select(*ids, row_number, "__head", _cells(F.col("__line"), sep).alias("__cells"))
+    return parsed.select(
         *ids,
         row_number,
         *[
-            F.get("__cells", F.array_position("__head", name).cast("int") - 1).alias(name)
+            F.nullif(F.get("__cells", F.array_position("__head", name).cast("int") - 1), F.lit("")).alias(name)
             for name in columns
         ],
     )

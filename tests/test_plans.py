@@ -53,6 +53,9 @@ def test_historical_validation(sales, dimension, market):
         ("Alpha", "Mol A", "Alpha 1X10Mg", "Public-Health", "USD", 17.34),
         ("Beta", "Mol C", "Beta 5", "Retail", "QTY", 1.0),
         ("Beta", "Mol C", "Beta 5", "Retail", "USD", 1.0),
+        # A product that no dimension row describes stays, without a description.
+        (None, None, None, "Retail", "QTY", 1.0),
+        (None, None, None, "Retail", "USD", 0.0),
     ]
     report = regional.historical_validation(fact, regional.market_fact(market, {"PA": "PAN"}), RUN)
     got = {(r["Product"], r["Metric"]): r for r in report.collect()}
