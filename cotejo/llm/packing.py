@@ -73,6 +73,18 @@ def pack_rows(lengths: np.ndarray, bins: np.ndarray, offsets: np.ndarray, fills:
     return new[place], offsets + shift[place], total[new[place]], is_open[new[place]]
 
 
+def _base(word: bytes) -> tuple[bytes, ...]:
+    """Parts of a word that have the same ids one after the other: the tokenizer ignores case, and
+    a point or comma after an ASCII letter or digit is a token by itself. Words with a special
+    token's signs stay whole."""
+    if b"<|" in word:
+        return (word,)
+    low = word.lower() if word.isascii() else word
+    if len(low) > 1 and low[-1:] in b".," and low[-2:-1].isalnum():
+        return low[:-1], low[-1:]
+    return (low,)
+
+
 class WordIds:
     """Token ids of texts as little-endian 32-bit bytes, through a bounded memory of words.
 
@@ -96,9 +108,14 @@ class WordIds:
             if len(known) + len(new) > REMEMBERED:
                 known.clear()
                 new = list(set(words))
-            found = self.tokenizer.encode_batch([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)
-            for word, encoding in zip(new, found):
+            # Many new words differ from a known one in case or in the sign at their end only.
+            bases = {w: _base(w) for w in new}
+            missing = list({part for b in bases.values() for part in b if part not in known})
+            found = self.tokenizer.encode_batch([w.decode("utf-8", "replace") for w in missing], add_special_tokens=False)
+            for word, encoding in zip(missing, found):
                 known[word] = np.array(encoding.ids, "<u4").tobytes()
+            for word, parts in bases.items():
+                known[word] = b"".join(map(known.__getitem__, parts))
         return b"".join(map(known.__getitem__, words))
 
 
