@@ -8,6 +8,7 @@ is left. Only (id, length, place) rows travel, never tokens.
 from __future__ import annotations
 
 import bisect
+import struct
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -24,7 +25,9 @@ SLACK = 24
 # the others are sequences as they are), so that a merging task has a bounded input.
 FAN, PASSED_ON = 8, 4096
 # Words whose ids a task remembers.
-REMEMBERED = 300_000
+REMEMBERED = 600_000
+# ASCII signs that a word may end with.
+SIGNS = bytes(c for c in range(33, 127) if not chr(c).isalnum())
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, bin long, offset long, fill long, open boolean"
 
@@ -75,13 +78,21 @@ def pack_rows(lengths: np.ndarray, bins: np.ndarray, offsets: np.ndarray, fills:
 
 def _base(word: bytes) -> tuple[bytes, ...]:
     """Parts of a word that have the same ids one after the other: the tokenizer ignores case, and
-    a point or comma after an ASCII letter or digit is a token by itself. Words with a special
-    token's signs stay whole."""
+    a run of ASCII signs at the end of a word is split off after a letter or digit. Words with a
+    special token's signs stay whole, and so do those with characters beyond U+024F, where case
+    and composition may depend on neighbours."""
     if b"<|" in word:
         return (word,)
-    low = word.lower() if word.isascii() else word
-    if len(low) > 1 and low[-1:] in b".," and low[-2:-1].isalnum():
-        return low[:-1], low[-1:]
+    if word.isascii():
+        low = word.lower()
+    else:
+        text = word.decode("utf-8", "replace")
+        if max(text) > "\u024f":
+            return (word,)
+        low = text.lower().encode()
+    stem = low.rstrip(SIGNS)
+    if stem and len(stem) < len(low) and (stem[-1:].isalnum() or stem.decode()[-1].isalpha()):
+        return stem, low[len(stem) :]
     return (low,)
 
 
@@ -111,11 +122,13 @@ class WordIds:
             # Many new words differ from a known one in case or in the sign at their end only.
             bases = {w: _base(w) for w in new}
             missing = list({part for b in bases.values() for part in b if part not in known})
-            found = self.tokenizer.encode_batch([w.decode("utf-8", "replace") for w in missing], add_special_tokens=False)
+            found = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in missing], add_special_tokens=False)
             for word, encoding in zip(missing, found):
-                known[word] = np.array(encoding.ids, "<u4").tobytes()
+                ids = encoding.ids
+                known[word] = struct.pack(f"<{len(ids)}I", *ids)
             for word, parts in bases.items():
-                known[word] = b"".join(map(known.__getitem__, parts))
+                if parts[0] != word:
+                    known[word] = known[parts[0]] + known[parts[1]] if len(parts) > 1 else known[parts[0]]
         return b"".join(map(known.__getitem__, words))
 
 

@@ -256,6 +256,22 @@ def test_packing_merges_partitions(spark):
     assert made <= 1.1 * least + 2
 
 
+@pytest.mark.parametrize(
+    "text",
+    [
+        "Don't WE'LL stop's '' 's it's!!! x.' a_b_ --- 12.50, 5%",
+        "caf\u00e9!!! \u00c9T\u00c9%%% \u0130x... \u039f\u0394\u039f\u03a3! na\u00efve\u00b2. \u00b7. \u00bd! \u00aa! \u0149! \u01c5!",
+        "a\u0301!! x=\u0338 e\u0301e K\u212a. \u00a0x\u00a0. \u2003y",
+        "<|startoftext|> a<|endoftext|>! <|x. A<B>.. [at] (dot)",
+    ],
+)
+def test_ids_of_words_are_those_of_the_text(text):
+    from tokenizers import Tokenizer
+
+    ids = Tokenizer.from_file(tokenizer_file()).encode(text, add_special_tokens=False).ids
+    assert packing.WordIds(tokenizer_file())(text.encode()) == np.array(ids, "<u4").tobytes()
+
+
 @pytest.mark.parametrize("lengths", [[], [4096], [3000] * 5, [1] * 5000, list(range(1, 300))])
 def test_best_fit(lengths):
     bins, offsets = packing.best_fit(np.array(lengths, np.int64), 4096)
