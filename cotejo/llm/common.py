@@ -35,12 +35,12 @@ def small_batches(spark: SparkSession, rows: int = BATCH_ROWS):
         spark.conf.set(key, before)
 
 
-def stage(df: DataFrame) -> DataFrame:
+def stage(df: DataFrame, rows: int = BATCH_ROWS) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back: lineage ends here, a lost
     executor costs nothing, and later joins know the size of the table."""
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/cotejo-llm/{uuid.uuid4().hex}"
-    with small_batches(spark):
+    with small_batches(spark, rows):
         df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -141,17 +141,79 @@ def record_batch(schema: pa.Schema, columns: Iterable) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([a if a.type == f.type else a.cast(f.type) for a, f in zip(arrays, schema)], schema=schema)
 
 
-def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
+# Links that a task joins at a time, about 50 MB of arrays.
+CHUNK = 1 << 20
+
+
+def stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The same connections as links from each vertex to the smallest one it reaches here."""
+    ids, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    up, (u, v) = np.arange(len(ids)), at.reshape(2, -1)
+    while True:
+        u, v = up[u], up[v]
+        open_ = u != v
+        if not open_.any():
+            break
+        u, v = u[open_], v[open_]
+        np.minimum.at(up, np.maximum(u, v), np.minimum(u, v))
+        while (up != up[up]).any():
+            up = up[up]
+    moved = up != np.arange(len(ids))
+    return ids[moved], ids[up[moved]]
+
+
+def _joined_locally(e: DataFrame, chunk: int) -> DataFrame:
+    """Links (a, b), those of every ``chunk`` links of a task replaced by stars."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+        parts: list[tuple[np.ndarray, np.ndarray]] = []
+        held = 0
+
+        def flush():
+            return record_batch(schema, stars(*(np.concatenate(p) for p in zip(*parts))))
+
+        for batch in batches:
+            for start in range(0, batch.num_rows, chunk):
+                piece = batch.slice(start, chunk)
+                parts.append((piece.column(0).to_numpy(), piece.column(1).to_numpy()))
+                held += piece.num_rows
+                if held >= chunk:
+                    yield flush()
+                    parts.clear()
+                    held = 0
+        if parts:
+            yield flush()
+
+    return e.mapInArrow(run, "a long, b long")
+
+
+def _settled(e: DataFrame) -> bool:
+    """Whether the links are stars: one vertex up for each, and none up for what it leads to."""
+    ends = e.select(F.col("a").alias("v"), F.col("b").alias("up"), F.lit(False).alias("led_to")).unionByName(
+        e.select(F.col("b").alias("v"), F.lit(None).cast("long").alias("up"), F.lit(True).alias("led_to"))
+    )
+    seen = ends.groupBy("v").agg(F.min("up").alias("low"), F.max("up").alias("high"), F.max("led_to").alias("led_to"))
+    return seen.filter("low <> high or (low is not null and led_to)").isEmpty()
+
+
+def components(edges: DataFrame, most_rounds: int = 60, chunk: int = CHUNK) -> DataFrame:
     """Connected components of (a, b) links as (v, component), component the smallest id.
 
     Alternating star contraction: every round is two aggregations and two joins on ids, and the
-    number of rounds grows with the logarithm of a component's size. Links never leave Spark.
+    number of rounds grows with the logarithm of a component's size. Before each round tasks
+    replace the links they read by stars, twice, as the scan packs what the first pass left
+    anew. Every step keeps the connections, so links that are stars are the components. Links
+    never leave Spark.
     """
     e = stage(
         edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct()
     )
-    print_of = None
     for _ in range(most_rounds):
+        for _ in range(2):
+            e = stage(_joined_locally(e, chunk), rows=1 << 16)
+        if _settled(e):
+            break
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = both.join(low, "a").filter("b > a and b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
@@ -167,14 +229,10 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
             .distinct()
         )
         e = stage(small)
-        now = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if print_of == now:
-            break
-        print_of = now
     else:
         raise RuntimeError("components did not settle")
-    roots = e.select(F.col("b").alias("v")).distinct().select("v", F.col("v").alias("component"))
-    return e.select(F.col("a").alias("v"), F.col("b").alias("component")).unionByName(roots)
+    roots = e.select(F.col("b").alias("v"), F.col("b").alias("component"))
+    return e.select(F.col("a").alias("v"), F.col("b").alias("component")).unionByName(roots).distinct()
 
 
 def read(spark: SparkSession, folder: str, name: str) -> DataFrame:

@@ -15,7 +15,7 @@ import pytest
 
 import __spark_entry__ as contract
 import corpus_pipeline
-from cotejo.llm import decontam, html_extract, jaccard, license, packing, pii, quality, sharding, tokencount, warc
+from cotejo.llm import common, decontam, html_extract, jaccard, license, packing, pii, quality, sharding, tokencount, warc
 from cotejo.llm.queries import QUERIES, tokenizer_file
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -111,6 +111,30 @@ def test_jaccard_group_of_near_copies(spark):
     check_components(docs_of(spark, texts))
 
 
+@pytest.mark.parametrize("chunk", [3, 1 << 20])
+def test_components(spark, chunk):
+    """Random links, a long path, a large star, links to itself, nulls and repeats; small chunks need rounds."""
+    rng = np.random.default_rng(5)
+    links = [tuple(map(int, p)) for p in rng.integers(0, 300, (160, 2))]
+    path = rng.permutation(np.arange(1000, 1060)).tolist()
+    links += list(zip(path, path[1:])) + [(2000, 2000 + i) for i in range(1, 80)] + [(9, 9), (3000, 3000), links[0]]
+    parent: dict[int, int] = {}
+
+    def root(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for a, b in links:
+        if a != b:
+            low, high = sorted((root(a), root(b)))
+            parent[high] = low
+    edges = spark.createDataFrame([*links, (None, 5), (7, None)], "a long, b long").repartition(5)
+    found = [tuple(r) for r in common.components(edges, chunk=chunk).collect()]
+    assert sorted(found) == sorted((v, root(v)) for v in parent)
+    assert common.components(edges.limit(0)).isEmpty()
+
+
 def test_keep_one_takes_effect(spark):
     df = docs_of(spark, odd_texts())
     kept = {r.doc_id for r in jaccard.keep_one(df).collect()}
