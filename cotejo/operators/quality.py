@@ -78,9 +78,8 @@ def membership_by_row(
     fills = [f"__key_{i}" for i in range(len(keys))]
 
     def matched(df: DataFrame) -> DataFrame:
-        types = {k: detailed.schema[k].dataType for k in keys}
         return df.withColumns({m: F.col(k).isNull() for m, k in zip(marks, keys)}).withColumns(
-            {f: F.coalesce(F.col(k).cast("string"), F.lit("")) for f, k in zip(fills, keys) if types[k]}
+            {f: F.coalesce(F.col(k).cast("string"), F.lit("")) for f, k in zip(fills, keys)}
         )
 
     on = [*marks, *fills]
@@ -114,11 +113,14 @@ def multi_parent_check(
 ) -> DataFrame:
     """Mark the rows whose child has more than one distinct parent; nulls are no parent.
 
-    "More than one" is smallest <> largest, which needs no distinct count. Only the
-    ambiguous children are joined back.
+    "More than one" is smallest <> largest, which needs no distinct count. Equal pairs are
+    dropped first: that aggregates by hash, while the smallest of texts needs sorted rows. Only
+    the ambiguous children are joined back.
     """
     ambiguous = (
-        df.groupBy(child)
+        df.select(child, parent)
+        .distinct()
+        .groupBy(child)
         .agg(F.min(parent).alias("__low"), F.max(parent).alias("__high"))
         .filter(F.col("__low") != F.col("__high"))
         .select(child, F.lit(True).alias("__hit"))

@@ -157,6 +157,22 @@ def _allocated(spark, folder, digits):
     )
 
 
+def _rated_keys(spark, folder):
+    """One row per brand, product and kind that shares would allocate, with its ratio: the keys
+    of the deliveries alone, without years, quantities or shares."""
+    delivered = table(spark, folder, "lineitem").groupBy("l_partkey").agg(F.min("l_shipdate").alias("first"))
+    parts = table(spark, folder, "part").select(
+        F.col("p_partkey").alias("l_partkey"),
+        F.col("p_brand").alias("brand"),
+        F.col("p_type").alias("kind"),
+        F.col("p_name").alias("product"),
+    )
+    known = lookup_join(delivered, parts, ["l_partkey"], "inner")
+    products = known.groupBy("brand", "product").agg(F.min("first").alias("first"))
+    keys = lookup_join(products, known.select("brand", "kind").distinct(), ["brand"], "left")
+    return lookup_join(keys, _ratios(spark, folder), ["brand", "kind", "product"], "left")
+
+
 @query("share_index", f'WITH {_SHARES} SELECT brand, kind, "Indice" FROM share')
 def share_index(spark, folder):
     return shares.share_index(_deliveries(spark, folder), "brand", "kind", "qty")
@@ -191,7 +207,7 @@ def allocate_share_rounded(spark, folder):
     """,
 )
 def unresolved_keys(spark, folder):
-    return quality.unresolved_keys(_allocated(spark, folder, None), "Ratio", ["brand", "kind", "product"])
+    return quality.unresolved_keys(_rated_keys(spark, folder), "Ratio", ["brand", "kind", "product"])
 
 
 @query(
@@ -202,6 +218,8 @@ def unresolved_keys(spark, folder):
     """,
 )
 def first_unresolved(spark, folder):
-    allocated = _allocated(spark, folder, None)
-    first = quality.first_unresolved(allocated, "Ratio", ["brand", "kind", "product"], ["year_start"])
-    return first.select("brand", "kind", "product", "year_start")
+    return (
+        _rated_keys(spark, folder)
+        .filter(F.col("Ratio").isNull())
+        .select("brand", "kind", "product", F.trunc(F.to_date("first"), "year").alias("year_start"))
+    )

@@ -125,7 +125,7 @@ def purchases_v1(
     )
     return {
         "patients": result,
-        # These do not depend on the shares: they are found before the rows fan out.
+        # Sites do not depend on the shares; ratios are open per product after the rows fan out.
         "open_sites": quality.unresolved_keys(placed, "Establecimiento destino", ["NombreDestinatario"]),
         "open_ratios": quality.unresolved_keys(allocated, "Ratio", ["Denominacion"]),
     }
