@@ -63,11 +63,6 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
     return df.select(column).distinct()
 
 
-def global_bounds(df: DataFrame, column: str) -> DataFrame:
-    """One row with the smallest and the largest value."""
-    return df.agg(F.min(column).alias("first"), F.max(column).alias("last"))
-
-
 def conditional_sum(condition: Column, value: Column | str) -> Column:
     """Sum over the rows where the condition holds: null when there is no such row, 0 when
     all their values are null."""

@@ -17,7 +17,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cotejo.functions.numbers import ratio
-from cotejo.operators.aggregates import group_sum
 
 
 @dataclass(frozen=True)
@@ -195,8 +194,3 @@ def labelled_union(frames: Mapping[str, DataFrame], label: str = "Validation") -
 def keep_differences(df: DataFrame, reason: str = "Motivo", equal: str = Labels().equal) -> DataFrame:
     """Rows that are not marked as equal; a missing reason counts as a difference."""
     return df.filter(~F.col(f"`{reason}`").eqNullSafe(F.lit(equal)))
-
-
-def prepare_side(df: DataFrame, keys: Sequence[str], value: str = "Value", exact: str | None = None) -> DataFrame:
-    """Grouped side of a comparison: null keys dropped, one row per key."""
-    return group_sum(df, keys, {"Value": value}, exact)
