@@ -42,7 +42,7 @@ def op6_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op7_longest_match_counts(spark: SparkSession, folder: str) -> DataFrame:
-    initial, following = tokencount.sentencepiece_vocabulary(tokenizer_file("piece_bpe_32k.model"))
+    initial, following = tokencount.whole_vocabulary(tokenizer_file("piece_bpe_32k.model"))
     return tokencount.token_counts(read(spark, folder, "documents"), initial, following)
 
 

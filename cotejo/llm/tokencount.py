@@ -19,7 +19,11 @@ REMEMBERED = 500_000
 
 
 class Automaton:
-    """Piece counts for a vocabulary of pieces that begin a word and pieces that go on with it."""
+    """Piece counts for a vocabulary of pieces that begin a word and pieces that go on with it.
+
+    An empty piece in ``initial`` is the mark of a word's beginning as a piece of its own: it is
+    taken where no longer piece begins the word.
+    """
 
     def __init__(self, initial: Iterable[str], following: Iterable[str]):
         # Node 0 is the start of a word, node 1 the start of a following piece.
@@ -27,6 +31,9 @@ class Automaton:
         self.fail: list[int] = [-1, -1]
         self.pops: list[int] = [0, 0]
         ends: set[int] = set()
+        initial = list(initial)
+        if "" in initial:
+            self.fail[0], self.pops[0] = 1, 1
         for root, pieces in ((0, initial), (1, following)):
             for piece in pieces:
                 node = root
@@ -89,6 +96,17 @@ def sentencepiece_vocabulary(file: str) -> tuple[list[str], list[str]]:
     return [p for p in initial if p], [p for p in following if p]
 
 
+def whole_vocabulary(file: str) -> tuple[list[str], list[str]]:
+    """All pieces, for words that a mark precedes: those that begin with it, without this one
+    mark (the bare mark is an empty piece), and all, which may go on, in id order."""
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=file)
+    special = (model.is_control, model.is_unknown, model.is_byte)
+    pieces = [model.id_to_piece(i) for i in range(model.get_piece_size()) if not any(f(i) for f in special)]
+    return [p[1:] for p in pieces if p.startswith("▁")], pieces
+
+
 COUNTS = "doc_id long, n_words long, n_tokens long, n_unknown long"
 
 

@@ -362,6 +362,23 @@ def test_token_counts(spark):
     assert tokencount.token_counts(odd(spark), initial, following).count() == odd(spark).count()
 
 
+def test_token_counts_of_the_untouched_pieces(spark, tmp_path):
+    import sentencepiece
+
+    file = tokenizer_file("piece_bpe_32k.model")
+    model = sentencepiece.SentencePieceProcessor(model_file=file)
+    pieces = {model.id_to_piece(i) for i in range(model.get_piece_size()) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i))}
+    longest = max(map(len, pieces))
+    texts = [*odd_texts(), "2024 10.0.0.1 \u4e2d\u56fd \u00e7le", "a\u2581b \u2581\u2581x \u2581 7\u2581\u2581\u2581\u2581q", "\U0001f9ff1 \ue000", "1"]
+    docs_of(spark, texts).write.parquet(f"{tmp_path}/documents.parquet")
+    rows = QUERIES["op7_longest_match_counts"](spark, str(tmp_path)).orderBy("doc_id").collect()
+    for r, text in zip(rows, texts, strict=True):
+        counts = [greedy("\u2581" + w, pieces, pieces, longest) for w in WORD.findall(text or "")]
+        assert (r.n_words, r.n_tokens, r.n_unknown) == (len(counts), sum(counts) + counts.count(0), counts.count(0))
+    automaton = tokencount.Automaton(*tokencount.whole_vocabulary(file))
+    assert [automaton.count(w) for w in ("2024", "10.0.0.1", "\u4e2d\u56fd", "\u00e7le")] == [5, 9, 3, 3]
+
+
 def test_archives(spark):
     pages = [(1, "http://a/1", "<p>x</p>"), (2, "http://a/2", "<p>x</p>"), (3, None, None), (4, "http://b", ""), (5, "u", "a\r\n\r\nb\r\n"), (6, "u", "\r\n\r\nx\r\n\r\n\r\n"), (7, "u\nv", "é漢" * 5000), (8, "w", "WARC/1.1\r\nContent-Length: 3\r\n\r\n"), (9, "u", "<p>x</p>"), (9, "u", "<p>x</p>"), (None, "n", "<p>x</p>"), (10, "z", "\r\n"), (11, "z", "\n")]
     df = spark.createDataFrame([(*p, 0) for p in pages], "page_id long, url string, html string, payload int").repartition(3)
