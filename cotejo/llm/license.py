@@ -57,8 +57,9 @@ NAMES = {
 CC_PARTS, CC_VERSIONS = ("by", "by sa", "by nd", "by nc", "by nc sa", "by nc nd"), ("1 0", "2 0", "2 5", "3 0", "4 0")
 NAMES |= {f"cc {part} {version}": f"CC-{part.upper().replace(' ', '-')}-{version.replace(' ', '.')}" for part in CC_PARTS for version in CC_VERSIONS}
 
+_VERBS = ("licensed", "licenced", "released", "distributed", "available", "published", "dedicated", "provided")
 _NOTICE = re.compile(
-    r"^(?:(?:this|the|all)(?: \w+){1,4}? (?:is|are) )?(?:re)?(?:licen[sc]ed|released|distributed|available|published|dedicated|provided|made available)"
+    rf"^(?:(?:this|the|all)(?: \w+){{1,4}}? (?:is|are) )?(?:re)?(?:{'|'.join(_VERBS)}|made available)"
     r"(?: \w+){0,2}? (?:under|to|into)(?: the terms of)?(?: the| an| a)? (.+?)(?: or (?:at your option )?any later version| only| licen[sc]e| international(?: licen[sc]e)?)*$"
 )
 _SPDX = re.compile(r"^spdx licen[sc]e identifier (.+)$")
@@ -66,7 +67,6 @@ _COPYRIGHT = re.compile(r"^copyright(?: c)?(?: \d{4})+ ")
 _SIGNS = re.compile(r"[^a-z0-9]+")
 _CUT = re.compile(r"(?<=[.;:!?])(?<!dentifier:)\s+|\n[ \t]*\n|\n(?=[ \t]*(?:[-*•]|\d+[.)]|\([a-z0-9]\))[ \t])")
 _BULLET = re.compile(r"^\s*(?:(?://|#|--|;|\*+|/\*+)\s*)?(?:[-*•]|\d+[.)]|\([a-z0-9]\))?\s*")
-_HINT = re.compile(rb"licen[sc]e|copyright|permission|warrant|redistribut|public domain|spdx", re.I)
 
 
 def normalised(sentence: str) -> str:
@@ -119,6 +119,17 @@ class Recognizer:
                 self.known.setdefault(part, name)
         self.names = names
         self.rules = rules
+        # Words that a text must have for ``identify`` to find anything: one of each known sentence,
+        # or the first of a name (in a notice beside a verb).
+        self.hints = tuple(dict.fromkeys(["copyright", "spdx", *(max(k.split(), key=len) for k in self.known)]))
+        self.first = re.compile("(?<![a-z0-9])(?:" + "|".join(sorted({re.escape(n.split()[0]) for n in names})) + ")(?![a-z0-9])") if names else None
+
+    def hinted(self, text: str) -> bool:
+        """Whether the text can have a known sentence at all; never false where it has one."""
+        low = text.lower()
+        if any(h in low for h in self.hints):
+            return True
+        return self.first is not None and any(v in low for v in _VERBS) and self.first.search(low) is not None
 
     def identify(self, sentence: str) -> str | None:
         """Identifier of a normalised sentence: of the list, or ``notice:`` and a licence."""
@@ -210,10 +221,11 @@ def licences(docs: DataFrame, sentences: dict[str, str] = SENTENCES, names: dict
         for batch in batches:
             rows = []
             for doc, raw in zip(batch.column(0).to_pylist(), texts_of(batch)):
-                if not raw or not _HINT.search(raw):
+                text = raw.decode("utf-8", "replace") if raw else ""
+                if not finder.hinted(text):
                     rows.append((doc, 0, "", "", ""))
                     continue
-                found = finder.sentences(raw.decode("utf-8", "replace"))
+                found = finder.sentences(text)
                 ids = [name for _, name in found]
                 shown = dict.fromkeys(licence for licence, _ in finder.licences(ids))
                 rows.append((doc, len(ids), ",".join(shown), ",".join(ids), ",".join(f"{n}:{p}" for p, n in found)))

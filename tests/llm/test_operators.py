@@ -232,6 +232,17 @@ def test_personal_data_in_disguise(text, kind, source):
     assert (kind, source) in [(k, ("é\n" + text)[s:e]) for s, e, k in base + more]
 
 
+def test_licence_notices_without_other_hints(spark):
+    texts = ["Released under CC BY-SA 4.0.", "Distributed under Apache 2.0.", "Published under GPLv3.", "Made available under CC0 1.0.", "Some words.\n\n# This work is relicenced under the MIT.", "Provided to the account of the commit."]
+    got = license.licences(docs_of(spark, texts)).orderBy("doc_id").collect()
+    assert [r.licences for r in got] == ["CC-BY-SA-4.0", "Apache-2.0", "GPL-3.0", "CC0-1.0", "MIT", ""]
+    finder = license.Recognizer()
+    known = [f"{verb} under {name}" for verb in license._VERBS for name in license.NAMES] + list(license.SENTENCES.values()) + list(finder.known)
+    known += [f"SPDX-License-Identifier: {name}" for name in license.NAMES] + ["Copyright 2020 x"]
+    for text in known:
+        assert finder.hinted(text) or not finder.sentences(text), text
+
+
 def test_personal_data_leaves_plain_text_alone():
     for text in ("we met at noon and at ten one two", "the dot at the end", "un dos tres", "Привет, это обычный текст."):
         assert pii.Finder().spans(text) == ([], [])
