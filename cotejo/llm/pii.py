@@ -50,14 +50,16 @@ DIGIT_WORDS = {
 _DIGIT = "(?:" + "|".join(sorted(DIGIT_WORDS, key=len, reverse=True)) + ")"
 
 _SPELLED = re.compile(rf"(?<!\w)(?:plus[\s-]+)?{_DIGIT}(?:[\s,.;-]{{1,3}}(?:{_DIGIT}|dot|point|[0-9]+)){{3,}}(?!\w)", re.I)
-_DIGIT_BYTES = frozenset(w.encode() for w in DIGIT_WORDS)
+_SPELLED_ON = frozenset(DIGIT_WORDS) | {"dot", "point"}
+_RUN = re.compile(r"[^\W_]+")
 # ASCII signs as spaces.
 _PARTED = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
 _SPELLED_PART = re.compile(rf"{_DIGIT}|plus|dot|point|[0-9]+", re.I)
 _AT = re.compile(r"[ \t]*(?:[\[({<][ \t]*(?:at|@|arroba)[ \t]*[\])}>]|&#64;|&commat;)[ \t]*", re.I)
 _DOT = re.compile(r"[ \t]*(?:[\[({<][ \t]*(?:dot|\.|point|punkt|punto)[ \t]*[\])}>]|&#46;|&period;)[ \t]*", re.I)
-# An address in words only: name at host dot ... dot domain.
-_WORDS = re.compile(r"(?<![\w.%+-])[\w.%+-]{1,64}(?:[ \t]+dot[ \t]+[\w%+-]{1,64}){0,3}([ \t]+(?:at)[ \t]+)[\w-]{1,63}(?:(?:[ \t]+dot[ \t]+|\.)[\w-]{1,63}){1,4}(?!\w)", re.I)
+_DIGIT_DOT = re.compile(r"(?<=[0-9])[ \t]+(?:dot|point)[ \t]+(?=[0-9])", re.I)
+# An address with words in it: name at host dot ... dot domain; a sign @ or dot may stand for a word.
+_WORDS = re.compile(r"(?<![\w.%+-])[\w.%+-]{1,64}(?:[ \t]+dot[ \t]+[\w%+-]{1,64}){0,3}([ \t]+at[ \t]+|[ \t]*@[ \t]*)[\w-]{1,63}(?:(?:[ \t]+dot[ \t]+|\.)[\w-]{1,63}){1,4}(?!\w)", re.I)
 _WORD_DOT = re.compile(r"[ \t]+dot[ \t]+", re.I)
 _BRACKET = re.compile(r"[\[({<][ \t]*(?:at|@|arroba|dot|\.|point|punkt|punto)[ \t]*[\])}>]|&#(?:64|46);|&(?:commat|period);", re.I)
 
@@ -112,11 +114,11 @@ class Finder:
     def rewrite(self, text: str) -> tuple[str, array, array] | None:
         """The text without disguises and each character's source start and end, or None."""
         # Cheap tests first; most texts show no sign of a disguise.
-        words = text.encode("utf-8", "surrogatepass").lower().translate(_PARTED).split()
+        words = _parted(text)
         odd = not text.isascii() and self.odd.search(text) is not None
         signs = any(c in text for c in "[({<&") and _BRACKET.search(text) is not None
-        spelled = sum(map(_DIGIT_BYTES.__contains__, words)) >= 4
-        if not (odd or signs or spelled or b"dot" in words):
+        dots = "dot" in words or ("point" in words and _DIGIT_DOT.search(text) is not None)
+        if not (odd or signs or dots or _may_be_spelled(text, words)):
             return None
         now = (text, array("q", range(len(text))), array("q", range(1, len(text) + 1)))
         if odd:
@@ -127,9 +129,13 @@ class Finder:
         now = _replace(*now, edits)
         edits = [(m.start(), m.end(), [(m.start(), m.end(), c)]) for pattern, c in ((_AT, "@"), (_DOT, ".")) for m in pattern.finditer(now[0])]
         now = _replace(*now, sorted(edits))
+        now = _replace(*now, [(m.start(), m.end(), [(m.start(), m.end(), ".")]) for m in _DIGIT_DOT.finditer(now[0])])
+        new, starts, ends = now
         edits = []
-        for m in _WORDS.finditer(now[0]):
-            if not _WORD_DOT.search(m[0]):
+        for m in _WORDS.finditer(new):
+            # A dot that stood for something else; the bare word "point" is one of numbers.
+            hidden = any(new[p] == "." and text[starts[p] : ends[p]].strip().lower() not in (".", "point") for p in range(m.start(), m.end()))
+            if not hidden and not _WORD_DOT.search(m[0]):
                 continue  # "at" alone is a word of the language
             edits.append((m.start(1), m.end(1), [(m.start(1), m.end(1), "@")]))
             edits += [(d.start(), d.end(), [(d.start(), d.end(), ".")]) for d in _WORD_DOT.finditer(now[0], m.start(), m.end())]
@@ -156,6 +162,24 @@ class Finder:
         return "".join(out), s, e
 
 
+def _parted(text: str) -> list[str]:
+    """Runs of letters and digits, in lower case."""
+    if text.isascii():
+        return text.lower().encode().translate(_PARTED).decode().split()
+    return _RUN.findall(text.casefold())
+
+
+def _may_be_spelled(text: str, words: list[str]) -> bool:
+    """Whether a digit word has three parts of a number after it; true wherever ``_SPELLED`` matches."""
+    if "\u0130" in text or "\u0131" in text:
+        return True  # these equal an i when case is ignored, but not here
+    for i in [i for i, w in enumerate(words) if w in DIGIT_WORDS]:
+        rest = words[i + 1 : i + 4]
+        if len(rest) == 3 and all(w in _SPELLED_ON or (w.isascii() and w.isdigit()) for w in rest):
+            return True
+    return False
+
+
 def _digits(part: str) -> str:
     part = part.lower()
     return {"plus": "+", "dot": ".", "point": "."}.get(part) or DIGIT_WORDS.get(part, part)

@@ -232,6 +232,40 @@ def test_personal_data_in_disguise(text, kind, source):
     assert (kind, source) in [(k, ("é\n" + text)[s:e]) for s, e, k in base + more]
 
 
+@pytest.mark.parametrize(
+    ("text", "kind", "source"),
+    [
+        ("mail john [at] example dot com now", "email", "john [at] example dot com"),
+        ("mail john@example dot com now", "email", "john@example dot com"),
+        ("mail john @ example dot co dot uk now", "email", "john @ example dot co dot uk"),
+        ("mail john at example [dot] com now", "email", "john at example [dot] com"),
+        ("mail jane dot roe@example.com now", "email", "jane dot roe@example.com"),
+        ("mail jane[.]roe at example.com now", "email", "jane[.]roe at example.com"),
+        ("host 192 dot 168 dot 1 dot 7 is down", "ip", "192 dot 168 dot 1 dot 7"),
+        ("host 192 point 168.1 [dot] 7 is down", "ip", "192 point 168.1 [dot] 7"),
+        ("host 192 dot one six eight dot 1 dot 7 is down", "ip", "192 dot one six eight dot 1 dot 7"),
+        ("call plus four nine 30 1234 5678 today", "phone", "plus four nine 30 1234 5678"),
+        ("call \u201cplus F\u00dcNF 49 30 1234 5678\u201d today", "phone", "plus F\u00dcNF 49 30 1234 5678"),
+    ],
+)
+def test_personal_data_in_mixed_disguise(text, kind, source):
+    base, more = pii.Finder().spans(text)
+    assert (kind, source) in [(k, text[s:e]) for s, e, k in more]
+
+
+def test_personal_data_gate_passes_what_is_spelled():
+    rng = np.random.default_rng(9)
+    parts = [*pii.DIGIT_WORDS, "dot", "point", "12", "plus", "x", "\u00e9", "PLUS", "F\u00dcNF", "\u017fix", "s\u0131x"]
+    for _ in range(3000):
+        text = "".join(str(rng.choice(parts)) + str(rng.choice([" ", ", ", "-", "\u2003", "\u2014", "_"], p=[0.7, 0.1, 0.1, 0.04, 0.04, 0.02])) for _ in range(8))
+        assert not pii._SPELLED.search(text) or pii._may_be_spelled(text, pii._parted(text)), text
+
+
+def test_personal_data_at_is_a_word():
+    for text in ("we met at example.com and a dot there", "a point at noon", "a score of 3 point 5 at example.com", "one of two at www.example.org, see [dot]"):
+        assert pii.Finder().spans(text) == ([], [])
+
+
 def test_licence_notices_without_other_hints(spark):
     texts = ["Released under CC BY-SA 4.0.", "Distributed under Apache 2.0.", "Published under GPLv3.", "Made available under CC0 1.0.", "Some words.\n\n# This work is relicenced under the MIT.", "Provided to the account of the commit."]
     got = license.licences(docs_of(spark, texts)).orderBy("doc_id").collect()
