@@ -370,6 +370,25 @@ def test_decontamination(spark):
     assert decontam.contaminated(odd(spark), benchmark).count() == 0
 
 
+def test_decontamination_of_short_and_substituted_items(spark):
+    rng = np.random.default_rng(12)
+    lengths = [3, 5, 9] + [10, 12, 15, 18, 20, 24, 29] * 3
+    items = [prose(100 + k, n) for k, n in enumerate(lengths)]
+    texts = []
+    for k, item in enumerate(items):
+        words = item.split()
+        if len(words) >= 10:  # in the last round as many as a quarter differ
+            n = len(words) // 10 if k < 10 else len(words) // 4
+            for place in rng.choice(len(words), n, replace=False):
+                words[place] = "zzz"
+        texts.append(f"{prose(200 + k, 40)} {' '.join(words)} {prose(300 + k, 30)}")
+    texts.append(prose(400, 30) + " " + " ".join(w if i % 3 else "zzz" for i, w in enumerate(items[-1].split())))
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    for most in (0, 1_000_000):
+        got = {(r.doc_id, r.item_id) for r in decontam.contaminated(docs_of(spark, texts), benchmark, broadcast_hashes=most).collect()}
+        assert got == {(k, k) for k in range(len(items))}
+
+
 def test_decontamination_runs_no_python(spark):
     df = decontam.contaminated(docs_of(spark, [prose(1, 50)]), spark.createDataFrame([(1, prose(1, 50))], "item_id long, text string"))
     assert not re.search("Python|Pandas|Arrow", df._jdf.queryExecution().executedPlan().toString())
