@@ -135,9 +135,12 @@ def document_sets(docs: DataFrame, percent: int, size: int) -> DataFrame:
                 common = is_frequent(frequent, keys)
                 prefix = np.concatenate([keys[~common], keys[common]])[: prefix_length(n, percent)]
                 g = digest(prefix, seed=n)
-                rows.append((doc, digest(keys), n, g, None if g in seen else prefix.view(np.int64)))
-                held += 0 if g in seen else len(prefix)
-                seen.add(g)
+                # Rows without an id link to nothing, so the prefix goes out with one that has an id.
+                new = doc is not None and g not in seen
+                rows.append((doc, digest(keys), n, g, prefix.view(np.int64) if new else None))
+                if new:
+                    held += len(prefix)
+                    seen.add(g)
                 if held > FLUSH:
                     yield record_batch(schema, zip(*rows))
                     rows, held = [], 0
@@ -309,8 +312,8 @@ def _long_lists(docs: DataFrame, listed: DataFrame, members: DataFrame, percent:
         seen = set()
         for rep, s, k, block, raw in rows:
             keys = shingle_set(raw, size)
-            if rep not in seen and len(keys) and digest(keys) == s:
-                seen.add(rep)
+            if (rep, s) not in seen and len(keys) and digest(keys) == s:
+                seen.add((rep, s))
                 sets.append(keys)
                 ids.append(rep)
                 labels.append(k)
@@ -362,8 +365,14 @@ def _joining(sets: list[np.ndarray], labels: list[int], percent: int) -> list[tu
 
 def keep_one(docs: DataFrame, percent: int = 75, size: int = 5) -> DataFrame:
     """Rows of ``docs``, all columns, but those of a document that is not the smallest of its
-    component. Documents without shingles stay, as do rows with a null doc_id."""
-    from cotejo.llm.common import drop_ids
+    component. Of rows with one doc_id and equal texts one stays. Documents without shingles stay,
+    as do rows with a null doc_id."""
+    from cotejo.llm.common import drop_ids, keep_ids
 
     found = stage(similar(docs, percent, size))
-    return drop_ids(docs, found.filter("component_id < doc_id").select("doc_id"))
+    repeated = found.filter("doc_id is not null and n_shingles > 0").groupBy("doc_id").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("doc_id")
+    kept = drop_ids(docs, found.filter("component_id < doc_id").select("doc_id"))
+    repeated = stage(repeated)
+    # Only rows of repeated ids are dealt by id and text.
+    copies = keep_ids(kept, repeated).dropDuplicates(["doc_id", "text"])
+    return drop_ids(kept, repeated).unionByName(copies)

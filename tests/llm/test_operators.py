@@ -111,6 +111,23 @@ def test_jaccard_group_of_near_copies(spark):
     check_components(docs_of(spark, texts))
 
 
+def test_jaccard_null_and_repeated_ids(spark):
+    one, two = prose(7, 80), prose(8, 80)
+    near = lambda t, n: " ".join(w if i != 40 else f"w{n}" for i, w in enumerate(t.split()))
+    rows = [(None, one), (None, near(one, 1)), (1, one), (2, near(one, 1)), (3, two), (3, two), (3, None), (3, None), (None, two)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    assert {r.doc_id: r.component_id for r in jaccard.similar(df).collect() if r.doc_id} == {1: 1, 2: 1, 3: 3}
+    kept = [(r.doc_id, r.text) for r in jaccard.keep_one(df).collect()]
+    assert [kept.count(x) for x in ((1, one), (2, rows[3][1]), (3, two), (None, one), (None, two))] == [1, 0, 1, 1, 1]
+    # Two texts of one id, each near another document, in one long list.
+    docs = spark.createDataFrame([(5, one), (5, two), (6, near(one, 2)), (7, near(two, 3))], "doc_id long, text string").coalesce(1)
+    sets = [(g, k, common.digest(common.shingle_set(r.text.encode())), k) for g, r in enumerate(docs.collect()) for k in [r.doc_id]]
+    members = spark.createDataFrame(sets, "g long, rep long, s long, k long")
+    listed = members.selectExpr("1L as h", "g")
+    links = {tuple(sorted((r.a, r.b))) for r in jaccard._long_lists(docs, listed, members, 75, 5).collect()}
+    assert links == {(5, 6), (5, 7)}
+
+
 @pytest.mark.parametrize("chunk", [3, 1 << 20])
 def test_components(spark, chunk):
     """Random links, a long path, a large star, links to itself, nulls and repeats; small chunks need rounds."""
