@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cotejo.llm import decontam, html_extract, jaccard, license, packing, pii, quality, sharding, tokencount, warc
+from cotejo.llm import (
+    decontam,
+    fuzzyhash,
+    html_extract,
+    jaccard,
+    license,
+    packing,
+    pii,
+    prefixtrie,
+    quality,
+    runs,
+    sharding,
+    tokencount,
+    warc,
+)
 from cotejo.llm.common import read
 
 
@@ -58,6 +72,18 @@ def op10_spaced_seed_decontamination(spark: SparkSession, folder: str) -> DataFr
     return decontam.contaminated(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
 
 
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return runs.run_report(read(spark, folder, "documents"))
+
+
+def op12_piecewise_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fuzzyhash.edited_report(read(spark, folder, "documents"))
+
+
+def op13_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefixtrie.trie(read(spark, folder, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -71,6 +97,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_revisit_archives,
         op9_balanced_label_propagation,
         op10_spaced_seed_decontamination,
+        op11_periodic_runs,
+        op12_piecewise_fingerprints,
+        op13_conversation_trie,
     )
 }
 ORACLES: dict[str, str] = {}
