@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cotejo.functions.arrays import spread, spread_structs
 from cotejo.functions.text import _col
 
 _COLUMN = "tupleIds: array<int>, valueIndices: array<int>, aliasIndices: array<int>"
@@ -67,6 +68,14 @@ RESPONSE_SCHEMA = (
     f"dataDictionary: struct<dataSegments: {SEGMENTS}>, "
     f"workbookPresModel: struct<dashboardPresModel: struct<zones: {ZONES}>>>>>"
 )
+_FLAT_COLUMN = (
+    "fieldCaption: string, valueIndices: array<int>, aliasIndices: array<int>, dataType: string, fn: string"
+)
+DOWNLOAD_SCHEMA = (
+    "vqlCmdResponse struct<cmdResultList: array<struct<commandReturn: struct<underlyingDataTable: struct<"
+    f"dataDictionary: struct<dataSegments: {SEGMENTS}>, "
+    f"underlyingDataTableColumns: array<struct<{_FLAT_COLUMN}>>>>>>>"
+)
 FILTERS_SCHEMA = (
     "array<struct<`all`: boolean, `allChecked`: boolean, `table`: struct<"
     "`schema`: array<struct<`caption`: string, `name`: array<string>, `ordinal`: int>>, "
@@ -168,6 +177,12 @@ def parse_response(c: Column | str) -> Column:
     return F.from_json(_col(c), RESPONSE_SCHEMA)
 
 
+def parse_download(c: Column | str) -> Column:
+    """Table (dictionary and columns) of the first result of a download command."""
+    results = F.from_json(_col(c), DOWNLOAD_SCHEMA)["vqlCmdResponse"]["cmdResultList"]
+    return F.get(results, F.lit(0))["commandReturn"]["underlyingDataTable"]
+
+
 def data_models(data: Column) -> Column:
     """Map worksheet name -> model of a first (bootstrap) document; its keys are the
     worksheets."""
@@ -292,7 +307,11 @@ def value_dictionary(segments: Column, persisted: Column | None = None) -> Colum
     else:
         ordered = F.map_entries(segments)
     usable = F.filter(ordered, lambda e: e["value"].isNotNull())
-    columns = F.flatten(F.transform(usable, lambda e: e["value"]["dataColumns"]))
+    return dictionary_of(F.flatten(F.transform(usable, lambda e: e["value"]["dataColumns"])))
+
+
+def dictionary_of(columns: Column) -> Column:
+    """Map data type -> array of values out of the (dataType, dataValues) of ordered segments."""
     types = F.array_distinct(F.transform(columns, lambda c: c["dataType"]))
     return F.map_from_entries(
         F.transform(
@@ -403,8 +422,8 @@ def decode_columns(
 
     resolved = located.select(*ids, *[decoded(i).alias(f"__a{i}") for i in width])
     zipped = F.arrays_zip(*[F.col(f"__a{i}") for i in width])
-    spread = resolved.select(*ids, F.posexplode(zipped).alias(row_number, "__row"))
-    return spread.select(
+    rows = spread(resolved, ids, zipped, "__row", position=row_number)
+    return rows.select(
         *ids,
         row_number,
         *[F.coalesce(F.col("__row")[f"__a{i}"], F.lit(fill)).alias(n) for i, n in enumerate(names)],
@@ -499,7 +518,7 @@ def list_zones(df: DataFrame, ids: Sequence[str], zones: str, with_data: bool =
     """One row per zone that shows a worksheet, with its zone id."""
     shown = _has_data if with_data else _is_visual
     kept = F.filter(_entries(F.col(zones)), lambda e: shown(e["value"]))
-    return df.select(*ids, F.explode(kept).alias("__z")).select(
+    return spread(df, ids, kept, "__z").select(
         *ids, F.col("__z.key").alias("zone"), F.col("__z.value.worksheet").alias("worksheet")
     )
 
@@ -507,7 +526,7 @@ def list_zones(df: DataFrame, ids: Sequence[str], zones: str, with_data: bool =
 def list_sheets(df: DataFrame, ids: Sequence[str], info: str) -> DataFrame:
     """Sheets of a workbook."""
     sheets = F.col(info)["worldUpdate"]["applicationPresModel"]["workbookPresModel"]["sheetsInfo"]
-    return df.select(*ids, F.inline(sheets))
+    return spread_structs(df, ids, sheets)
 
 
 def list_story_points(df: DataFrame, ids: Sequence[str], info: str) -> DataFrame:
@@ -519,8 +538,8 @@ def list_story_points(df: DataFrame, ids: Sequence[str], info: str) -> DataFrame
         ),
         lambda e: e["value"]["presModelHolder"]["flipboardNav"]["storypointNavItems"],
     )
-    boards = df.select(*ids, F.col(info)["sheetName"].alias("storyBoard"), F.posexplode(navigation).alias("board", "__items"))
-    return boards.select(*ids, "storyBoard", "board", F.inline("__items"))
+    boards = spread(df, [*ids, F.col(info)["sheetName"].alias("storyBoard")], navigation, "__items", position="board")
+    return spread_structs(boards, [*ids, "storyBoard", "board"], "__items")
 
 
 def parameter_catalogue(df: DataFrame, ids: Sequence[str], zones: str) -> DataFrame:
@@ -533,7 +552,7 @@ def parameter_catalogue(df: DataFrame, ids: Sequence[str], zones: str) -> DataFr
 
     whole, story = F.col(zones), story_zones(F.col(zones))
     controls = F.when(F.size(_entries(story)) > 0, controls_of(story)).otherwise(controls_of(whole))
-    return df.select(*ids, F.inline(controls)).select(
+    return spread_structs(df, ids, controls).select(
         *ids, F.col("fieldCaption").alias("column"), F.col("formattedValues").alias("values"), "parameterName"
     )
 
@@ -600,7 +619,7 @@ def _zone_filters(zones: Column) -> Column:
 def filter_catalogue(df: DataFrame, ids: Sequence[str], zones: str) -> DataFrame:
     """Filters per worksheet: column, ordinal, selectable values, current selection (all values
     and the marker ``all`` when everything is chosen), global name, matching quick filters."""
-    return df.select(*ids, F.inline(_zone_filters(F.col(zones))))
+    return spread_structs(df, ids, _zone_filters(F.col(zones)))
 
 
 def story_filter_catalogue(df: DataFrame, ids: Sequence[str], zones: str, root_dashboard: str) -> DataFrame:
@@ -609,7 +628,7 @@ def story_filter_catalogue(df: DataFrame, ids: Sequence[str], zones: str, root_d
         _entries(F.col(zones)), lambda e: e["value"]["presModelHolder"]["flipboard"]["storyPoints"].isNotNull()
     )
     first = F.get(stories, F.lit(0))["value"]["presModelHolder"]["flipboard"]["storyPoints"]
-    points = df.select(*ids, F.explode(first).alias("__key", "__point"))
+    points = spread(df, ids, first, "__key", "__point")
     board = F.col("__point.dashboardPresModel")
     described = points.select(
         *ids,
@@ -621,7 +640,7 @@ def story_filter_catalogue(df: DataFrame, ids: Sequence[str], zones: str, root_d
         .alias("dashboard"),
         _zone_filters(board["zones"]).alias("__filters"),
     )
-    return described.select(*ids, "storyboard", "storyboardId", "dashboard", F.inline("__filters"))
+    return spread_structs(described, [*ids, "storyboard", "storyboardId", "dashboard"], "__filters")
 
 
 # ---- session state ---------------------------------------------------------------------

@@ -5,7 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cotejo.operators import dashboard
+from cotejo.functions.arrays import spread, spread_structs
+from cotejo.operators import dashboard, worksheets
 from cotejo.plans.catalog import query, table
 from cotejo.sources.payload_text import text_to_table
 
@@ -101,6 +102,19 @@ def _panes():
     )
 
 
+def _head_panes():
+    """A second worksheet: language and source beside the length of the first line."""
+    words = F.size("words")
+    cells = F.array(
+        _cell(aliases=F.array(-(words + 1), -(words + 2))),
+        _cell(values=F.array(F.lit(0))),
+    )
+    columns = F.array(_descriptor("Part", "cstring", 0), _descriptor("Size", "real", 1))
+    return F.struct(
+        F.array(F.struct(cells.alias("vizPaneColumns"))).alias("paneColumnsList"), columns.alias("vizDataColumns")
+    )
+
+
 def _segments():
     half = (F.size("words") / 2).cast("int")
     first = F.slice("words", 1, half)
@@ -121,6 +135,7 @@ def _documents(spark, folder):
                     F.struct(
                         _nested(_panes(), "presModelHolder", "genVizDataPresModel", "paneColumnsData").alias("[LINES]"),
                         _nested(F.struct(F.lit(1).alias("x")), "presModelHolder", "genVizDataPresModel").alias("[EMPTY]"),
+                        _nested(_head_panes(), "presModelHolder", "genVizDataPresModel", "paneColumnsData").alias("[HEAD]"),
                     ),
                     "presModelHolder",
                     "genPresModelMapPresModel",
@@ -204,7 +219,8 @@ def decode_response(spark, folder):
     """,
 )
 def decode_download(spark, folder):
-    """Downloaded columns: flat positions beside a dictionary."""
+    """Answers to a download command as JSON text: flat positions beside a dictionary, whose
+    first segment the session knows already."""
     parts = table(spark, folder, "part")
 
     def flat(caption, data_type, values=None, aliases=None):
@@ -217,24 +233,148 @@ def decode_download(spark, folder):
         )
 
     one = F.array(F.lit(0))
+    known = _segment(("cstring", F.array("p_name", "p_brand")))
+    stale = _segment(("cstring", F.array(F.lit("stale"))))
+    sizes = _segment(("integer", F.array(F.col("p_size").cast("string"))))
+    answer = F.struct(
+        F.struct(_nested(F.struct(stale.alias("0"), sizes.alias("1")), "dataSegments").alias("dataDictionary"),
+                 F.array(
+                     flat("Name", "cstring", one),
+                     flat("Size", "integer", one),
+                     flat("Brand", "integer", None, F.array(F.lit(-2))),
+                     flat(None, "cstring", one),
+                 ).alias("underlyingDataTableColumns")).alias("underlyingDataTable")
+    )
+    body = _nested(F.array(_nested(answer, "commandReturn")), "vqlCmdResponse", "cmdResultList")
     sent = parts.select(
-        "p_partkey",
-        F.array(
-            flat("Name", "cstring", one),
-            flat("Size", "integer", one),
-            flat("Brand", "integer", None, F.array(F.lit(-2))),
-            flat(None, "cstring", one),
-        ).alias("columns"),
-        F.create_map(
-            F.lit("cstring"), F.array("p_name", "p_brand"),
-            F.lit("integer"), F.array(F.col("p_size").cast("string")),
-        ).alias("dictionary"),
+        "p_partkey", F.to_json(body).alias("payload"), F.create_map(F.lit("0"), known).alias("persisted")
     )
-    return dashboard.decode_flat(
-        sent, ["p_partkey"], "columns", "dictionary", ["Name-value", "Size-value", "Brand-alias"]
+    return worksheets.decode_download(
+        sent, ["p_partkey"], "payload", ["Name-value", "Size-value", "Brand-alias"], persisted="persisted"
     )
 
 
+_CELLS = """
+    c(column_no, "column") AS (VALUES (0, 'Line-value'), (1, 'Length-value'), (2, 'Kind-alias'),
+        (3, 'Copy-value'), (4, 'Line-ATTR-value'), (5, 'Tail-value'))
+"""
+
+
+@query(
+    "decode_all",
+    f"""
+    WITH {_LINES}, {_CELLS}
+    SELECT doc_id, '[LINES]' AS worksheet, CAST(i AS INTEGER) AS row_no, column_no, "column",
+           CASE WHEN column_no IN (0, 3) THEN lines[i + 1]
+                WHEN column_no IN (1, 4) THEN CAST(length(lines[i + 1]) AS VARCHAR)
+                WHEN column_no = 2 THEN CASE WHEN i % 2 = 0 THEN lang ELSE source END
+                WHEN i + 2 <= len(lines) THEN lines[i + 2] ELSE '0' END AS value
+    FROM e, c
+    UNION ALL
+    SELECT doc_id, '[HEAD]', r, 0, 'Part-alias', CASE WHEN r = 0 THEN lang ELSE source END
+    FROM l, (VALUES (0), (1)) AS t(r)
+    UNION ALL
+    SELECT doc_id, '[HEAD]', r, 1, 'Size-value', CASE WHEN r = 0 THEN CAST(length(lines[1]) AS VARCHAR) ELSE '0' END
+    FROM l, (VALUES (0), (1)) AS t(r)
+    """,
+)
+def decode_all(spark, folder):
+    """Every column of every worksheet, none of them named here."""
+    opened = worksheets.open_payloads(_documents(spark, folder), ["doc_id"], "payload")
+    return worksheets.decode_all(opened, ["doc_id"]).drop("sheet_no")
+
+
+@query(
+    "selectable_items",
+    f"""
+    WITH {_LINES}
+    SELECT doc_id, '[LINES]' AS worksheet, 0 AS column_no, 'Line' AS "column", array_to_string(lines, '|') AS "values" FROM l
+    UNION ALL SELECT doc_id, '[LINES]', 1, 'Length', array_to_string(list_transform(lines, lambda x: CAST(length(x) AS VARCHAR)), '|') FROM l
+    UNION ALL SELECT doc_id, '[LINES]', 2, 'Kind',
+        array_to_string(list_transform(range(len(lines)), lambda i: CASE WHEN i % 2 = 0 THEN lang ELSE source END), '|') FROM l
+    UNION ALL SELECT doc_id, '[LINES]', 3, 'Copy', array_to_string(lines, '|') FROM l
+    UNION ALL SELECT doc_id, '[LINES]', 4, 'Line', array_to_string(list_transform(lines, lambda x: CAST(length(x) AS VARCHAR)), '|') FROM l
+    UNION ALL SELECT doc_id, '[LINES]', 5, 'Tail', array_to_string(lines[2:], '|') FROM l
+    UNION ALL SELECT doc_id, '[HEAD]', 0, 'Part', lang || '|' || source FROM l
+    UNION ALL SELECT doc_id, '[HEAD]', 1, 'Size', CAST(length(lines[1]) AS VARCHAR) FROM l
+    """,
+)
+def selectable_items(spark, folder):
+    opened = worksheets.open_payloads(_documents(spark, folder), ["doc_id"], "payload")
+    items = worksheets.selectable_items(opened, ["doc_id"]).drop("sheet_no")
+    return items.withColumn("values", F.array_join("values", "|"))
+
+
+def _session_responses(spark, folder):
+    """Customers as sessions, their orders as responses: each sends one of three segments and a
+    null one, a zone that is always there, and one that comes and goes; zones lack data at times."""
+    orders = table(spark, folder, "orders")
+    key = F.col("o_orderkey").cast("string")
+    values = F.array(F.concat("o_orderpriority", F.lit("/"), key), F.concat("o_orderstatus", F.lit("/"), key))
+    segments = F.create_map(
+        (F.col("o_orderkey") % 3).cast("string"), _segment(("cstring", values)),
+        F.lit("n"), F.lit(None).cast("struct<dataColumns: array<struct<dataType: string, dataValues: array<string>>>>"),
+    )
+
+    def visual(name, shown, with_data, *cells):
+        columns = F.array(*[_descriptor(c, "cstring", i) for i, (c, _) in enumerate(cells)])
+        panes = F.struct(
+            F.array(F.struct(F.array(*[cell for _, cell in cells]).alias("vizPaneColumns"))).alias("paneColumnsList"),
+            columns.alias("vizDataColumns"),
+        )
+        data = F.when(with_data, F.struct(panes.alias("paneColumnsData")))
+        holder = F.struct(F.struct(F.struct(data.alias("vizData"), F.lit("[]").alias("filtersJson")).alias("visual")).alias("presModelHolder"))
+        return F.when(shown, F.struct(F.lit(name).alias("worksheet"), holder["presModelHolder"].alias("presModelHolder")))
+
+    own = F.array((F.lit(-1) - F.col("o_orderkey") % 2).cast("int"))
+    zones = F.struct(
+        visual("Items", F.lit(True), F.col("o_orderstatus") != "F",
+               ("Item", _cell(values=F.array(*map(F.lit, (3, 0, 5, 1))))), ("Own", _cell(aliases=own))).alias("1"),
+        visual("Urgent", F.col("o_orderpriority") != "1-URGENT", F.col("o_orderkey") % 2 == 0,
+               ("Own", _cell(aliases=own, values=F.array(F.lit(2))))).alias("2"),
+    )
+    response = _nested(
+        F.struct(
+            _nested(segments, "dataSegments").alias("dataDictionary"),
+            _nested(zones, "dashboardPresModel", "zones").alias("workbookPresModel"),
+        ),
+        "vqlCmdResponse", "layoutStatus", "applicationPresModel",
+    )
+    return orders.select(F.col("o_custkey").alias("session"), F.col("o_orderkey").alias("step"), F.to_json(response).alias("payload"))
+
+
+@query(
+    "session_decode",
+    """
+    WITH o AS (SELECT o_custkey AS session, o_orderkey AS k, o_orderstatus AS s, o_orderpriority AS p,
+                      lag(o_orderkey) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS before,
+                      max(o_orderkey) OVER (PARTITION BY o_custkey) AS last_k FROM orders),
+    d AS (SELECT session, flatten(list([p || '/' || CAST(k AS VARCHAR), s || '/' || CAST(k AS VARCHAR)] ORDER BY first_k)) AS words
+          FROM (SELECT session, k % 3 AS g, min(k) AS first_k, max(k) AS k, arg_max(p, k) AS p, arg_max(s, k) AS s
+                FROM o GROUP BY 1, 2) GROUP BY 1),
+    a AS (SELECT session, max(k) AS k FROM o WHERE s <> 'F' GROUP BY 1),
+    u AS (SELECT *, coalesce(lag(k) OVER (PARTITION BY session ORDER BY k) <> before, true) AS appears
+          FROM o WHERE p <> '1-URGENT'),
+    r AS (SELECT *, sum(CAST(appears AS INTEGER)) OVER (PARTITION BY session ORDER BY k) AS run FROM u),
+    b AS (SELECT session, max(k) FILTER (WHERE k % 2 = 0) AS k
+          FROM (SELECT *, max(run) OVER (PARTITION BY session) AS last_run FROM r) WHERE run = last_run
+          GROUP BY 1 HAVING max(k) = max(last_k) AND max(k) FILTER (WHERE k % 2 = 0) IS NOT NULL),
+    i AS (SELECT session, k, words, list_filter([4, 1, 6, 2], lambda x: x <= len(words)) AS places FROM a JOIN d USING (session))
+    SELECT session, 'Items' AS worksheet, CAST(n AS INTEGER) AS row_no, 0 AS column_no, 'Item-value' AS "column", words[places[n + 1]] AS value
+    FROM (SELECT *, unnest(range(len(places))) AS n FROM i)
+    UNION ALL
+    SELECT session, 'Items', CAST(n AS INTEGER), 1, 'Own-alias', CASE WHEN n = 0 THEN words[1 + k % 2] ELSE '0' END
+    FROM (SELECT *, unnest(range(len(places))) AS n FROM i)
+    UNION ALL SELECT session, 'Urgent', 0, 0, 'Own-value', CASE WHEN len(words) > 2 THEN words[3] ELSE '0' END FROM b JOIN d USING (session)
+    UNION ALL SELECT session, 'Urgent', 0, 1, 'Own-alias', words[1 + k % 2] FROM b JOIN d USING (session)
+    """,
+)
+def session_decode(spark, folder):
+    """Worksheets as sessions show them after their last response."""
+    opened = worksheets.open_sessions(_session_responses(spark, folder), ["session"], "step", "payload")
+    return worksheets.decode_all(opened, ["session"]).drop("sheet_no")
+
+
 @query(
     "value_dictionary",
     """
@@ -248,9 +388,7 @@ def decode_download(spark, folder):
 def value_dictionary(spark, folder):
     parsed = _documents(spark, folder).select("doc_id", dashboard.parse_data("payload").alias("d"))
     dictionary = dashboard.value_dictionary(dashboard.data_segments(F.col("d")))
-    return parsed.select("doc_id", F.explode(dictionary).alias("data_type", "entries")).withColumn(
-        "entries", F.size("entries")
-    )
+    return spread(parsed, ["doc_id"], dictionary, "data_type", "entries").withColumn("entries", F.size("entries"))
 
 
 @query(
@@ -274,9 +412,7 @@ def column_descriptors(spark, folder):
     selected = F.transform(
         dashboard.descriptors(panes, auto_select_only=True), lambda c: c["columnIndices"]
     )
-    described = parsed.select(
-        "doc_id", selected.alias("selected"), F.inline(dashboard.descriptors(panes))
-    )
+    described = spread_structs(parsed, ["doc_id", selected.alias("selected")], dashboard.descriptors(panes))
     return described.select(
         "doc_id",
         F.col("fieldCaption").alias("caption"),
@@ -554,7 +690,7 @@ def html_params(spark, folder):
     """Attributes of tags out of whole pages, the title beside them."""
     pages = table(spark, folder, "pages").withColumn("title", dashboard.html_text_of("html", "title"))
     linked = dashboard.with_html_attributes(pages, "html", "a", "href", "href", "links")
-    return linked.select("page_id", "title", F.explode("links").alias("name", "value"))
+    return spread(linked, ["page_id", "title"], "links", "name", "value")
 
 
 @query(
