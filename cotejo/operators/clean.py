@@ -22,6 +22,8 @@ class SourceSpec:
     ``literals``  constant columns (institution, placeholder product);
     ``where``     row filter, on the columns after ``derive``;
     ``back``      years before the newest one that are kept, all when None;
+    ``raw``       the date column, after ``rename``, that ``date`` is derived from: the years are
+                  then bounded on it, and the scan sees the bound;
     ``keys``      dimensions of the fact, ``date`` among them;
     ``measures``  columns that become metrics;
     ``exact``     decimal type to sum in.
@@ -35,6 +37,7 @@ class SourceSpec:
     where: Column | None = None
     date: str = "Date"
     back: int | None = None
+    raw: str | None = None
     as_of: date | None = None
     exact: str | None = None
     variable: str = "Metric"
@@ -50,5 +53,5 @@ def clean_source(df: DataFrame, spec: SourceSpec) -> DataFrame:
     if spec.where is not None:
         df = df.filter(spec.where)
     if spec.back is not None:
-        df = recent_years(df, spec.date, spec.back, spec.as_of)
+        df = recent_years(df, spec.raw or spec.date, spec.back, spec.as_of)
     return melt_sum(df, spec.keys, spec.measures, spec.variable, spec.value, spec.exact)

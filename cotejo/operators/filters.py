@@ -44,15 +44,54 @@ def recent_years(df: DataFrame, column: str, back: int, as_of: date | None = Non
     return df.filter(F.col(column) >= bound)
 
 
+def in_months(df: DataFrame, raw: str, first: Column | None = None, after: Column | None = None) -> DataFrame:
+    """Rows of the months from ``first`` on and before ``after``, by the raw date column that a
+    month is derived from.
+
+    ``month(raw) >= first`` is ``raw >= first`` when ``first`` begins a month, and the same for
+    ``after``. The bounds are scalars of ``month_bound``, in the raw column's own type, so that
+    they reach the scan; a comparison with the derived month does not.
+    """
+    if first is not None:
+        df = df.filter(F.col(raw) >= first)
+    return df if after is None else df.filter(F.col(raw) < after)
+
+
+def month_bound(df: DataFrame, raw: str, source: DataFrame, expression: Column) -> Column:
+    """One-row aggregate of ``source`` as scalar in the type of ``df[raw]``."""
+    return source.agg(expression.cast(df.schema[raw].dataType).alias("bound")).scalar()
+
+
+def months_of(df: DataFrame, raw: str) -> DataFrame:
+    """Distinct months (their first days) of a date column, in the column ``month``."""
+    return df.select(F.trunc(raw, "month").alias("month")).dropna().distinct()
+
+
+def last_n_months(df: DataFrame, raw: str, n: int) -> DataFrame:
+    """Rows of the ``n`` newest months that a date column has."""
+    newest = months_of(df, raw).orderBy(F.desc("month")).limit(n)
+    return in_months(df, raw, month_bound(df, raw, newest, F.min("month")))
+
+
 def last_n_periods(df: DataFrame, column: str, n: int) -> DataFrame:
     """Rows of the ``n`` newest distinct values of ``column``."""
     newest = df.select(column).dropna().distinct().orderBy(F.desc(column)).limit(n)
     return df.filter(F.col(column) >= newest.agg(F.min(column)).scalar())
 
 
-def before_first(df: DataFrame, other: DataFrame, column: str) -> DataFrame:
-    """Rows strictly before the first date of another table."""
-    return df.filter(F.col(column) < other.agg(F.min(column)).scalar())
+def before_first(df: DataFrame, other: DataFrame, column: str, raw: str | None = None) -> DataFrame:
+    """Rows strictly before the first date of another table.
+
+    ``raw`` names the date column that ``column`` is the month of, where ``df`` still has it:
+    the bound is then put on the raw column, and the scan sees it.
+    """
+    if raw is None:
+        return df.filter(F.col(column) < other.agg(F.min(column)).scalar())
+    first = F.min(column)
+    begins = F.trunc(first, "month")
+    # Months before a day inside a month include that month.
+    after = F.when(begins == first, begins).otherwise(F.add_months(begins, 1))
+    return in_months(df, raw, after=month_bound(df, raw, other, after))
 
 
 def exclude_month(df: DataFrame, column: str, year: int, month: int, where: Column | None = None) -> DataFrame:

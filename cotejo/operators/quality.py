@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cotejo.operators.aggregates import distinct_on, with_keys
+from cotejo.operators.filters import in_months, month_bound
 from cotejo.operators.joins import lookup_join
 
 BOTH, LEFT_ONLY, RIGHT_ONLY = "both", "left_only", "right_only"
@@ -141,12 +142,16 @@ def period_membership(
     gone: str = "No Report",
     new: str = "New Report",
     current: Column | None = None,
+    days: bool = False,
 ) -> DataFrame:
     """Members of the month before the newest one that the newest month lacks, and the
     reverse. "Newest" is the newest month of the whole table, not of a group.
 
     One aggregation over the two months instead of two distinct lists and two anti joins.
+    With ``days`` the column holds dates inside the months; two bounds on it reach the scan.
     """
+    if days:
+        return _day_membership(df, columns, month, status, gone, new, current)
     newest = current if current is not None else df.agg(F.max(month)).scalar()
     previous = F.add_months(newest, -1)
     recent = with_keys(df, columns).filter(F.col(month).isin(newest, previous))
@@ -159,6 +164,20 @@ def period_membership(
     )
 
 
+def _day_membership(df, columns, day, status, gone, new, current) -> DataFrame:
+    newest = F.trunc(F.max(day) if current is None else F.max(current), "month")
+    first, border, after = (
+        month_bound(df, day, df, F.add_months(newest, n)) for n in (-1, 0, 1)
+    )
+    recent = in_months(with_keys(df, columns), day, first, after)
+    seen = recent.groupBy(*columns).agg(
+        F.bool_or(F.col(day) >= border).alias("__now"), F.bool_or(F.col(day) < border).alias("__before")
+    )
+    return seen.filter(F.col("__now") != F.col("__before")).select(
+        *columns, F.when(F.col("__before"), F.lit(gone)).otherwise(F.lit(new)).alias(status)
+    )
+
+
 def unresolved_keys(df: DataFrame, column: str, report: Sequence[str]) -> DataFrame:
     """Distinct report columns of the rows in which a looked-up column stayed null."""
     return df.filter(F.col(f"`{column}`").isNull()).select(*[F.col(f"`{c}`") for c in report]).distinct()

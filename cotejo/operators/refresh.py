@@ -11,12 +11,16 @@ from cotejo.operators.aggregates import conditional_sum, with_keys
 from cotejo.operators.filters import before_first
 
 
-def window_refresh(master: DataFrame, latest: DataFrame, date: str = "Fecha") -> DataFrame:
+def window_refresh(
+    master: DataFrame, latest: DataFrame, date: str = "Fecha", raw: str | None = None
+) -> DataFrame:
     """Master rows before the first date of the latest delivery, and the whole delivery.
 
-    Applying the same delivery twice gives the same table.
+    Applying the same delivery twice gives the same table. ``raw`` names a date column that the
+    master has besides, of which ``date`` is the month: the scan then reads only what stays.
     """
-    return before_first(master, latest, date).unionByName(latest)
+    kept = before_first(master, latest, date, raw)
+    return (kept if raw is None or raw in latest.columns else kept.drop(raw)).unionByName(latest)
 
 
 def retro_diff(

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -139,3 +141,16 @@ def diff_ledger(new: DataFrame, old: DataFrame, keys: Sequence[str] = LEDGER_KEY
     stays. Nulls in the key match each other."""
     aged = new.withColumn("__old", F.lit(False)).unionByName(old.withColumn("__old", F.lit(True)))
     return distinct_on(aged, list(keys), ["__old"]).drop("__old")
+
+
+def extend_ledger(new: DataFrame, ledger: DataFrame, keys: Sequence[str] = LEDGER_KEY) -> DataFrame:
+    """``diff_ledger`` for a ledger, in which each key stands once already.
+
+    The new differences are reduced among themselves, and old rows pass unless they are found
+    again: one anti join, in which the planner broadcasts the new keys as long as they are
+    small, so that the ledger is neither shuffled nor sorted. Nulls in the key match each other.
+    """
+    found = distinct_on(new, list(keys)).select(*ledger.columns)
+    old, again = ledger.alias("__old"), found.alias("__new")
+    same = reduce(and_, [F.col(f"__old.`{k}`").eqNullSafe(F.col(f"__new.`{k}`")) for k in keys])
+    return old.join(again, same, "left_anti").unionByName(found)

@@ -122,10 +122,9 @@ def recent_years(spark, folder):
     """,
 )
 def last_n_periods(spark, folder):
-    orders = table(spark, folder, "orders").select(month_start("o_orderdate").alias("month"), "o_totalprice")
+    orders = filters.last_n_months(table(spark, folder, "orders"), "o_orderdate", 12)
     return (
-        filters.last_n_periods(orders, "month", 12)
-        .groupBy("month")
+        orders.groupBy(month_start("o_orderdate").alias("month"))
         .agg(
             F.sum(F.col("o_totalprice").cast(MONEY)).cast("double").alias("total"),
             F.count("*").alias("orders"),
@@ -429,8 +428,9 @@ def melt(spark, folder):
 )
 def clean_source_query(spark, folder):
     spec = SourceSpec(
-        rename={"l_partkey": "Product_ID", "l_quantity": "Units", "l_extendedprice": "MXN", "l_shipdate": "Date"},
-        derive={"Product_ID": F.col("Product_ID").cast("string"), "Date": month_start("Date")},
+        rename={"l_partkey": "Product_ID", "l_quantity": "Units", "l_extendedprice": "MXN"},
+        derive={"Product_ID": F.col("Product_ID").cast("string"), "Date": month_start("l_shipdate")},
+        raw="l_shipdate",
         literals={"Institucion": "Normales"},
         where=F.col("l_returnflag") != "R",
         back=4,

@@ -289,7 +289,5 @@ def multi_parent_check(spark, folder):
     """,
 )
 def period_membership(spark, folder):
-    fact = table(spark, folder, "lineitem").select(
-        month_start("l_shipdate").alias("Date"), "l_partkey", "l_returnflag"
-    )
-    return quality.period_membership(fact, ["l_partkey", "l_returnflag"])
+    lines = table(spark, folder, "lineitem")
+    return quality.period_membership(lines, ["l_partkey", "l_returnflag"], "l_shipdate", days=True)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from cotejo.functions.dates import month_start
 from cotejo.functions.numbers import MONEY
-from cotejo.operators import quality, refresh, shares
+from cotejo.operators import filters, quality, refresh, shares
 from cotejo.operators.aggregates import group_sum
 from cotejo.operators.joins import lookup_join
 from cotejo.plans.catalog import query, table
@@ -21,6 +21,7 @@ _ORDERS = """
 def _orders(spark, folder):
     return table(spark, folder, "orders").select(
         month_start("o_orderdate").alias("Fecha"),
+        "o_orderdate",
         "o_orderkey",
         "o_orderstatus",
         F.col("o_orderpriority").alias("priority"),
@@ -42,10 +43,11 @@ def _orders(spark, folder):
 def window_refresh(spark, folder):
     """The last twelve months delivered again, without pending orders and with new prices."""
     master = _orders(spark, folder)
-    newest = master.agg(F.max("Fecha")).scalar()
-    latest = master.filter((F.col("Fecha") > F.add_months(newest, -12)) & (F.col("o_orderstatus") != "P"))
+    first = filters.month_bound(master, "o_orderdate", master, F.add_months(F.max("Fecha"), -11))
+    latest = filters.in_months(master, "o_orderdate", first).filter(F.col("o_orderstatus") != "P")
     latest = latest.select("Fecha", "o_orderkey", (F.col("price") * 2).cast(MONEY).alias("price"))
-    refreshed = refresh.window_refresh(master.select("Fecha", "o_orderkey", "price"), latest)
+    whole = master.select("Fecha", "o_orderdate", "o_orderkey", "price")
+    refreshed = refresh.window_refresh(whole, latest, raw="o_orderdate")
     return refreshed.withColumn("price", F.col("price").cast("double"))
 
 
@@ -76,7 +78,7 @@ def retro_diff(spark, folder):
 
 def _snapshots(spark, folder):
     return table(spark, folder, "orders").select(
-        "o_orderkey", F.date_format("o_orderdate", "yyyy-MM").alias(snapshot_store.SNAPSHOT)
+        "o_orderkey", "o_orderdate", F.date_format("o_orderdate", "yyyy-MM").alias(snapshot_store.SNAPSHOT)
     )
 
 
@@ -89,7 +91,7 @@ def _snapshots(spark, folder):
     """,
 )
 def nth_snapshot(spark, folder):
-    return snapshot_store.nth_newest(_snapshots(spark, folder), 2)
+    return snapshot_store.nth_newest(_snapshots(spark, folder), 2, raw="o_orderdate").drop("o_orderdate")
 
 
 @query(
@@ -100,7 +102,7 @@ def nth_snapshot(spark, folder):
     """,
 )
 def snapshot_retention(spark, folder):
-    return snapshot_store.keep_newest(_snapshots(spark, folder), 12)
+    return snapshot_store.keep_newest(_snapshots(spark, folder), 12, raw="o_orderdate").drop("o_orderdate")
 
 
 # Brands are the ingredients, part types the indications, part names the products, quantities
