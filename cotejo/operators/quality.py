@@ -166,9 +166,9 @@ def period_membership(
 
 def _day_membership(df, columns, day, status, gone, new, current) -> DataFrame:
     newest = F.trunc(F.max(day) if current is None else F.max(current), "month")
-    first, border, after = (
-        month_bound(df, day, df, F.add_months(newest, n)) for n in (-1, 0, 1)
-    )
+    # One subquery: the planner would merge several into a struct, which the scan does not take.
+    first = month_bound(df, day, df, F.add_months(newest, -1))
+    border, after = (F.add_months(first, n).cast(df.schema[day].dataType) for n in (1, 2))
     recent = in_months(with_keys(df, columns), day, first, after)
     seen = recent.groupBy(*columns).agg(
         F.bool_or(F.col(day) >= border).alias("__now"), F.bool_or(F.col(day) < border).alias("__before")

@@ -80,10 +80,8 @@ def nth_newest(df: DataFrame, n: int = 1, snapshot: str = SNAPSHOT, raw: str | N
         bounds = months.agg(F.when(F.count("*") == n, F.min(snapshot)).alias("month"))
         return df.filter(F.col(snapshot) == bounds.scalar())
     months = months_of(df, raw).orderBy(F.desc("month")).limit(n)
-    first = F.when(F.count("*") == n, F.min("month"))
-    return in_months(
-        df, raw, month_bound(df, raw, months, first), month_bound(df, raw, months, F.add_months(first, 1))
-    )
+    first = month_bound(df, raw, months, F.when(F.count("*") == n, F.min("month")))
+    return in_months(df, raw, first, F.add_months(first, 1).cast(df.schema[raw].dataType))
 
 
 def keep_newest(df: DataFrame, keep: int = 12, snapshot: str = SNAPSHOT, raw: str | None = None) -> DataFrame:
