@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cotejo.functions.numbers import ratio
-from cotejo.operators.aggregates import group_sum
+from cotejo.operators.aggregates import with_keys
 from cotejo.operators.joins import lookup_join
 
 
@@ -17,18 +17,28 @@ def share_index(
     measure: str,
     into: str = "Indice",
     exact: str | None = None,
-    salts: int = 1,
+    salts: int = 8,
 ) -> DataFrame:
     """Share of each child in the total of its parent.
 
-    Parent totals are summed from the child sums and joined back. A window over the parent
-    would hold all children of a hot parent in one task; the join can be split (AQE, or
-    ``salts``).
+    Sums of children and of parents come out of one aggregation over one scan (grouping sets).
+    A parent's total is then repeated ``salts`` times and its children are dealt over these
+    copies, where each finds the total as the first row of its group: no join, and a parent
+    with very many children is spread over ``salts`` tasks.
     """
-    children = group_sum(df, [parent, child], {"__v": measure}, exact)
-    totals = children.groupBy(parent).agg(F.sum("__v").alias("__total"))
-    joined = lookup_join(children, totals, [parent], "inner", salts)
-    return joined.select(parent, child, ratio("__v", "__total").alias(into))
+    amount = F.col(measure).cast(exact) if exact else F.col(measure)
+    sums = (
+        with_keys(df, [parent, child])
+        .select(F.col(parent), F.col(child), amount.alias("__v"))
+        .groupingSets([[F.col(parent), F.col(child)], [F.col(parent)]], F.col(parent), F.col(child))
+        .agg(F.coalesce(F.sum("__v"), F.lit(0)).alias("__v"), F.grouping(child).alias("__is_total"))
+    )
+    copies = F.when(F.col("__is_total") == 1, F.sequence(F.lit(0), F.lit(salts - 1)))
+    own = F.array(F.pmod(F.xxhash64(F.col(child)), F.lit(salts)).cast("int"))
+    dealt = sums.withColumn("__salt", F.explode_outer(F.coalesce(copies, own)))
+    group = Window.partitionBy(parent, "__salt").orderBy(F.desc("__is_total"))
+    with_total = dealt.withColumn("__total", F.first("__v").over(group.rowsBetween(Window.unboundedPreceding, 0)))
+    return with_total.filter("__is_total = 0").select(parent, child, ratio("__v", "__total").alias(into))
 
 
 def allocate_share(

@@ -39,3 +39,12 @@ def test_refresh_bounds_reach_the_scan(spark):
 def test_documents_are_parsed_once(spark):
     for name in ("decode_all", "decode_payload", "selectable_items"):
         assert plan_of(spark, name).count("from_json(") == 1
+
+
+def test_shares_come_out_of_one_scan_and_one_aggregation(spark):
+    from cotejo.operators import shares
+
+    lines = spark.read.parquet(f"{FOLDER}/lineitem.parquet")
+    df = shares.share_index(lines, "l_suppkey", "l_partkey", "l_quantity")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("HashAggregate") == 2 and "Join" not in plan
