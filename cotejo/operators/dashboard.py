@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cotejo.functions.arrays import spread, spread_structs
+from cotejo.functions.markup import unescape
 from cotejo.functions.text import _col
 
 _COLUMN = "tupleIds: array<int>, valueIndices: array<int>, aliasIndices: array<int>"
@@ -113,7 +114,7 @@ def with_html_attributes(df: DataFrame, html: str, tag: str, key: str, value: st
 
     def attribute(text: Column, name: str) -> Column:
         raw = F.regexp_extract(text, rf"(?is)\s{name}\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)", 1)
-        plain = html_unescape(F.regexp_replace(raw, "^[\"']|[\"']$", ""))
+        plain = unescape(F.regexp_replace(raw, "^[\"']|[\"']$", ""))
         return F.coalesce(F.try_url_decode(F.replace(plain, F.lit("+"), F.lit("%2B"))), plain)
 
     pattern = rf"(?is)(<{tag}\b(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>)"
@@ -132,21 +133,10 @@ def with_html_attributes(df: DataFrame, html: str, tag: str, key: str, value: st
     return found.withColumn(into, F.map_from_entries(pairs)).drop("__tags", "__entries")
 
 
-# Character references of markup signs.
-REFERENCES = {"&quot;": '"', "&#34;": '"', "&#39;": "'", "&#x27;": "'", "&apos;": "'", "&lt;": "<", "&gt;": ">", "&nbsp;": "\u00a0", "&amp;": "&"}
-
-
-def html_unescape(c: Column) -> Column:
-    """Text with the references of markup signs resolved, the ampersand last."""
-    for reference, sign in REFERENCES.items():
-        c = F.replace(c, F.lit(reference), F.lit(sign))
-    return c
-
-
 def html_text_of(c: Column | str, tag: str, element_id: str | None = None) -> Column:
     """Text inside the first tag of a kind, optionally the one with an id; null if there is none."""
     where = rf"[^>]*\bid\s*=\s*[\"']{element_id}[\"'][^>]*" if element_id else "[^>]*"
-    return F.nullif(html_unescape(F.regexp_extract(_col(c), rf"(?is)<{tag}\b{where}>(.*?)</{tag}>", 1)), F.lit(""))
+    return F.nullif(unescape(F.regexp_extract(_col(c), rf"(?is)<{tag}\b{where}>(.*?)</{tag}>", 1)), F.lit(""))
 
 
 def with_html_params(df: DataFrame, html: str, into: str = "params") -> DataFrame:

@@ -39,13 +39,31 @@ def lookup_join(
     copies = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
     salted_dim = dim.withColumn("__salt", copies)
     joined = salted_fact.join(salted_dim, [*on, "__salt"], how).drop("__salt")
-    # As often as the row stood in the fact.
-    unfolded = joined.withColumn("__n", F.explode(F.array_repeat(F.lit(0), F.col("__n").cast("int")))).drop("__n")
+    unfolded = _unfold(joined, "__n")
     if how in ("inner", "left_semi"):
         return unfolded
     return unfolded.unionByName(fact.filter(~keyed), allowMissingColumns=True)
 
 
+# Copies of a row that are made at a time.
+UNFOLDED = 10_000
+
+
+def _unfold(df: DataFrame, count: str) -> DataFrame:
+    """Each row as often as ``count`` says, and without it.
+
+    A row that stands once, as most do, makes no array but a shared constant. Others are made in
+    chunks: one row per UNFOLDED copies, and then the copies of each, so that no array grows
+    with the count.
+    """
+    n = F.col(count)
+    chunks = F.sequence(F.lit(0).cast("long"), F.floor((n - 1) / UNFOLDED))
+    by_chunk = df.withColumn("__chunk", F.explode(F.when(n <= UNFOLDED, F.array(F.lit(0).cast("long"))).otherwise(chunks)))
+    here = F.least(n - F.col("__chunk") * UNFOLDED, F.lit(UNFOLDED)).cast("int")
+    copies = F.when(n == 1, F.array(F.lit(0))).otherwise(F.array_repeat(F.lit(0), here))
+    return by_chunk.withColumn("__copy", F.explode(copies)).drop("__chunk", "__copy", count)
+
+
 def dict_lookup(
     df: DataFrame,
     column: str,

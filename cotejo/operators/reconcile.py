@@ -15,6 +15,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cotejo.functions.numbers import ratio
 
@@ -83,10 +84,29 @@ def add_differences(
     )
 
 
+# Decimal that holds each whole-number type.
+_WHOLE = {"tinyint": (3, 0), "smallint": (5, 0), "int": (10, 0), "bigint": (20, 0)}
+
+
+def common_type(types: Sequence[T.DataType]) -> str:
+    """Type in which values of several types are summed: their own when they agree, the decimal
+    that holds all when they are decimals or whole numbers, double otherwise."""
+    names = {t.simpleString() for t in types}
+    if len(names) == 1:
+        return names.pop()
+    sizes = [(t.precision, t.scale) if isinstance(t, T.DecimalType) else _WHOLE.get(t.simpleString()) for t in types]
+    if None in sizes:
+        return "double"
+    scale = max(s for _, s in sizes)
+    digits = max(p - s for p, s in sizes) + scale
+    if digits > 38:
+        return "double"
+    return f"decimal({digits},{scale})"
+
+
 def side_by_side(sources: Mapping[str, DataFrame], keys: Sequence[str], value: str = "Value") -> DataFrame:
     """Sum of each source per key, one column per source name."""
-    types = {df.schema[value].dataType.simpleString() for df in sources.values()}
-    common = types.pop() if len(types) == 1 else "double"
+    common = common_type([df.schema[value].dataType for df in sources.values()])
 
     def stack(name: str, df: DataFrame) -> DataFrame:
         own = F.coalesce(F.col(f"`{value}`").cast(common), F.lit(0).cast(common))
@@ -131,9 +151,7 @@ def reconcile_rollup(
     side that are constant per key (its placeholder product); keys found only on the fine
     side have null there.
     """
-    common = coarse.schema[value].dataType.simpleString()
-    if fine.schema[value].dataType.simpleString() != common:
-        common = "double"
+    common = common_type([coarse.schema[value].dataType, fine.schema[value].dataType])
     own = F.coalesce(F.col(f"`{value}`").cast(common), F.lit(0).cast(common))
     none = F.lit(None).cast(common)
     k = [F.col(f"`{c}`") for c in keys]

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cotejo.functions.arrays import spread
 from cotejo.functions.dates import month_from_parts, month_range
 from cotejo.operators.aggregates import conditional_sum, group_sum, with_keys
 
@@ -144,7 +145,7 @@ def densify_months(
     """
     gathered = gather_series(df, series, month, value, until, exact)
     filled = fill_months(F.col("__by_month"), month_range("__first", "__until"))
-    return gathered.select(*series, F.explode(filled).alias(month, value))
+    return spread(gathered, series, filled, month, value)
 
 
 def gather_series(

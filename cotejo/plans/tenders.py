@@ -14,10 +14,11 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cotejo.functions.dates import month_from_parts, month_number, run_stamp
 from cotejo.functions.mapping import map_or_else
-from cotejo.functions.numbers import parse_number
+from cotejo.functions.numbers import LAKE_DECIMAL, parse_number
 from cotejo.functions.text import strip_leading_zeros, title_case
 from cotejo.operators import reconcile
 from cotejo.operators.aggregates import group_sum
@@ -69,7 +70,7 @@ class FlatFile:
     back: int | None = 2
 
 
-def flat_fact(df: DataFrame, file: FlatFile, product: str = "CLAVE_CByCM", exact: str | None = None) -> DataFrame:
+def flat_fact(df: DataFrame, file: FlatFile, product: str = "CLAVE_CByCM", exact: str | None = LAKE_DECIMAL) -> DataFrame:
     """Deliveries, consumption or awards of one institution out of its flat file."""
     spec = SourceSpec(
         rename={product: "Product_ID", **{column: name for column, name in file.measures.items()}},
@@ -83,12 +84,12 @@ def flat_fact(df: DataFrame, file: FlatFile, product: str = "CLAVE_CByCM", exact
     return clean_source(df, spec)
 
 
-def flat_facts(files: Sequence[tuple[DataFrame, FlatFile]], exact: str | None = None) -> DataFrame:
+def flat_facts(files: Sequence[tuple[DataFrame, FlatFile]], exact: str | None = LAKE_DECIMAL) -> DataFrame:
     return reduce(DataFrame.unionByName, [flat_fact(df, file, exact=exact) for df, file in files])
 
 
 def award_flat_fact(
-    df: DataFrame, institutions: DataFrame, wanted: Sequence[str], back: int = 2, exact: str | None = None
+    df: DataFrame, institutions: DataFrame, wanted: Sequence[str], back: int = 2, exact: str | None = LAKE_DECIMAL
 ) -> DataFrame:
     """Awards: the institution comes from the site, and only some institutions count. Sums per
     site come first, the site is looked up for them."""
@@ -117,8 +118,8 @@ def award_dashboard_fact(df: DataFrame, wanted: Sequence[str]) -> DataFrame:
     spec = SourceSpec(
         rename={"INSTITUCIÓN": "Institucion", "CLAVE CNIS_anterior": "Product_ID"},
         derive={
-            "Units": parse_number("PIEZAS", ","),
-            "MXN": parse_number("IMPORTE"),
+            "Units": parse_number("PIEZAS", ",", LAKE_DECIMAL),
+            "MXN": parse_number("IMPORTE", to=LAKE_DECIMAL),
             "Date": month_from_parts("AÑO", month_number(F.trim("`MES `"))),
         },
         where=F.col("Institucion").isin(*wanted),
@@ -135,6 +136,7 @@ def delivery_lake_fact(lake: DataFrame) -> DataFrame:
         derive={"Date": F.to_date("month_date")},
         keys=["Date", "Institucion", "Product_ID"],
         measures=["Units", "MXN"],
+        exact=LAKE_DECIMAL,
     )
     return clean_source(lake, spec)
 
@@ -160,6 +162,7 @@ def delivery_export_fact(
         where=F.col("__kept"),
         keys=["Date", "Institucion", "Product_ID"],
         measures=["Units", "MXN"],
+        exact=LAKE_DECIMAL,
     )
     return clean_source(df, spec)
 
@@ -172,6 +175,7 @@ def consumption_lake_fact(lake: DataFrame, metrics: Mapping[str, str]) -> DataFr
         derive={"Date": F.to_date("month_date")},
         keys=["Date", "Institucion", "Product_ID"],
         measures=["Inventario", "consumption"],
+        exact=LAKE_DECIMAL,
     )
     metric = F.when(F.col("Metric") == "consumption", map_or_else("Institucion", metrics, "Metric"))
     return clean_source(lake, spec).withColumn("Metric", F.coalesce(metric, F.col("Metric")))
@@ -181,7 +185,8 @@ def by_product_name(fact: DataFrame, catalogue: DataFrame) -> DataFrame:
     """Fact per product name instead of product code, for sources that only know names.
     Codes with the same name are summed; codes without a name are left out."""
     keys = ["Date", "Institucion", "Product", "Metric"]
-    return group_sum(add_products(fact, catalogue), keys, ["Value"])
+    exact = None if isinstance(fact.schema["Value"].dataType, T.DecimalType) else LAKE_DECIMAL
+    return group_sum(add_products(fact, catalogue), keys, ["Value"], exact)
 
 
 def consumption_export_fact(
@@ -201,6 +206,7 @@ def consumption_export_fact(
         back=back,
         keys=["Date", "Institucion", "Product"],
         measures=["Inventario", metric],
+        exact=LAKE_DECIMAL,
     )
     return clean_source(both, spec)
 
@@ -213,7 +219,7 @@ def crosstab_fact(
     long = crosstab_to_long(sheets, [], rows, measures, drop_columns)
     spec_keys = ["Date", "Institucion", product, "Metric"]
     placed = long.withColumns({"Institucion": F.lit(institution), product: F.lit(placeholder)})
-    return placed.groupBy(*spec_keys).agg(F.coalesce(F.sum("Value"), F.lit(0.0)).alias("Value"))
+    return placed.groupBy(*spec_keys).agg(F.coalesce(F.sum(F.col("Value").cast(LAKE_DECIMAL)), F.lit(0)).alias("Value"))
 
 
 def add_products(df: DataFrame, catalogue: DataFrame) -> DataFrame:

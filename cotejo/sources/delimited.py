@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cotejo.functions.dates import parse_date
+from cotejo.sources import storage
 
 # Names under which the encodings are known elsewhere -> names Spark accepts.
 ENCODINGS = {
@@ -20,6 +23,8 @@ ENCODINGS = {
     "utf-16": "UTF-16",
 }
 BYTE_ORDER_MARK = "\ufeff"
+# Files that the driver opens at a time to read their first line.
+OPEN_FILES = 16
 
 
 def spark_encoding(name: str) -> str:
@@ -64,34 +69,73 @@ def read_delimited(
     return df.select(*[F.col(f"`{c}`") for c in columns]) if columns else df
 
 
+def first_lines(spark: SparkSession, paths: Sequence[str], encoding: str = "utf8") -> list[str]:
+    """First line of each file, "" where there is none.
+
+    The driver opens the files through Spark's own file system, several at a time, and reads one
+    buffer of each; no job is started.
+    """
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    charset = spark_encoding(encoding)
+
+    def first(path: str) -> str:
+        where = jvm.org.apache.hadoop.fs.Path(path)
+        stream = where.getFileSystem(conf).open(where)
+        try:
+            reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, charset))
+            return reader.readLine() or ""
+        finally:
+            stream.close()
+
+    with ThreadPool(OPEN_FILES) as pool:
+        return pool.map(first, paths)
+
+
 def read_by_header(
     spark: SparkSession,
     paths: Sequence[str],
     schema: T.StructType,
     sep: str = ";",
     encoding: str = "utf8",
+    file_column: str | None = None,
 ) -> DataFrame:
     """Read files whose headers may order the columns differently or have further ones.
 
     Files with the same header are read together, each layout by a schema of its own; columns
-    are then taken by name, and one that a layout lacks is null. Only the first line of each
-    file is read to find its layout.
+    are then taken by name, and one that a layout lacks is null. Files without a line give no
+    rows. ``file_column`` adds the name of the file.
     """
     layouts: dict[tuple[str, ...], list[str]] = {}
-    for path in paths:
-        names = spark.read.option("sep", sep).option("header", True).option("encoding", spark_encoding(encoding)).csv(path).columns
-        layouts.setdefault(tuple(n.replace(BYTE_ORDER_MARK, "").strip() for n in names), []).append(path)
+    for path, line in zip(paths, first_lines(spark, paths, encoding)):
+        names = next(csv.reader([line.replace(BYTE_ORDER_MARK, "")], delimiter=sep), [])
+        if names:
+            layouts.setdefault(tuple(n.strip() for n in names), []).append(path)
     types = {f.name: f.dataType for f in schema}
+    charset = spark_encoding(encoding)
+    extra = [F.col("_metadata.file_name").alias(file_column)] if file_column else []
 
     def read(names: tuple[str, ...], files: list[str]) -> DataFrame:
-        own = T.StructType([T.StructField(n, types.get(n, T.StringType())) for n in names])
+        # Of columns with one name the first counts.
+        own = T.StructType(
+            [T.StructField(n if n not in names[:i] else f"__{i}", types.get(n, T.StringType())) for i, n in enumerate(names)]
+        )
         df = (
-            spark.read.schema(own).option("sep", sep).option("header", True).option("enforceSchema", True)
-            .option("encoding", spark_encoding(encoding)).option("multiLine", spark_encoding(encoding).upper().startswith(("UTF-16", "UTF-32")))
+            spark.read.schema(own)
+            .option("sep", sep)
+            .option("header", True)
+            .option("enforceSchema", True)
+            .option("encoding", charset)
+            .option("multiLine", charset.upper().startswith(("UTF-16", "UTF-32")))
             .csv(files)
-        )
-        return df.select(*[F.col(f"`{f.name}`") if f.name in names else F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
-
+        )
+        return df.select(
+            *[F.col(f"`{f.name}`") if f.name in names else F.lit(None).cast(f.dataType).alias(f.name) for f in schema],
+            *extra,
+        )
+
+    if not layouts:
+        columns = [*schema.fields, *([T.StructField(file_column, T.StringType())] if file_column else [])]
+        return spark.createDataFrame([], T.StructType(columns))
     return reduce(DataFrame.unionByName, [read(names, files) for names, files in layouts.items()])
 
 
@@ -103,9 +147,13 @@ def read_folder(
     encoding: str = "utf8",
     file_column: str = "source_file",
 ) -> DataFrame:
-    """Read every file of a folder as one table, with the file's name as a column."""
-    df = read_delimited(spark, path, schema, sep, encoding)
-    return df.select("*", F.col("_metadata.file_name").alias(file_column))
+    """Read every file of a folder as one table, with the file's name as a column.
+
+    Files may order their columns differently, have further ones or lack some: they are read by
+    their headers, one read per layout. Hidden files are left out, as Spark's readers do.
+    """
+    files = [f"{path.rstrip('/')}/{n}" for n in storage.names(spark, path) if not n.startswith(("_", "."))]
+    return read_by_header(spark, files, schema, sep, encoding, file_column)
 
 
 def unify_dates(
@@ -148,8 +196,6 @@ def write_outputs(frames: Mapping[str, DataFrame], root: str, mode: str = "overw
 
 def read_or_empty(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
     """A Parquet table, or an empty one with the same columns when it does not exist yet."""
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    exists = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
-    if not exists:
+    if not storage.exists(spark, path):
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(path)

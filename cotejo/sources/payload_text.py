@@ -8,23 +8,35 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cotejo.functions.arrays import spread
 
-# A quoted stretch, its quotes doubled inside.
-_QUOTED = '"(?:[^"]++|"")*+"'
+# Inside of a quoted cell: a quote is written twice.
+_INSIDE = '(?:[^"]++|"")*+'
 
 
-def _records(text):
-    """Lines of the text; a line break between quotes belongs to the cell."""
-    return F.regexp_extract_all(text, F.lit(f'((?:[^"\\r\\n]++|{_QUOTED}|")++)'), F.lit(1))
+def _cell(sep: str) -> str:
+    """Pattern of a cell. Only a quote at its start opens a quoted stretch, in which separators and
+    line breaks belong to the cell; what follows the closing quote, and quotes elsewhere, are
+    plain text. A stretch that is not closed reaches to the end of the text."""
+    plain = f"(?:(?!{re.escape(sep)})[^\\r\\n])*+"
+    return f'(?:"{_INSIDE}(?:"{plain}|\\z)|(?!"){plain})'
+
+
+def _records(text, sep: str):
+    """Records of the text without blank ones."""
+    cell = _cell(sep)
+    found = F.regexp_extract_all(text, F.lit(f"({cell}(?:{re.escape(sep)}{cell})*+)(?:\\r\\n|[\\r\\n]|\\z)"), F.lit(1))
+    return F.filter(found, lambda r: F.trim(F.replace(r, F.lit("\t"), F.lit(" "))) != "")
 
 
 def _cells(record, sep: str):
     """Cells of a record, as many as there are, without their quotes."""
-    mark = re.escape(sep)
-    found = F.regexp_extract_all(F.concat(F.lit(sep), record), F.lit(f"{mark}({_QUOTED}|(?:(?!{mark}).)*+)"), F.lit(1))
+    found = F.regexp_extract_all(F.concat(F.lit(sep), record), F.lit(f"{re.escape(sep)}({_cell(sep)})"), F.lit(1))
+    inside = lambda c: F.regexp_extract(c, f'^"({_INSIDE})', 1)
+    after = lambda c: F.regexp_extract(c, f'(?s)^"{_INSIDE}"(.*)$', 1)
     return F.transform(
         found,
-        lambda c: F.when(c.startswith('"'), F.regexp_replace(F.regexp_replace(c, '^"|"$', ""), '""', '"')).otherwise(c),
+        lambda c: F.when(c.startswith('"'), F.concat(F.replace(inside(c), F.lit('""'), F.lit('"')), after(c))).otherwise(c),
     )
 
 
@@ -42,11 +54,11 @@ def text_to_table(
     quotes too. A blank text, or one with a header only, gives no rows. A text is one row of the
     table and is parsed where it is.
     """
-    headed = df.select(*ids, _records(F.col(text)).alias("__lines")).select(
+    headed = df.select(*ids, _records(F.col(text), sep).alias("__lines")).select(
         *ids, "__lines", _cells(F.get("__lines", F.lit(0)), sep).alias("__head")
     )
     body = F.slice("__lines", 2, F.greatest(F.size("__lines") - 1, F.lit(0)))
-    exploded = headed.select(*ids, "__head", F.posexplode(body).alias(row_number, "__line"))
+    exploded = spread(headed, [*ids, "__head"], body, "__line", position=row_number)
     parsed = exploded.select(*ids, row_number, "__head", _cells(F.col("__line"), sep).alias("__cells"))
     return parsed.select(
         *ids,
