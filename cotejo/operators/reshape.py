@@ -160,8 +160,8 @@ def gather_series(
     """One row per series: the map ``__by_month`` of its monthly sums, its ``__first`` month,
     the last month ``__until`` of the whole table, and further aggregates over the sums. Dates
     inside a month count for its first day."""
+    until = df.agg(F.trunc(F.max(month), "month")).scalar() if until is None else F.trunc(until, "month")
     df = df.withColumn(month, F.trunc(month, "month"))
-    until = df.agg(F.max(month)).scalar() if until is None else F.trunc(until, "month")
     monthly = group_sum(df, [*series, month], [value], exact)
     gathered = monthly.groupBy(*series).agg(
         F.map_from_entries(F.collect_list(F.struct(month, value))).alias("__by_month"),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from cotejo.functions.dates import month_start
 from cotejo.functions.numbers import MONEY
 from cotejo.operators import quality, reconcile
+from cotejo.operators.aggregates import group_sum
 from cotejo.plans.catalog import query, table
 
 KEYS = ["Date", "Status", "Metric"]
@@ -77,6 +78,45 @@ for _mode in ("abs", "signed", "rounded"):
     )(_reconcile(_mode))
 
 
+@query(
+    "reconcile_missing_dims",
+    f"""
+    WITH x AS (SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS "Date",
+                      CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END AS "Status",
+                      CASE WHEN o_orderpriority <> '5-LOW' THEN 'USD' END AS "Metric",
+                      sum(CAST(o_totalprice AS DECIMAL(18,2))) AS v FROM orders GROUP BY 1, 2, 3),
+    y AS (SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS "Date",
+                 CASE WHEN l_returnflag <> 'R' THEN l_linestatus END AS "Status",
+                 CASE WHEN l_linenumber > 1 THEN 'USD' END AS "Metric",
+                 sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS v FROM lineitem GROUP BY 1, 2, 3),
+    j AS (SELECT coalesce(x."Date", y."Date") AS "Date", coalesce(x."Status", y."Status") AS "Status",
+                 coalesce(x."Metric", y."Metric") AS "Metric", x.v AS xv, y.v AS yv,
+                 CAST(x.v AS DOUBLE) AS xd, CAST(y.v AS DOUBLE) AS yd
+          FROM x FULL JOIN y ON x."Date" = y."Date" AND x."Status" IS NOT DISTINCT FROM y."Status"
+               AND x."Metric" IS NOT DISTINCT FROM y."Metric")
+    SELECT "Date", "Status", "Metric", {difference_sql("abs")} FROM j
+    """,
+)
+def reconcile_missing_dims(spark, folder):
+    """Two facts in which dimensions are missing: rows without one are a group like others, and
+    those of the two sides meet."""
+    orders, lines = table(spark, folder, "orders"), table(spark, folder, "lineitem")
+    left = orders.select(
+        month_start("o_orderdate").alias("Date"),
+        F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus")).alias("Status"),
+        F.when(F.col("o_orderpriority") != "5-LOW", "USD").alias("Metric"),
+        F.col("o_totalprice").alias("Value"),
+    )
+    right = lines.select(
+        month_start("l_shipdate").alias("Date"),
+        F.when(F.col("l_returnflag") != "R", F.col("l_linestatus")).alias("Status"),
+        F.when(F.col("l_linenumber") > 1, "USD").alias("Metric"),
+        F.col("l_extendedprice").alias("Value"),
+    )
+    sums = [group_sum(side, KEYS, ["Value"], MONEY, keep_nulls=True) for side in (left, right)]
+    return to_double(reconcile.reconcile(*sums, KEYS))
+
+
 _CHAIN_SOURCES = """
     l AS (SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS "Date", l_returnflag AS "Flag",
                  CAST(l_extendedprice AS DECIMAL(18,2)) AS price,

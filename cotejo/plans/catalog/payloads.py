@@ -713,3 +713,74 @@ def payload_csv(spark, folder):
         "c_custkey", F.when(F.col("c_mktsegment") == "MACHINERY", F.lit("")).otherwise(body).alias("body")
     )
     return text_to_table(bodies, ["c_custkey"], "body", ["name", "nation"])
+
+
+_WIDE = 60
+
+
+@query(
+    "payload_csv_wide",
+    f"""
+    WITH p AS (SELECT p_partkey, p_name, p_brand, p_size FROM part)
+    SELECT p_partkey, CAST(0 AS INTEGER) AS row_no, CAST(p_size AS VARCHAR) || '" ' || p_name AS "size",
+           p_brand || chr(10) || p_name AS note, 'w{_WIDE - 1}' || CAST(p_partkey AS VARCHAR) AS last FROM p
+    UNION ALL SELECT p_partkey, 1, 'say "' || p_brand || '", twice', '"', NULL FROM p
+    UNION ALL SELECT p_partkey, 2, p_name || ' 5"', 'cut off', 'x"y"z' FROM p
+    """,
+)
+def payload_csv_wide(spark, folder):
+    """Wide CSV bodies with quotes inside plain cells, line breaks and separators inside quoted
+    ones, text after a closing quote, short lines and blank lines."""
+    parts = table(spark, folder, "part")
+    fill = [f"c{i}" for i in range(_WIDE)]
+    key = F.col("p_partkey").cast("string")
+    size = F.col("p_size").cast("string")
+
+    def line(first, note, cells):
+        return F.concat_ws(",", first, note, *cells)
+
+    lines = F.concat_ws(
+        "\n",
+        F.lit(",".join(["size", "note", *fill, "last"])),
+        line(F.concat(size, F.lit('" '), "p_name"), F.concat(F.lit('"'), "p_brand", F.lit("\n"), "p_name", F.lit('"')),
+             [*[F.lit("")] * _WIDE, F.concat(F.lit(f"w{_WIDE - 1}"), key)]),
+        F.lit("  "),
+        line(F.concat(F.lit('"say ""'), "p_brand", F.lit('"", twice"')), F.lit('""""'), [F.lit("short")]),
+        line(F.concat("p_name", F.lit(' 5"')), F.lit('"cut" off'), [*[F.lit("v")] * _WIDE, F.lit('x"y"z')]),
+        F.lit(""),
+    )
+    return text_to_table(parts.select("p_partkey", lines.alias("body")), ["p_partkey"], "body", ["size", "note", "last"])
+
+
+@query(
+    "html_config",
+    """
+    SELECT c_custkey, c_name AS sheet, 'Año "' || c_mktsegment || '" <é> & 漢' AS title,
+           'https://host/' || CAST(c_nationkey AS VARCHAR) || '/' AS host_url, '&eacute;' AS literal
+    FROM customer
+    """,
+)
+def html_config(spark, folder):
+    """Configuration of a view out of its page: a JSON text in a text area, and parameter tags,
+    both with named and numeric character references."""
+    config = F.concat(
+        F.lit("{&quot;sheetId&#34;:&#x22;"), "c_name",
+        F.lit("&quot;, &quot;title&QUOT;: &quot;A&ntilde;o \\&quot;"), "c_mktsegment",
+        F.lit("\\&#34; &lt;&eacute;&GT; &#38 &#x6F22;&quot;, &quot;literal&quot;: &quot;&amp;eacute;&quot;}"),
+    )
+    page = F.concat(
+        F.lit('<html><div class="tableauPlaceholder"><param name="host&#95;url" value="https%3A&#x2F;&sol;host&#47;'),
+        F.col("c_nationkey").cast("string"),
+        F.lit('%2F"></div><textarea rows=1 id="tsConfigContainer">'), config, F.lit("</textarea></html>"),
+    )
+    pages = table(spark, folder, "customer").select("c_custkey", page.alias("html"))
+    pages = pages.withColumn("config", dashboard.html_text_of("html", "textarea", "tsConfigContainer"))
+    pages = dashboard.with_html_params(pages, "html")
+    parsed = pages.withColumn("c", F.from_json("config", "sheetId string, title string, literal string"))
+    return parsed.select(
+        "c_custkey",
+        F.col("c.sheetId").alias("sheet"),
+        F.col("c.title").alias("title"),
+        F.try_element_at("params", F.lit("host_url")).alias("host_url"),
+        F.col("c.literal").alias("literal"),
+    )

@@ -47,6 +47,27 @@ def densify_months(spark, folder):
     return dense.withColumn("Value", F.col("Value").cast("double"))
 
 
+@query(
+    "densify_days",
+    """
+    WITH m AS (SELECT o_orderpriority AS priority, CAST(date_trunc('month', o_orderdate) AS DATE) AS d,
+                      sum(CAST(o_totalprice AS DECIMAL(18,2))) AS v FROM orders
+               WHERE o_orderpriority <> '5-LOW' OR day(o_orderdate) > 27 GROUP BY 1, 2),
+    c AS (SELECT priority, CAST(unnest(generate_series(min(d), (SELECT max(d) FROM m), INTERVAL 1 MONTH)) AS DATE) AS d
+          FROM m GROUP BY 1)
+    SELECT c.priority, c.d AS "Date", CAST(coalesce(m.v, 0) AS DOUBLE) AS "Value"
+    FROM c LEFT JOIN m ON m.priority = c.priority AND m.d = c.d
+    """,
+)
+def densify_days(spark, folder):
+    """Days inside the months, some of which a series lacks."""
+    day = F.to_date("o_orderdate")
+    rows = table(spark, folder, "orders").filter((F.col("o_orderpriority") != "5-LOW") | (F.dayofmonth(day) > 27))
+    rows = rows.select(F.col("o_orderpriority").alias("priority"), day.alias("Date"), F.col("o_totalprice").alias("Value"))
+    dense = reshape.densify_months(rows, ["priority"], "Date", "Value", exact=MONEY)
+    return dense.withColumn("Value", F.col("Value").cast("double"))
+
+
 @query("series_split", "SELECT DISTINCT l_suppkey AS supplier, l_returnflag AS flag FROM lineitem")
 def series_split(spark, folder):
     return series.series_of(_monthly(spark, folder), SERIES)
