@@ -1,15 +1,20 @@
 """Best-fit packing of token sequences, hierarchical.
 
-Every partition packs its own pieces best-fit, keeps the nearly full sequences as they are and
-passes the underfull ones on as items. Groups of ``FAN`` partitions repeat that until one group
-is left. Only (id, length, place) rows travel, never tokens.
+Pieces are dealt evenly over partitions of about ``PART`` pieces; every partition packs its own
+best-fit, and its nearly full sequences are done. The pieces of the underfull ones are items of
+the next round, which has fewer partitions, until one is left or nothing more fits together.
+Only (id, length, place) rows travel, never tokens.
 """
 
 from __future__ import annotations
 
 import bisect
-import struct
-from collections.abc import Callable, Iterator
+import itertools
+import os
+import sys
+import types
+import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -21,15 +26,23 @@ from cotejo.llm.common import record_batch, stage, texts_of
 CAPACITY = 4096
 # Free tokens up to which a sequence counts as nearly full.
 SLACK = 24
-# Partitions merged at a time, and underfull sequences that each may pass on (the emptiest ones;
-# the others are sequences as they are), so that a merging task has a bounded input.
-FAN, PASSED_ON = 8, 4096
-# Words whose ids a task remembers.
-REMEMBERED = 600_000
+# Pieces that a partition packs at a time, about 5 MB.
+PART = 1 << 16
+# Share of the pieces that a round has to finish for another round to be worth while.
+WORTH = 0.05
+# Words whose ids a worker remembers, about 200 MB.
+REMEMBERED = 900_000
+# Bytes of text whose new words are looked up together.
+TEXT_BYTES = 4 << 20
+# Words in one text for the tokenizer.
+TOGETHER = 4096
 # ASCII signs that a word may end with.
-SIGNS = bytes(c for c in range(33, 127) if not chr(c).isalnum())
+SIGNS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
+# Last of the Latin letters, among which case does not depend on neighbours.
+LATIN = "\u024f"
 
-PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, bin long, offset long, fill long, open boolean"
+PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
+PACKED = PIECES + ", row long, bin long, offset long, open boolean"
 
 
 def best_fit(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
@@ -58,40 +71,16 @@ def best_fit(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray
     return bins, offsets
 
 
-def pack_rows(lengths: np.ndarray, bins: np.ndarray, offsets: np.ndarray, fills: np.ndarray, capacity: int, slack: int, last: bool):
-    """One round over rows that lie in bins: merge whole bins best-fit.
-
-    Returns bin, offset, fill and whether the bin stays open, for each row.
-    """
-    old, first, place = np.unique(bins, return_index=True, return_inverse=True)
-    new, shift = best_fit(fills[first], capacity)
-    total = np.bincount(new, weights=fills[first]).astype(np.int64) if len(old) else np.zeros(0, np.int64)
-    is_open = capacity - total > slack
-    if last:
-        is_open[:] = False
-    elif is_open.sum() > PASSED_ON:
-        order = np.argsort(total, kind="stable")
-        order = order[is_open[order]]
-        is_open[order[PASSED_ON:]] = False
-    return new[place], offsets + shift[place], total[new[place]], is_open[new[place]]
-
-
-def _base(word: bytes) -> tuple[bytes, ...]:
+def base_parts(word: str) -> tuple[str, ...]:
     """Parts of a word that have the same ids one after the other: the tokenizer ignores case, and
     a run of ASCII signs at the end of a word is split off after a letter or digit. Words with a
-    special token's signs stay whole, and so do those with characters beyond U+024F, where case
+    special token's signs stay whole, and so do those with characters beyond Latin, where case
     and composition may depend on neighbours."""
-    if b"<|" in word:
+    if not word.isascii() and max(word) > LATIN or "<|" in word:
         return (word,)
-    if word.isascii():
-        low = word.lower()
-    else:
-        text = word.decode("utf-8", "replace")
-        if max(text) > "\u024f":
-            return (word,)
-        low = text.lower().encode()
+    low = word.lower()
     stem = low.rstrip(SIGNS)
-    if stem and len(stem) < len(low) and (stem[-1:].isalnum() or stem.decode()[-1].isalpha()):
+    if stem and len(stem) < len(low) and (stem[-1].isalpha() or (stem[-1].isascii() and stem[-1].isalnum())):
         return stem, low[len(stem) :]
     return (low,)
 
@@ -103,46 +92,97 @@ class WordIds:
     """
 
     def __init__(self, file: str):
-        import os
-
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(file)
         self.known: dict[bytes, bytes] = {}
+        size = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        # Tokens that end a run of letters.
+        self.ends = np.zeros(size, bool)
+        for token, at in self.tokenizer.get_vocab(with_added_tokens=True).items():
+            self.ends[at] = token.endswith("</w>")
+
+    def learn(self, words: set[bytes]) -> None:
+        """Know the ids of these words, and perhaps of others."""
+        new = words.difference(self.known)
+        if not new:
+            return
+        if len(self.known) + len(new) > REMEMBERED:
+            self.known.clear()
+            new = words
+        raws = list(new)
+        # Many new words differ from a known one in case or in the signs at their end only.
+        parts = [base_parts(w) for w in b"\n".join(raws).decode("utf-8", "replace").split("\n")]
+        found = self._encode({p for ps in parts for p in ps})
+        for raw, ps in zip(raws, parts):
+            self.known[raw] = found[ps[0]] if len(ps) == 1 else found[ps[0]] + found[ps[1]]
+
+    def _encode(self, parts: set[str]) -> dict[str, bytes]:
+        found: dict[str, bytes] = {}
+        letters, others = [], []
+        for p in parts:
+            (letters if p.isalpha() and max(p) <= LATIN else others).append(p)
+        for start in range(0, len(letters), TOGETHER):
+            some = letters[start : start + TOGETHER]
+            # A run of letters ends with a token of its own, so the ids of many can be told apart.
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
+            borders = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+            if len(borders) != len(some):
+                others += some
+                continue
+            whole = ids.tobytes()
+            found.update(zip(some, (whole[a:b] for a, b in zip([0, *borders], borders))))
+        for start in range(0, len(others), TOGETHER):
+            some = others[start : start + TOGETHER]
+            for p, encoding in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
+                found[p] = np.array(encoding.ids, "<u4").tobytes()
+        return found
 
     def __call__(self, raw: bytes | None) -> bytes:
         words = raw.split() if raw else []
-        known = self.known
-        new = [w for w in set(words) if w not in known]
-        if new:
-            if len(known) + len(new) > REMEMBERED:
-                known.clear()
-                new = list(set(words))
-            # Many new words differ from a known one in case or in the sign at their end only.
-            bases = {w: _base(w) for w in new}
-            missing = list({part for b in bases.values() for part in b if part not in known})
-            found = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in missing], add_special_tokens=False)
-            for word, encoding in zip(missing, found):
-                ids = encoding.ids
-                known[word] = struct.pack(f"<{len(ids)}I", *ids)
-            for word, parts in bases.items():
-                if parts[0] != word:
-                    known[word] = known[parts[0]] + known[parts[1]] if len(parts) > 1 else known[parts[0]]
-        return b"".join(map(known.__getitem__, words))
+        self.learn(set(words))
+        return self.of(words)
+
+    def of(self, words: list[bytes]) -> bytes:
+        """Ids of words that are known."""
+        return b"".join(map(self.known.__getitem__, words))
+
+    def of_texts(self, raws: list[bytes | None]) -> Iterator[bytes]:
+        """Ids of each text; new words of neighbouring texts are looked up together."""
+        start = 0
+        while start < len(raws):
+            end, size = start, 0
+            while end < len(raws) and (end == start or size + len(raws[end] or b"") <= TEXT_BYTES):
+                size += len(raws[end] or b"")
+                end += 1
+            split = [raw.split() if raw else [] for raw in raws[start:end]]
+            self.learn(set(itertools.chain.from_iterable(split)))
+            yield from map(self.of, split)
+            start = end
+
+
+def word_ids(file: str) -> WordIds:
+    """The memory of words of this worker process, which its tasks share one after the other."""
+    place = sys.modules.setdefault("cotejo_llm_memory", types.ModuleType("cotejo_llm_memory"))
+    held = place.__dict__.get("words")
+    if held is None or held[0] != file:
+        held = place.__dict__["words"] = (file, WordIds(file))
+    return held[1]
 
 
 def pieces_of(ids: bytes, capacity: int) -> Iterator[tuple[int, int, int, int]]:
     """piece, start, length and CRC-32 of each piece of a document's ids."""
-    import zlib
-
     total = len(ids) // 4
+    if total <= capacity:
+        yield 0, 0, total, zlib.crc32(ids)
+        return
     for piece, start in enumerate(range(0, total, capacity)):
         end = min(start + capacity, total)
         yield piece, start, end - start, zlib.crc32(ids[4 * start : 4 * end])
 
 
-def pack(docs: DataFrame, tokenizer_file: str, capacity: int = CAPACITY, slack: int = SLACK, end_id: int = 1) -> DataFrame:
+def pack(docs: DataFrame, tokenizer_file: str, capacity: int = CAPACITY, slack: int = SLACK, end_id: int = 1, part: int = PART) -> DataFrame:
     """Pack the tokens of every row of ``docs`` (doc_id, text) into sequences of ``capacity``.
 
     Returns doc_id, piece, start, length, ids_crc32, sequence_id, offset. A null or empty text is
@@ -150,56 +190,68 @@ def pack(docs: DataFrame, tokenizer_file: str, capacity: int = CAPACITY, slack:
     gives no sequences. Which rows share a sequence depends on the partitioning, what is
     returned for a piece besides does not.
     """
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import _parse_datatype_string
-
-    schema = to_arrow_schema(_parse_datatype_string(PIECES))
     tail = np.array([end_id], "<u4").tobytes()
 
     def tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        encode, part, kept = WordIds(tokenizer_file), TaskContext.get().partitionId(), []
+        encode = word_ids(tokenizer_file)
+        fields = [("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())]
         for batch in batches:
-            found = [
-                (doc, *piece)
-                for doc, raw in zip(batch.column(0).to_pylist(), texts_of(batch))
-                for piece in pieces_of(encode(raw) + tail, capacity)
-            ]
+            texts = encode.of_texts(list(texts_of(batch)))
+            found = [(doc, *piece) for doc, ids in zip(batch.column(0).to_pylist(), texts) for piece in pieces_of(ids + tail, capacity)]
             if found:
-                kept.append(record_batch(pa.schema([schema.field(i) for i in range(5)]), zip(*found)))
-        if not kept:
-            return
-        rows = pa.Table.from_batches(kept).combine_chunks()
-        lengths = rows["length"].to_numpy()
-        one = np.arange(len(lengths))
-        bins, offsets, fills, is_open = pack_rows(lengths, one, one * 0, lengths, capacity, slack, False)
-        yield record_batch(schema, [*(c.chunk(0) for c in rows.columns), np.full(len(one), part, np.int32), (part << 32) + bins, offsets, fills, is_open])
-
-    rows = stage(docs.selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(tokenize, PIECES))
-    most = rows.agg(F.max("part")).first()[0]
-    finished = []
-    level, groups = 0, 0 if most is None else most + 1
-    while groups > 1:
-        level, groups = level + 1, -(-groups // FAN)
-        finished.append(rows.filter("not open"))
-        rows = stage(_merge(rows.filter("open"), level, capacity, slack, groups == 1, schema))
-    for done in finished:
-        rows = rows.unionByName(done)
-    return rows.select("doc_id", "piece", "start", "length", "ids_crc32", F.col("bin").alias("sequence_id"), "offset")
-
-
-def _merge(rows: DataFrame, level: int, capacity: int, slack: int, last: bool, schema: pa.Schema) -> DataFrame:
-    """Merge the open bins of ``FAN`` groups each."""
-
-    def merge(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("bin", "ascending"), ("offset", "ascending"), ("doc_id", "ascending"), ("piece", "ascending")])
-        column: Callable = lambda name: table[name].to_numpy()
-        group = int(column("part")[0]) // FAN
-        bins, offsets, fills, is_open = pack_rows(column("length"), column("bin"), column("offset"), column("fill"), capacity, slack, last)
-        made = [np.full(len(bins), group, np.int32), (level << 56) + (group << 32) + bins, offsets, fills, is_open]
-        return pa.table([*(table[n].combine_chunks() for n in schema.names[:5]), *made], schema=schema)
-
-    return rows.withColumn("__group", F.expr(f"part div {FAN}")).groupBy("__group").applyInArrow(
-        lambda t: merge(t.drop_columns(["__group"])), PIECES
-    )
+                yield record_batch(pa.schema(fields), zip(*found))
+
+    pieces = stage(docs.selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(tokenize, PIECES))
+    return pack_pieces(pieces, capacity, slack, part)
+
+
+def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, slack: int = SLACK, part: int = PART) -> DataFrame:
+    """Pack rows by their ``length``: the columns of ``PIECES`` beside sequence_id and offset.
+
+    A round deals its pieces by a hash of their place over partitions of about ``part`` pieces, so
+    that each has short and long ones as the whole table has, however they lie in the input, and
+    takes the nearly full sequences of each. The rest goes to the next round. Rounds end with one
+    partition, or when one finishes less than ``WORTH`` of its pieces: then nothing is left that
+    would fill the open sequences, and they stay as they are. No number of pieces or sequences
+    is bounded by this.
+    """
+    rows = pieces.withColumn("row", F.monotonically_increasing_id())
+    left, level, finished = rows.count(), 0, []
+    while left > part:
+        groups = -(-left // part)
+        packed = stage(_round(rows, level, groups, capacity, slack))
+        still_open = packed.filter("open").count()
+        if still_open > (1 - WORTH) * left:
+            finished.append(packed)
+            left = 0
+            break
+        finished.append(packed.filter("not open"))
+        rows, left, level = packed.filter("open").drop("bin", "offset", "open"), still_open, level + 1
+    if left or not finished:
+        finished.append(_round(rows, level, 1, capacity, slack))
+    out = finished[0]
+    for done in finished[1:]:
+        out = out.unionByName(done)
+    return out.select("doc_id", "piece", "start", "length", "ids_crc32", F.col("bin").alias("sequence_id"), "offset")
+
+
+def _round(rows: DataFrame, level: int, groups: int, capacity: int, slack: int) -> DataFrame:
+    """Best fit in each of ``groups`` partitions: bin, offset, and whether the bin is underfull."""
+    group = F.pmod(F.xxhash64("row", F.lit(level)), F.lit(groups).cast("long"))
+
+    def fit(table: pa.Table) -> pa.Table:
+        number = table["__group"][0].as_py()
+        table = table.drop_columns(["__group"]).sort_by("row")
+        lengths = table["length"].to_numpy()
+        bins, offsets = best_fit(lengths, capacity)
+        fills = np.bincount(bins, weights=lengths).astype(np.int64)
+        added = {
+            "bin": pa.array((level << 56) + (number << 28) + bins, pa.int64()),
+            "offset": pa.array(offsets, pa.int64()),
+            "open": pa.array((capacity - fills > slack)[bins], pa.bool_()),
+        }
+        for name, values in added.items():
+            table = table.append_column(name, values)
+        return table
+
+    return rows.withColumn("__group", group).groupBy("__group").applyInArrow(fit, PACKED)
