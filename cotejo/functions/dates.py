@@ -9,7 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from cotejo.functions.mapping import map_values
-from cotejo.functions.text import _col, title_case, zero_pad
+from cotejo.functions.text import _col, zero_pad
 
 # Month names, Spanish then English.
 SPANISH_MONTHS = (
@@ -29,7 +29,7 @@ MONTH_NUMBERS = {
 
 def month_number(c: Column | str) -> Column:
     """Month number of a Spanish or English month name in any case, null when unknown."""
-    return map_values(title_case(c), MONTH_NUMBERS)
+    return map_values(F.lower(_col(c)), {name.lower(): number for name, number in MONTH_NUMBERS.items()})
 
 
 def month_from_parts(year: Column | str, month: Column | str) -> Column:
@@ -48,8 +48,9 @@ def month_text(year: Column | str, month: Column | str) -> Column:
 
 def month_from_compact(c: Column | str) -> Column:
     """First day of the month out of ``yyyyMM``, ``yyyy-MM`` or a longer date text."""
-    digits = F.left(F.replace(_col(c).cast("string"), F.lit("-"), F.lit("")), F.lit(6))
-    return F.try_to_date(F.concat(digits, F.lit("01")), "yyyyMMdd")
+    digits = F.left(F.translate(_col(c).cast("string"), "-", ""), F.lit(6))
+    whole = (F.length(digits) == 6) & (F.translate(digits, "0123456789", "") == "")
+    return F.when(whole, month_from_parts(F.left(digits, F.lit(4)), F.right(digits, F.lit(2))))
 
 
 def month_start(c: Column | str) -> Column:

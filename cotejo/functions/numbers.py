@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -12,8 +14,15 @@ LAKE_DECIMAL = "decimal(28,6)"
 
 
 def parse_number(c: Column | str, drop: str = "[$,]", to: str = "double") -> Column:
-    """Number out of text such as ``$1,234.50``; text that is no number gives null."""
-    return F.regexp_replace(_col(c), drop, "").try_cast(to)
+    """Number out of text such as ``$1,234.50``; text that is no number gives null.
+
+    ``drop`` is a pattern. A class of plain signs, or one sign, is dropped sign by sign, which is
+    several times as fast.
+    """
+    signs = re.fullmatch(r"\[([^\]\[\\^&-]+)\]|([^\\^$.|?*+()\[\]{}])", drop)
+    c = _col(c)
+    plain = F.translate(c, signs[1] or signs[2], "") if signs else F.regexp_replace(c, drop, "")
+    return plain.try_cast(to)
 
 
 def scale_and_round(c: Column | str, divisor: float, digits: int = 2) -> Column:

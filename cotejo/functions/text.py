@@ -87,7 +87,7 @@ def prefix(c: Column | str, n: int) -> Column:
 def zero_pad(c: Column | str, width: int) -> Column:
     """Pad with zeros on the left after a sign; longer text is kept (``lpad`` would cut it)."""
     c = _col(c)
-    signed = c.rlike(r"^[+-]")
+    signed = F.left(c, F.lit(1)).isin("+", "-")
     padded = F.when(
         signed, F.concat(F.left(c, F.lit(1)), F.lpad(F.substr(c, F.lit(2)), width - 1, "0"))
     ).otherwise(F.lpad(c, width, "0"))
