@@ -39,9 +39,12 @@ class Origin:
     brand: str | None = "marca"
 
 
-def newest_slice(df: DataFrame, snapshot: str = "ref_frz_dt") -> DataFrame:
+def newest_slice(df: DataFrame, snapshot: str = "ref_frz_dt", freeze: str | None = None) -> DataFrame:
     """Rows of the newest freeze. On a table partitioned by ``snapshot`` the scalar bound
-    prunes the other partitions."""
+    prunes the other partitions; a ``freeze`` that is known does so when the plan is made, and
+    saves the search for the newest one."""
+    if freeze is not None:
+        return df.filter(F.col(snapshot) == F.lit(freeze).cast(df.schema[snapshot].dataType))
     return df.filter(F.col(snapshot) == df.agg(F.max(snapshot)).scalar())
 
 
@@ -55,8 +58,9 @@ def snapshot_totals(
     institution: str = "institucion",
     snapshot: str = "ref_frz_dt",
     salts: int = 1,
+    freeze: str | None = None,
 ) -> DataFrame:
-    """Totals of a live table and of its newest freeze, side by side.
+    """Totals of a live table and of its newest freeze (or of ``freeze``), side by side.
 
     One row per month, institution, brand and measure; ``DATE_STANDARD`` is the newest live
     month, ``DATE_FREEZE`` the newest freeze date, null where that side has no rows. Each side
@@ -65,7 +69,7 @@ def snapshot_totals(
     """
     month = month_from_parts("annual", "mes")
     newest_month = live.select("annual", "mes").distinct().agg(F.max(month)).scalar()
-    newest_freeze = frozen.agg(F.max(snapshot)).scalar()
+    newest_freeze = frozen.agg(F.max(snapshot)).scalar() if freeze is None else F.lit(freeze).cast(frozen.schema[snapshot].dataType)
 
     def side(df: DataFrame, dim: DataFrame, is_live: bool) -> DataFrame:
         """Sums per month, site and brand. Months stay text and sites are looked up only for
@@ -84,7 +88,7 @@ def snapshot_totals(
         )
 
     stacked = side(live, sites, True).unionByName(
-        side(newest_slice(frozen, snapshot), newest_slice(frozen_sites, snapshot), False)
+        side(newest_slice(frozen, snapshot, freeze), newest_slice(frozen_sites, snapshot, freeze), False)
     )
     is_live = F.col("__live")
 
