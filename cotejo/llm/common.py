@@ -95,12 +95,6 @@ def texts_of(batch: pa.RecordBatch, column: str = "text") -> Iterator[bytes | No
     return (v.as_py() for v in batch.column(batch.schema.get_field_index(column)).cast(pa.binary()))
 
 
-def hash_words(words: list[bytes]) -> np.ndarray:
-    from xxhash import xxh3_64_intdigest
-
-    return np.fromiter(map(xxh3_64_intdigest, words), np.uint64, len(words))
-
-
 def mix(keys: np.ndarray) -> np.ndarray:
     """Finish a 64-bit hash (fixed multipliers of a public finalizer)."""
     keys = (keys ^ (keys >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -108,24 +102,79 @@ def mix(keys: np.ndarray) -> np.ndarray:
     return keys ^ (keys >> np.uint64(31))
 
 
+# Odd multiplier of the word hash, and of the places in a shingle.
+MULTIPLIER, PLACES = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95
+# Bytes of text that are hashed at a time; a longer word is hashed whole.
+HASHED = 1 << 20
+
+_IS_SPACE = np.zeros(256, bool)
+_IS_SPACE[list(b" \t\n\x0b\x0c\r")] = True
+# Value of each byte, A-Z as a-z.
+_VALUE = np.arange(1, 257, dtype=np.uint64)
+_VALUE[65:91] += np.uint64(32)
+_powers: dict[int, np.ndarray] = {}
+
+
+def _power_table(factor: int, n: int) -> np.ndarray:
+    """Powers of an odd number modulo 2**64, at least ``n``; kept for the next call."""
+    held = _powers.get(factor)
+    if held is None or len(held) < n:
+        held, size = np.ones(1, np.uint64), max(1 << 16, 1 << (n - 1).bit_length())
+        while len(held) < size:
+            held = np.concatenate([held, held * np.uint64(pow(factor, len(held), 1 << 64))])
+        _powers[factor] = held
+    return held
+
+
+def word_hashes(raw: bytes) -> np.ndarray:
+    """64-bit hash of each word of a text, ASCII lower case: the polynomial of its bytes, taken
+    from running sums over the text, and finished."""
+    data = np.frombuffer(raw, np.uint8)
+    found, start = [], 0
+    while start < len(data):
+        end = min(start + HASHED, len(data))
+        if end < len(data):
+            spaces = np.flatnonzero(_IS_SPACE[data[start:end]])
+            if len(spaces):
+                end = start + int(spaces[-1]) + 1
+            else:
+                later = np.flatnonzero(_IS_SPACE[data[end:]])
+                end = end + int(later[0]) if len(later) else len(data)
+        found.append(_hashed(data[start:end]))
+        start = end
+    return np.concatenate(found) if found else np.empty(0, np.uint64)
+
+
+def _hashed(data: np.ndarray) -> np.ndarray:
+    n = len(data)
+    outside = np.ones(n + 2, np.int8)
+    outside[1:-1] = _IS_SPACE[data]
+    borders = np.diff(outside)
+    starts, ends = np.flatnonzero(borders == -1), np.flatnonzero(borders == 1)
+    sums = np.zeros(n + 1, np.uint64)
+    np.cumsum(_VALUE[data] * _power_table(MULTIPLIER, n)[:n], out=sums[1:])
+    inverse = _power_table(pow(MULTIPLIER, -1, 1 << 64), n)
+    return mix((sums[ends] - sums[starts]) * inverse[starts])
+
+
 def shingle_set(raw: bytes | None, size: int = 5) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the ``size``-word shingles of a text, ASCII lower case.
 
-    Fewer words make one shingle of the whole sequence; no words make an empty set.
+    Fewer words make one shingle of the whole sequence; no words make an empty set. Two shingles
+    out of n share a hash with a probability of about n * n / 2**65.
     """
-    from xxhash import xxh3_64_intdigest
-
-    words = raw.lower().split() if raw else []
-    if not words:
-        return np.empty(0, np.uint64)
-    if len(words) < size:
-        return np.array([xxh3_64_intdigest(b" ".join(words), seed=1)], np.uint64)
-    hashes = hash_words(words)
-    last = len(words) - size + 1
-    keys = mix(hashes[:last])
-    for i in range(1, size):
-        keys = mix(keys * np.uint64(0x9E3779B97F4A7C15) + hashes[i : i + last])
-    return np.unique(keys)
+    hashes = word_hashes(raw) if raw else np.empty(0, np.uint64)
+    if not len(hashes):
+        return hashes
+    if len(hashes) < size:
+        from xxhash import xxh3_64_intdigest
+
+        return np.array([xxh3_64_intdigest(b" ".join(raw.lower().split()), seed=1)], np.uint64)
+    last = len(hashes) - size + 1
+    keys = np.zeros(last, np.uint64)
+    for i in range(size):
+        keys += hashes[i : i + last] * np.uint64(pow(PLACES, i + 1, 1 << 64))
+    return np.unique(mix(keys))
 
 
 def digest(values: np.ndarray, seed: int = 0) -> int:
