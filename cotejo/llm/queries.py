@@ -19,6 +19,7 @@ from cotejo.llm import (
     quality,
     runs,
     sharding,
+    statements,
     tokencount,
     warc,
 )
@@ -102,4 +103,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op13_conversation_trie,
     )
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op8_revisit_archives": statements.REVISITS,
+    "op13_conversation_trie": statements.TRIE,
+}

@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cotejo.llm import fuzzyhash, prefixtrie, runs
-from cotejo.llm.queries import QUERIES
+from cotejo.llm.queries import ORACLES, QUERIES
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -358,3 +358,12 @@ def test_list_digests_over_row_and_task_borders(spark):
     want = {k: hashlib.sha256(",".join(str(i) for i in sorted(i for j, i in ids if j == k)).encode()).hexdigest() for k in (1, 2, 3, 4)}
     got = prefixtrie.list_digests(df, ["k"]).collect()
     assert {r.k: r.ends_sha256 for r in got} == want and len(got) == 4
+
+
+@needs_data
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_queries_equal_their_sql(spark, name):
+    import oracle
+
+    found = oracle.compare(QUERIES[name](spark, FOLDER), ORACLES[name], oracle.connect(FOLDER))
+    assert found == []
