@@ -4,8 +4,8 @@ A wrapper is a regular expression without union over page tokens: tags, text tha
 all pages, text slots, optional groups and repeated groups. It starts as one page of a host and
 is aligned with one page after the other; a text that differs becomes a slot, a tag that differs
 is resolved into a repeated group if the tokens before it repeat, else into an optional group.
-Slots and fixed texts tell a page's own text from the host's frame; the tags around a text tell
-the article from menus, notices and the like.
+The wrapper strikes what it fixes, wherever it stands, and records that repeat with a short name
+first, as readers' comments do; tags tell the article from menus, notices and the like.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from __future__ import annotations
 import bisect
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -25,7 +26,17 @@ from cotejo.llm.common import record_batch
 # Pages of a host that one wrapper is made from, about; larger hosts are split by hash.
 GROUP = 64
 # Places to which hosts of any size are first split.
-SALTS = 4096
+SALTS = 1 << 20
+# Hosts that are split: those with more than this share of all pages, so there are fewer than
+# LARGE of them, and with more than a few groups.
+LARGE = 1 << 16
+# Different articles that a wrapper has to be from before its fixed texts are struck, and the
+# share of an article that they may be.
+TOLD, STRUCK = 4, 0.3
+# Words of a name at the head of a reader's comment, at most.
+NAME_WORDS = 5
+# An article beside the longest one counts from this share of its text on; others are teasers.
+BESIDE = 0.25
 
 # Element names of HTML.
 RAW = ("script", "style", "noscript", "template", "iframe", "svg", "math", "object", "textarea", "select", "title", "canvas", "xmp")
@@ -45,6 +56,11 @@ MARKS = frozenset(
     "share sharing social comment comments commentlist respond disqus replies related recommended recommendations pagination pager widget toolbar skip hidden "
     "contentinfo complementary search".split()
 )
+# Last words of names for boxes, which say nothing of what is inside.
+BOXES = frozenset(
+    "area bar block body box btn button buttons container content count form group icons inner item items link links list module panel post posts "
+    "row section slot thread tools unit wrap wrapper".split()
+)
 ARTICLE_MARKS = frozenset("articlebody".split())
 
 _TOKEN = re.compile(
@@ -113,8 +129,14 @@ def _marks(attributes: str) -> tuple[frozenset, bool]:
         if name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and _HIDES.search(value)):
             hides = True
         elif name in ("class", "id", "role"):
-            parts = [p.lower() for p in _PARTS.split(value) if p]
-            words.update(p for p in parts if p in MARKS or (name == "role" and p in ("main", "article")))
+            for one in value.split():
+                parts = [p.lower() for p in _PARTS.split(one) if p]
+                words.update(p for p in parts if name == "role" and p in ("main", "article"))
+                # A name says what its last word says, or what stands before the word for a box:
+                # reader-comments and comment-list, not social-history.
+                while len(parts) > 1 and parts[-1] in BOXES:
+                    parts.pop()
+                words.update(p for p in parts[-1:] if p in MARKS)
         elif name == "itemprop" and value.lower() in ARTICLE_MARKS:
             words.add("articlebody")
     return frozenset(words), hides
@@ -137,10 +159,12 @@ def _plain(text: str) -> str:
     return " ".join(entities.unescape(text).split())
 
 
-def consume(items: list[Item], page: list[Token], at: int, fixed: list[bool] | None = None) -> int:
+def consume(items: list[Item], page: list[Token], at: int, fixed: list[Item | None] | None = None, times_of: list[int] | None = None) -> int:
     """Where ``items`` end on the page from ``at`` on, -1 if they don't fit. Greedy.
 
-    ``fixed``, if given, is set for the places of texts that are fixed in the wrapper.
+    ``fixed``, if given, gets the wrapper's item at the places of texts that are fixed in it. In
+    ``times_of`` each time of an outermost repeated group gets a number of its own, the place
+    where it begins plus one.
     """
     for item in items:
         if item.kind == "tag":
@@ -150,11 +174,14 @@ def consume(items: list[Item], page: list[Token], at: int, fixed: list[bool] | N
         elif item.kind == "text":
             if at < len(page) and page[at].key == "#":
                 if fixed is not None and item.text is not None and item.text == _plain(page[at].text):
-                    fixed[at] = True
+                    fixed[at] = item
                 at += 1
         else:
             times = 0
-            while (end := consume(item.items, page, at, fixed)) > at:
+            inner = None if item.kind == "plus" else times_of
+            while (end := consume(item.items, page, at, fixed, inner)) > at:
+                if times_of is not None and item.kind == "plus":
+                    times_of[at:end] = [at + 1] * (end - at)
                 at, times = end, times + 1
                 if item.kind == "opt":
                     break
@@ -276,21 +303,31 @@ def _slots(items: list[Item]) -> list[Item]:
 
 
 def _absorb(out: list[Item], group: Item) -> None:
-    """Earlier copies of the group just before it are further times of it."""
+    """Earlier copies of the group just before it are further times of it, but not those with a
+    text that has been the same on all pages so far."""
     size = len(group.items)
-    shape = [(w.kind, w.key) for w in group.items]
-    while len(out) >= size and [(w.kind, w.key) for w in out[-size:]] == shape:
+    shape = [(w.kind, w.key, w.text) for w in group.items]
+    while len(out) >= size and [(w.kind, w.key, w.text) for w in out[-size:]] == shape:
         del out[-size:]
 
 
 def _loosen(items: list[Item], page: list[Token], at: int) -> None:
-    fixed = [False] * len(page)
+    fixed: list[Item | None] = [None] * len(page)
     end = consume(items, page, at, fixed)
     for w in items:
         if w.kind == "text" and w.text is not None and not any(fixed[at:end]):
             w.text = None
 
 
+def shared_items(wrapper: list[Item], pages: list[list[Token]]) -> set[int]:
+    """Ids of the items whose fixed text stands on half the pages and on two at least. Texts of
+    optional groups may come from one page alone, and are then no text of the host's."""
+    seen: Counter[int] = Counter()
+    for page in pages:
+        seen.update({id(item) for item in read_by(wrapper, page)[0] if item is not None})
+    return {item for item, n in seen.items() if n >= max(2, len(pages) / 2)}
+
+
 def infer(pages: Iterator[list[Token]]) -> list[Item]:
     """Wrapper of pages of one host, one after the other; only the wrapper is held."""
     wrapper: list[Item] | None = None
@@ -299,41 +336,52 @@ def infer(pages: Iterator[list[Token]]) -> list[Item]:
     return wrapper or []
 
 
-def fixed_texts(wrapper: list[Item], page: list[Token]) -> list[bool]:
-    """For each token of the page whether it is a text that the wrapper has fixed."""
-    fixed = [False] * len(page)
+def read_by(wrapper: list[Item], page: list[Token]) -> tuple[list[Item | None], list[int]]:
+    """For each token of the page the wrapper's item if that fixes its text, and the number of the
+    time of a repeated group that it stands in, or 0."""
+    fixed: list[Item | None] = [None] * len(page)
+    times = [0] * len(page)
     at = 0
     for item in wrapper:
-        end = consume([item], page, at, fixed)
+        end = consume([item], page, at, fixed, times)
         at = max(at, end)
-    return fixed
+    return fixed, times
 
 
-def main_text(page: list[Token], fixed: list[bool] | None = None) -> str:
-    """Blocks of the article, joined by line breaks.
-
-    The article is what stands in <article>, <main> or an element with that role or property;
-    where a page has none, it is the page's own text: blocks that are no fixed text of the host's
-    wrapper and not mostly links. Menus, headers, footers, sidebars, notices, adverts, forms and
-    comments are left out either way. A header inside the article keeps its headings.
-    """
-    inside = any(_is_article(t) for t in page)
-    blocks: list[tuple[str, bool, int, int]] = []
-    stack: list[tuple[str, bool, bool, bool]] = []  # name, leaves out, article, header
+@dataclass
+class Block:
+    """Text between block tags: its article on the page (0: none), whether the wrapper fixes all
+    of it, characters in links and in all, the time of a repeated group, and whether a heading."""
+
+    text: str
+    article: int
+    fixed: bool
+    linked: int
+    size: int
+    time: int
+    heading: bool
+
+
+def blocks_of(page: list[Token], fixed: list[bool] | None = None, times: list[int] | None = None) -> list[Block]:
+    """Blocks of a page without menus, headers, footers, sidebars, notices, adverts, forms and
+    marked comments. A header inside an article keeps its headings."""
+    blocks: list[Block] = []
+    stack: list[tuple[str, bool, int, bool]] = []  # name, leaves out, article, header
     parts: list[str] = []
-    state = {"fixed": True, "linked": 0, "all": 0}
+    state = {"fixed": True, "linked": 0, "all": 0, "article": 0, "time": 0, "heading": False}
+    articles = 0
 
     def flush() -> None:
         if parts:
             text = " ".join(entities.unescape("".join(parts)).split())
             if text:
-                blocks.append((text, state["fixed"], state["linked"], state["all"]))
+                blocks.append(Block(text, state["article"], state["fixed"], state["linked"], state["all"], state["time"], state["heading"]))
             parts.clear()
         state.update(fixed=True, linked=0, all=0)
 
     for place, t in enumerate(page):
         if t.key == "#":
-            out = any(s[1] for s in stack) or (inside and not any(s[2] for s in stack))
+            out = any(s[1] for s in stack)
             header = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][3]), -1)
             if header >= 0 and not any(s[0] in HEADINGS for s in stack[header:]):
                 out = True
@@ -343,6 +391,9 @@ def main_text(page: list[Token], fixed: list[bool] | None = None) -> str:
                     state["fixed"] &= bool(fixed and fixed[place])
                     state["all"] += len(t.text)
                     state["linked"] += len(t.text) * any(s[0] == "a" for s in stack)
+                    state["article"] = next((s[2] for s in stack if s[2]), 0)
+                    state["time"] = times[place] if times else 0
+                    state["heading"] = any(s[0] in HEADINGS for s in stack)
             continue
         if t.name in BLOCK:
             flush()
@@ -366,12 +417,85 @@ def main_text(page: list[Token], fixed: list[bool] | None = None) -> str:
                 k = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] in (name, "ul", "ol", "dl", "table")), -1)
                 if k >= 0 and stack[k][0] == name:
                     del stack[k:]
-            article = _is_article(t)
+            article = 0
+            if _is_article(t):
+                articles += 1
+                article = articles
             stack.append((t.name, t.name in NOT_MAIN or (bool(t.words & MARKS) and t.name not in ("html", "body")), article, t.name == "header"))
     flush()
-    if inside:
-        return "\n".join(text for text, *_ in blocks)
-    return "\n".join(text for text, same, linked, size in blocks if not same and 2 * linked <= size)
+    return blocks
+
+
+def region_of(blocks: list[Block]) -> list[Block]:
+    """The blocks of the page's article: those in its outermost <article>, <main> or like element,
+    without teasers beside it; all blocks that are not mostly links where there is none."""
+    sizes: dict[int, int] = {}
+    for b in blocks:
+        if b.article:
+            sizes[b.article] = sizes.get(b.article, 0) + len(b.text)
+    if not sizes:
+        return [b for b in blocks if 2 * b.linked <= b.size]
+    longest = max(sizes.values())
+    return [b for b in blocks if b.article and sizes[b.article] >= BESIDE * longest]
+
+
+def _comments(blocks: list[Block]) -> set[int]:
+    """Times of repeated groups at the end of an article that are records with a short name first
+    and no heading, and have several blocks."""
+    found: set[int] = set()
+    end = len(blocks)
+    while end and blocks[end - 1].time:
+        time, start = blocks[end - 1].time, end - 1
+        while start and blocks[start - 1].time == time:
+            start -= 1
+        record = blocks[start:end]
+        if len(record) < 2 or any(b.heading for b in record) or len(record[0].text.split()) > NAME_WORDS:
+            break
+        found.add(time)
+        end = start
+    return found if end else set()
+
+
+def main_text(page: list[Token], wrapper: list[Item] | None = None, shared: set[int] = frozenset(), told: int = 0) -> tuple[str, int]:
+    """Blocks of the article, joined by line breaks, and the number of the host's texts on the page.
+
+    Of the article's blocks go those that the wrapper fixes on ``shared`` items, if it is from
+    ``TOLD`` different articles at least and no more than ``STRUCK`` of the article is so (more is
+    an article that the host has several times), and comments, which it knows as a repeated
+    group. Of a page without a marked article all such blocks go.
+    """
+    if not wrapper:
+        return "\n".join(b.text for b in region_of(blocks_of(page))), 0
+    items, times = read_by(wrapper, page)
+    fixed = [item is not None and id(item) in shared for item in items]
+    blocks = blocks_of(page, fixed, times)
+    region = region_of(blocks)
+    inside = any(b.article for b in region)
+    size, same = sum(len(b.text) for b in region), sum(len(b.text) for b in region if b.fixed)
+    strikes = not inside or (told >= TOLD and same <= STRUCK * size)
+    comments = _comments([b for b in region if not (strikes and b.fixed)])
+    kept: list[str] = []
+    follows = False
+    for b in reversed(region):
+        # A heading that all articles have stays with the text that it heads.
+        gone = strikes and b.fixed and not (inside and b.heading and follows)
+        follows = not gone and b.time not in comments
+        if follows:
+            kept.append(b.text)
+    return "\n".join(reversed(kept)), sum(fixed)
+
+
+def telling(pages: list[list[Token]]) -> list[list[Token]]:
+    """Pages with different articles: copies, and pages of which half the blocks stood on earlier
+    ones, say nothing about what is the host's."""
+    seen: set[str] = set()
+    chosen = []
+    for page in pages:
+        texts = {b.text for b in region_of(blocks_of(page))}
+        if page and (not texts or 2 * len(texts & seen) < len(texts)):
+            chosen.append(page)
+            seen |= texts
+    return chosen
 
 
 def _is_article(t: Token) -> bool:
@@ -385,32 +509,58 @@ def extract(pages: DataFrame, group: int = GROUP) -> DataFrame:
     """Main text of every row of ``pages`` (page_id, url, html).
 
     Returns page_id, url, text, n_chars, n_fixed (texts fixed in the host's wrapper), n_group
-    (different pages the wrapper is from). A null or empty html has an empty text. A null url is a host of
-    its own; repeated rows are returned each; other columns are not read; an empty table gives no
-    rows. Hosts are split by hash into groups of about ``group`` pages, so that no task holds a
-    large host; the page text goes through one shuffle.
+    (different articles the wrapper is from). A null or empty html has an empty text. A null url is
+    a host of its own; repeated rows are returned each; other columns are not read; an empty table
+    gives no rows.
+
+    Pages are dealt by a hash of (host, part) in one shuffle, sorted within tasks and read as a
+    stream; a wrapper is made from up to ``group`` pages that follow each other, so a task holds
+    no more of a host of any size. A host with more than one in ``LARGE`` of all pages has as many
+    parts as groups; fewer than ``LARGE`` hosts can have that many, and their table, which is
+    broadcast, is bounded by this.
     """
     host = F.coalesce(F.lower(F.regexp_extract("url", "^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1)), F.lit(""))
     rows = pages.select(
         F.col("page_id").cast("long").alias("page_id"), "url", "html", host.alias("host"), F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).alias("salt")
     )
-    # Salts of a host that make a group: a power of two, from counts of ids only.
-    sizes = rows.groupBy("host").agg(F.count(F.lit(1)).alias("c"))
-    parts = F.least(F.lit(SALTS), F.pow(F.lit(2), F.ceil(F.log2(F.greatest(F.col("c") / group, F.lit(1.0)))))).cast("long")
-    keyed = rows.join(sizes.select("host", parts.alias("parts")), "host").withColumn("part", F.expr("salt % parts"))
-
-    def run(table: pa.Table) -> pa.Table:
+    sizes = pages.select(host.alias("host")).groupBy("host").agg(F.count(F.lit(1)).alias("c"))
+    every = pages.agg(F.count(F.lit(1))).scalar()
+    parts = F.least(F.lit(SALTS), F.pow(F.lit(2), F.ceil(F.log2(F.col("c") / group)))).cast("long")
+    large = sizes.filter((F.col("c") > 2 * group) & (F.col("c") * LARGE > every)).select("host", parts.alias("parts"))
+    part = F.coalesce(F.expr("salt % parts"), F.lit(0).cast("long"))
+    keyed = rows.join(F.broadcast(large), "host", "left").withColumn("part", part)
+    keyed = keyed.withColumn("key", F.xxhash64("host", "part"))
+
+    def read(found: list[tuple]) -> pa.RecordBatch:
         schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64()), ("n_fixed", pa.int64()), ("n_group", pa.int64())])
-        table = table.sort_by([("page_id", "ascending")])
-        pages = [tokens(v.as_py() or "") for v in table["html"]]
-        # Copies of a page say nothing about what its host repeats.
-        distinct = list({v: page for v, page in zip(table["html"].to_pylist(), pages) if page}.values())
-        wrapper = infer(iter(distinct))
+        read_pages = [tokens(html or "") for *_, html in found]
+        told = telling(read_pages)
+        wrapper = infer(iter(told)) if len(told) > 1 else []
+        shared = shared_items(wrapper, told)
         rows = []
-        for number, url, page in zip(table["page_id"].to_pylist(), table["url"].to_pylist(), pages):
-            fixed = fixed_texts(wrapper, page) if len(distinct) > 1 else [False] * len(page)
-            text = main_text(page, fixed)
-            rows.append((number, url, text, len(text), sum(fixed), len(distinct)))
-        return pa.Table.from_batches([record_batch(schema, zip(*rows))])
-
-    return keyed.select("page_id", "url", "html", "host", "part").groupBy("host", "part").applyInArrow(run, EXTRACTED)
+        for (number, url, _), page in zip(found, read_pages):
+            text, same = main_text(page, wrapper, shared, len(told))
+            rows.append((number, url, text, len(text), same, len(told)))
+        return record_batch(schema, zip(*rows))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        last = None
+        for batch in batches:
+            columns = [batch.column(i) for i in range(5)]
+            for i in range(batch.num_rows):
+                name, number, page_id, url, html = (c[i].as_py() for c in columns)
+                if held and ((name, number) != last or len(held) >= group):
+                    yield read(held)
+                    held = []
+                last = (name, number)
+                held.append((page_id, url, html))
+        if held:
+            yield read(held)
+
+    return (
+        keyed.repartition("key")
+        .sortWithinPartitions("host", "part", "salt", "page_id")
+        .select("host", "part", "page_id", "url", "html")
+        .mapInArrow(run, EXTRACTED)
+    )
