@@ -10,12 +10,15 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from datetime import datetime, timezone
+from functools import reduce
+from operator import and_
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cotejo.llm.common import drop_ids, record_batch, stage
+from cotejo.llm.common import id_filter, mark_possible, record_batch, stage
 from cotejo.session import ensure_checkpoint_dir
 
 END = "\r\n\r\n"
@@ -88,13 +91,26 @@ def _record(kind: str, date: str, extra: list[Column], payload: Column) -> Colum
     return F.concat(head, http, payload)
 
 
-def write_archives(pages: DataFrame, path: str, least_bytes: int = 0, date: str = "2024-01-01T00:00:00Z") -> None:
-    """Write gzipped archives of ``pages`` (page_id, url, html) in which a payload lies once."""
+def _without(every: DataFrame, revisits: DataFrame) -> DataFrame:
+    """Records that are no revisits. What surely is a response, by the hash of its key, passes
+    without a shuffle; the others are compared by the key itself, so that equal hashes of two
+    records lose none."""
+    key = ["record", "page_id", "url", "payload_digest"]
+    marked = mark_possible(every, "record", id_filter(revisits, "record"), "__possible")
+    sure, other = marked.filter("not __possible").drop("__possible"), marked.filter("__possible").drop("__possible")
+    known = revisits.select(*key).distinct().alias("__r")
+    same = reduce(and_, [F.col(f"__o.{c}").eqNullSafe(F.col(f"__r.{c}")) for c in key])
+    return sure.unionByName(other.alias("__o").join(known, same, "left_anti"))
+
+
+def write_archives(pages: DataFrame, path: str, least_bytes: int = 0, date: str | None = None) -> None:
+    """Write gzipped archives of ``pages`` (page_id, url, html) in which a payload lies once.
+    ``date`` stands in all headers, by default the time of the call."""
+    date = date or f"{datetime.now(timezone.utc):%Y-%m-%dT%H:%M:%SZ}"
     every = records(pages)
     headers = stage(resolve(every.drop("payload"), least_bytes))
     revisits = headers.filter("record_type = 'revisit'")
-    # What surely is a response passes without a shuffle.
-    whole = drop_ids(every, revisits.select("record"), "record")
+    whole = _without(every, revisits)
     referring = [
         F.lit("WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest\r\n"),
         F.lit(f"WARC-Refers-To-Date: {date}\r\n"),
