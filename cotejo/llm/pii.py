@@ -47,6 +47,14 @@ DIGIT_WORDS = {
     "zéro": "0", "un": "1", "deux": "2", "trois": "3", "quatre": "4", "cinq": "5", "sept": "7", "huit": "8", "neuf": "9",
     "cero": "0", "uno": "1", "dos": "2", "tres": "3", "cuatro": "4", "cinco": "5", "seis": "6", "siete": "7", "ocho": "8", "nueve": "9",
 }
+# Words for teens and tens, which are read as two digits.
+DIGIT_WORDS |= dict(
+    zip(
+        "ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety".split(),
+        "10 11 12 13 14 15 16 17 18 19 20 30 40 50 60 70 80 90".split(),
+        strict=True,
+    )
+)
 _DIGIT = "(?:" + "|".join(sorted(DIGIT_WORDS, key=len, reverse=True)) + ")"
 
 _SPELLED = re.compile(rf"(?<!\w)(?:plus[\s-]+)?{_DIGIT}(?:[\s,.;-]{{1,3}}(?:{_DIGIT}|dot|point|[0-9]+)){{3,}}(?!\w)", re.I)
@@ -55,13 +63,28 @@ _RUN = re.compile(r"[^\W_]+")
 # ASCII signs as spaces.
 _PARTED = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
 _SPELLED_PART = re.compile(rf"{_DIGIT}|plus|dot|point|[0-9]+", re.I)
-_AT = re.compile(r"[ \t]*(?:[\[({<][ \t]*(?:at|@|arroba)[ \t]*[\])}>]|&#64;|&commat;)[ \t]*", re.I)
+_AT = re.compile(r"[ \t]*(?:[\[({<][ \t]*(?:at|@|arroba|arobase|klammeraffe)[ \t]*[\])}>]|&#64;|&commat;)[ \t]*", re.I)
 _DOT = re.compile(r"[ \t]*(?:[\[({<][ \t]*(?:dot|\.|point|punkt|punto)[ \t]*[\])}>]|&#46;|&period;)[ \t]*", re.I)
 _DIGIT_DOT = re.compile(r"(?<=[0-9])[ \t]+(?:dot|point)[ \t]+(?=[0-9])", re.I)
 # An address with words in it: name at host dot ... dot domain; a sign @ or dot may stand for a word.
 _WORDS = re.compile(r"(?<![\w.%+-])[\w.%+-]{1,64}(?:[ \t]+dot[ \t]+[\w%+-]{1,64}){0,3}([ \t]+at[ \t]+|[ \t]*@[ \t]*)[\w-]{1,63}(?:(?:[ \t]+dot[ \t]+|\.)[\w-]{1,63}){1,4}(?!\w)", re.I)
 _WORD_DOT = re.compile(r"[ \t]+dot[ \t]+", re.I)
-_BRACKET = re.compile(r"[\[({<][ \t]*(?:at|@|arroba|dot|\.|point|punkt|punto)[ \t]*[\])}>]|&#(?:64|46);|&(?:commat|period);", re.I)
+# The same in other languages, where the words for the sign @ are no words of running text.
+_FOREIGN = re.compile(
+    r"(?<![\w.%+-])[\w.%+-]{1,64}(?:[ \t]+(?:punto|point|punkt)[ \t]+[\w%+-]{1,64}){0,3}([ \t]+(?:arroba|arobase|klammeraffe)[ \t]+)"
+    r"[\w-]{1,63}(?:(?:[ \t]+(?:punto|point|punkt|dot)[ \t]+|\.)[\w-]{1,63}){1,4}(?!\w)", re.I
+)
+_FOREIGN_DOT = re.compile(r"[ \t]+(?:punto|point|punkt|dot)[ \t]+", re.I)
+_FOREIGN_AT = frozenset("arroba arobase klammeraffe".split())
+# Words joined by low lines.
+_JOINED = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9.%+-]+(?:_[A-Za-z0-9.%+-]+){0,5}?(_at_)[A-Za-z0-9-]+(?:_dot_[A-Za-z0-9-]+){1,4}(?![A-Za-z0-9_])", re.I)
+_JOINED_DOT = re.compile("_dot_", re.I)
+# Letters that look like digits, in groups of digits.
+_DIGIT_LETTERS = {"l": "1", "I": "1", "O": "0", "o": "0"}
+_MIXED = re.compile(r"(?<![A-Za-z0-9])(?=[lIOo]*[0-9])[0-9]*[lIOo][0-9lIOo]*(?![A-Za-z0-9])")
+_LETTER = re.compile("[lIOo]")
+_MAY_BE_MIXED = re.compile("[0-9][lIOo]|[lIOo][0-9]")
+_BRACKET = re.compile(r"[\[({<][ \t]*(?:at|@|arroba|arobase|klammeraffe|dot|\.|point|punkt|punto)[ \t]*[\])}>]|&#(?:64|46);|&(?:commat|period);", re.I)
 
 
 def _character_map() -> dict[str, str]:
@@ -118,11 +141,17 @@ class Finder:
         odd = not text.isascii() and self.odd.search(text) is not None
         signs = any(c in text for c in "[({<&") and _BRACKET.search(text) is not None
         dots = "dot" in words or ("point" in words and _DIGIT_DOT.search(text) is not None)
-        if not (odd or signs or dots or _may_be_spelled(text, words)):
+        mixed = _MAY_BE_MIXED.search(text) is not None and _MIXED.search(text) is not None
+        foreign = not _FOREIGN_AT.isdisjoint(words)
+        low_lines = "_dot_" in text.lower()
+        if not (odd or signs or dots or mixed or foreign or low_lines or _may_be_spelled(text, words)):
             return None
         now = (text, array("q", range(len(text))), array("q", range(1, len(text) + 1)))
         if odd:
             now = self._characters(*now)
+        if mixed or odd:
+            letters = [d.start() for m in _MIXED.finditer(now[0]) for d in _LETTER.finditer(now[0], m.start(), m.end())]
+            now = _replace(*now, [(at, at + 1, [(at, at + 1, _DIGIT_LETTERS[now[0][at]])]) for at in letters])
         edits = []
         for m in _SPELLED.finditer(now[0]):
             edits.append((m.start(), m.end(), [(p.start(), p.end(), _digits(p[0])) for p in _SPELLED_PART.finditer(now[0], m.start(), m.end())]))
@@ -130,6 +159,13 @@ class Finder:
         edits = [(m.start(), m.end(), [(m.start(), m.end(), c)]) for pattern, c in ((_AT, "@"), (_DOT, ".")) for m in pattern.finditer(now[0])]
         now = _replace(*now, sorted(edits))
         now = _replace(*now, [(m.start(), m.end(), [(m.start(), m.end(), ".")]) for m in _DIGIT_DOT.finditer(now[0])])
+        for there, pattern, dot in ((foreign or odd, _FOREIGN, _FOREIGN_DOT), (low_lines, _JOINED, _JOINED_DOT)):
+            if there:
+                edits = []
+                for m in pattern.finditer(now[0]):
+                    edits.append((m.start(1), m.end(1), [(m.start(1), m.end(1), "@")]))
+                    edits += [(d.start(), d.end(), [(d.start(), d.end(), ".")]) for d in dot.finditer(now[0], m.start(), m.end())]
+                now = _replace(*now, sorted(edits))
         new, starts, ends = now
         edits = []
         for m in _WORDS.finditer(new):
