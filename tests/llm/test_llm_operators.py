@@ -938,6 +938,10 @@ def test_queries_give_whole_tables(spark):
             assert count == pages.count()
         elif name.startswith("op6_"):
             assert count >= documents.count()
+        elif name.startswith("op13_"):
+            conversations = spark.read.parquet(f"{FOLDER}/conversations.parquet")
+            root = function(spark, FOLDER).filter("depth = 0").first()
+            assert count > root.n_convs == conversations.select("conv_id").distinct().count()
         elif not name.startswith("op10_"):
             assert count == documents.count()
 
