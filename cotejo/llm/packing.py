@@ -9,6 +9,8 @@ Only (id, length, place) rows travel, never tokens.
 from __future__ import annotations
 
 import bisect
+import contextlib
+import ctypes
 import itertools
 import os
 import sys
@@ -30,8 +32,8 @@ SLACK = 24
 PART = 1 << 16
 # Share of the pieces that a round has to finish for another round to be worth while.
 WORTH = 0.05
-# Words whose ids a worker remembers, about 200 MB.
-REMEMBERED = 900_000
+# Words whose ids a worker remembers, about 120 MB.
+REMEMBERED = 600_000
 # Bytes of text whose new words are looked up together.
 TEXT_BYTES = 4 << 20
 # Words in one text for the tokenizer.
@@ -171,6 +173,13 @@ def word_ids(file: str) -> WordIds:
     return held[1]
 
 
+def give_back() -> None:
+    """Return memory that is free to the system; a worker lives on after its task."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def pieces_of(ids: bytes, capacity: int) -> Iterator[tuple[int, int, int, int]]:
     """piece, start, length and CRC-32 of each piece of a document's ids."""
     total = len(ids) // 4
@@ -200,6 +209,7 @@ def pack(docs: DataFrame, tokenizer_file: str, capacity: int = CAPACITY, slack:
             found = [(doc, *piece) for doc, ids in zip(batch.column(0).to_pylist(), texts) for piece in pieces_of(ids + tail, capacity)]
             if found:
                 yield record_batch(pa.schema(fields), zip(*found))
+        give_back()
 
     pieces = stage(docs.selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(tokenize, PIECES))
     return pack_pieces(pieces, capacity, slack, part)
