@@ -4,7 +4,9 @@ There are no broadcast hints in this package: the planner broadcasts a side only
 size, by statistics or as measured by AQE, is under ``spark.sql.autoBroadcastJoinThreshold``,
 and shuffles both sides otherwise. For a hot key on the fact side of a shuffled join,
 ``salts`` collapses equal rows to one with a count, spreads the different ones by a hash of the
-row, and unfolds them after the join; a task that runs twice gives the same rows.
+row, and unfolds them after the join; a task that runs twice gives the same rows. Such a join
+is always shuffled: statistics do not count the copies of the lookup rows, and a lookup that
+is just under the threshold would be broadcast ``salts`` times as large.
 """
 
 from __future__ import annotations
@@ -38,7 +40,7 @@ def lookup_join(
     salted_fact = counted.withColumn("__salt", F.pmod(F.xxhash64(*fact.columns), F.lit(salts)).cast("int"))
     copies = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
     salted_dim = dim.withColumn("__salt", copies)
-    joined = salted_fact.join(salted_dim, [*on, "__salt"], how).drop("__salt")
+    joined = salted_fact.join(salted_dim.hint("merge"), [*on, "__salt"], how).drop("__salt")
     unfolded = _unfold(joined, "__n")
     if how in ("inner", "left_semi"):
         return unfolded

@@ -106,3 +106,12 @@ def test_html_attributes(spark):
     row = dashboard.with_html_params(df, "html").withColumn("config", dashboard.html_text_of("html", "textarea", "x")).first()
     assert row.params == {"host_url": "https://a+b", "plain": "1+1", "q": "a>b &lt;"}
     assert row.config == '{"a": 1}'
+
+
+def test_salted_lookup_is_not_broadcast_with_its_copies(spark):
+    fact = spark.range(1000).select((F.col("id") % 7).alias("k"), "id")
+    dim = spark.range(100_000).select(F.col("id").alias("k"), F.lit("x").alias("name"))
+    joined = joins.lookup_join(fact, dim, ["k"], salts=16)
+    assert joined.count() == 1000
+    # The lookup alone is small enough to be broadcast, its copies are not.
+    assert "BroadcastHashJoin" not in joined._jdf.queryExecution().toString()
