@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cotejo.functions.arrays import spread, spread_structs
-from cotejo.functions.markup import unescape
+from cotejo.functions.markup import bound, unescape
 from cotejo.functions.text import _col
 
 _COLUMN = "tupleIds: array<int>, valueIndices: array<int>, aliasIndices: array<int>"
@@ -115,7 +115,7 @@ def with_html_attributes(df: DataFrame, html: str, tag: str, key: str, value: st
     def attribute(text: Column, name: str) -> Column:
         raw = F.regexp_extract(text, rf"(?is)\s{name}\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)", 1)
         plain = unescape(F.regexp_replace(raw, "^[\"']|[\"']$", ""))
-        return F.coalesce(F.try_url_decode(F.replace(plain, F.lit("+"), F.lit("%2B"))), plain)
+        return bound(plain, lambda t: F.coalesce(F.try_url_decode(F.replace(t, F.lit("+"), F.lit("%2B"))), t))
 
     pattern = rf"(?is)(<{tag}\b(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>)"
     tags = F.filter(
@@ -136,7 +136,8 @@ def with_html_attributes(df: DataFrame, html: str, tag: str, key: str, value: st
 def html_text_of(c: Column | str, tag: str, element_id: str | None = None) -> Column:
     """Text inside the first tag of a kind, optionally the one with an id; null if there is none."""
     where = rf"[^>]*\bid\s*=\s*[\"']{element_id}[\"'][^>]*" if element_id else "[^>]*"
-    return F.nullif(unescape(F.regexp_extract(_col(c), rf"(?is)<{tag}\b{where}>(.*?)</{tag}>", 1)), F.lit(""))
+    text = F.regexp_extract(_col(c), rf"(?is)<{tag}\b{where}>(.*?)</{tag}>", 1)
+    return bound(unescape(text), lambda t: F.when(t != "", t))
 
 
 def with_html_params(df: DataFrame, html: str, into: str = "params") -> DataFrame:

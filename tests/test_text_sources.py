@@ -2,6 +2,8 @@
 
 import csv
 import html
+import html.entities
+import json
 import io
 import random
 from datetime import date, datetime
@@ -10,6 +12,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from cotejo.functions import markup
 from cotejo.functions.markup import unescape
 from cotejo.operators import joins, reconcile
 from cotejo.sources import delimited as dl
@@ -169,3 +172,10 @@ def test_two_decimal_types_meet_in_the_wider_one(spark):
     assert reconcile.common_type([f.dataType for f in spark.createDataFrame([], "a decimal(18,2), b decimal(28,6), c int").schema]) == "decimal(28,6)"
     assert reconcile.common_type([f.dataType for f in spark.createDataFrame([], "a decimal(38,0), b decimal(38,30)").schema]) == "double"
     assert reconcile.common_type([f.dataType for f in spark.createDataFrame([], "a double, b int").schema]) == "double"
+
+
+def test_names_lie_in_small_maps(values):
+    buckets = json.loads(markup._named()[0])
+    assert sum(map(len, buckets)) == len(html.entities.html5) and max(map(len, buckets)) <= 16
+    names = [f"&{n}" for n in html.entities.html5]
+    assert values(names, unescape("c")) == [html.unescape(n) for n in names]
