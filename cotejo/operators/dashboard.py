@@ -64,10 +64,15 @@ INFO_SCHEMA = (
     "namesOfSubsheets: array<string>, windowId: string>>, "
     f"dashboardPresModel: struct<zones: {ZONES}>>>>"
 )
-RESPONSE_SCHEMA = (
-    "vqlCmdResponse struct<layoutStatus: struct<applicationPresModel: struct<"
-    f"dataDictionary: struct<dataSegments: {SEGMENTS}>, "
-    f"workbookPresModel: struct<dashboardPresModel: struct<zones: {ZONES}>>>>>"
+_RESPONSE = "vqlCmdResponse struct<layoutStatus: struct<applicationPresModel: struct<{}>>>"
+_RESPONSE_SEGMENTS = f"dataDictionary: struct<dataSegments: {SEGMENTS}>"
+_RESPONSE_ZONES = "workbookPresModel: struct<dashboardPresModel: struct<zones: {}>>"
+RESPONSE_SCHEMA = _RESPONSE.format(f"{_RESPONSE_SEGMENTS}, {_RESPONSE_ZONES.format(ZONES)}")
+SEGMENTS_SCHEMA = _RESPONSE.format(_RESPONSE_SEGMENTS)
+ZONES_SCHEMA = _RESPONSE.format(_RESPONSE_ZONES.format(ZONES))
+# Zones and whether they have data, without the data: the one field is never there.
+SEEN_SCHEMA = _RESPONSE.format(
+    _RESPONSE_ZONES.format("map<string, struct<presModelHolder: struct<visual: struct<vizData: struct<`/`: string>>>>>")
 )
 _FLAT_COLUMN = (
     "fieldCaption: string, valueIndices: array<int>, aliasIndices: array<int>, dataType: string, fn: string"
@@ -164,8 +169,9 @@ def parse_info(c: Column | str) -> Column:
     return F.from_json(_col(c), INFO_SCHEMA)
 
 
-def parse_response(c: Column | str) -> Column:
-    return F.from_json(_col(c), RESPONSE_SCHEMA)
+def parse_response(c: Column | str, schema: str = RESPONSE_SCHEMA) -> Column:
+    """A command response, or the parts of it that ``schema`` has."""
+    return F.from_json(_col(c), schema)
 
 
 def parse_download(c: Column | str) -> Column:

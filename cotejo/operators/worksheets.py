@@ -210,16 +210,26 @@ def _segments_of(df: DataFrame, kept: Sequence[str], segments: Column) -> DataFr
     )
 
 
-def _zones_of(df: DataFrame, kept: Sequence[str], zones: Column) -> DataFrame:
-    """One row per zone that is not null: its place and id, worksheet, panes (null without
-    data), and the sheets of its own story (null where it is none)."""
+def _zone_rows(df: DataFrame, kept: Sequence[str], zones: Column) -> DataFrame:
+    """One row per zone that is not null: its place and its entry ``__e``."""
     entries = F.filter(F.coalesce(F.map_entries(zones), F.array()), lambda e: e["value"].isNotNull())
-    listed = spread(df, kept, entries, "__e", position="place")
+    return spread(df, kept, entries, "__e", position="place")
+
+
+def _seen_of(df: DataFrame, kept: Sequence[str], zones: Column) -> DataFrame:
+    """One row per zone that is not null: its id and place, and whether it has data."""
+    has_data = F.col("__e.value.presModelHolder.visual.vizData").isNotNull()
+    return _zone_rows(df, kept, zones).select(*kept, F.col("__e.key").alias("zone"), "place", has_data.alias("has_data"))
+
+
+def _zones_of(df: DataFrame, kept: Sequence[str], zones: Column) -> DataFrame:
+    """One row per zone that is not null: its id, worksheet, panes (null without data), and the
+    sheets of its own story (null where it is none)."""
+    listed = _zone_rows(df, kept, zones)
     holder = F.col("__e.value.presModelHolder")
     story = dashboard.zone_panes(dashboard.story_zones(F.map_from_entries(F.array("__e"))))
     return listed.select(
         *kept,
-        "place",
         F.col("__e.key").alias("zone"),
         F.col("__e.value.worksheet").alias("worksheet"),
         holder["visual"]["vizData"].isNotNull().alias("has_data"),
@@ -239,7 +249,8 @@ def session_dictionary(
     by (keys, segment) that tasks begin before the shuffle, so that a session with many
     responses sends one row per segment and task. Only these rows meet per session.
     """
-    parsed = responses.select(*keys, F.col(step).alias("__step"), dashboard.parse_response(payload).alias("__d"))
+    document = dashboard.parse_response(payload, dashboard.SEGMENTS_SCHEMA)
+    parsed = responses.select(*keys, F.col(step).alias("__step"), document.alias("__d"))
     rows = _segments_of(parsed, [*keys, "__step"], dashboard.response_segments(F.col("__d")))
     if bootstrap is not None:
         first = bootstrap.select(*keys, F.lit(BEFORE).cast("long").alias("__step"), dashboard.parse_data(data).alias("__d"))
@@ -261,17 +272,23 @@ def session_zones(
     The zones are those of the newest response. One without data has the content of the response
     before, as long as the zone was in each response since: its newest content with data since
     it last appeared, or else the one it appeared with. Which step's content a zone has is found
-    on rows without content; contents are then joined by (keys, zone, step).
+    on rows without content, for which no content is parsed; contents are then joined by (keys, zone, step).
     """
     steps = responses.select(*keys, F.col(step).alias("__step"))
     by_session = Window.partitionBy(*keys).orderBy("__step")
     steps = steps.select(*keys, "__step", F.coalesce(F.lag("__step").over(by_session), F.lit(BEFORE)).alias("__before"))
-    parsed = responses.select(*keys, F.col(step).alias("__step"), dashboard.parse_response(payload).alias("__d"))
-    zones = _zones_of(parsed, [*keys, "__step"], dashboard.response_zones(F.col("__d")))
+    kept = [*keys, "__step"]
+
+    def zones_in(schema, listed):
+        parsed = responses.select(*keys, F.col(step).alias("__step"), dashboard.parse_response(payload, schema).alias("__d"))
+        return listed(parsed, kept, dashboard.response_zones(F.col("__d")))
+
+    zones, seen = zones_in(dashboard.ZONES_SCHEMA, _zones_of), zones_in(dashboard.SEEN_SCHEMA, _seen_of)
     if bootstrap is not None:
         first = bootstrap.select(*keys, F.lit(BEFORE).cast("long").alias("__step"), dashboard.parse_info(info).alias("__i"))
-        zones = zones.unionByName(_zones_of(first, [*keys, "__step"], dashboard.info_zones(F.col("__i"))))
-    seen = zones.select(*keys, "__step", "zone", "place", "has_data").join(steps, [*keys, "__step"], "left")
+        zones = zones.unionByName(_zones_of(first, kept, dashboard.info_zones(F.col("__i"))))
+        seen = seen.unionByName(_seen_of(first, kept, dashboard.info_zones(F.col("__i"))))
+    seen = seen.join(steps, kept, "left")
     by_zone = Window.partitionBy(*keys, "zone").orderBy("__step")
     appears = F.coalesce(F.lag("__step").over(by_zone) != F.col("__before"), F.lit(True)).cast("long")
     seen = seen.withColumn("__appears", appears).withColumn("__run", F.sum("__appears").over(by_zone))
@@ -282,7 +299,7 @@ def session_zones(
     )
     newest = steps.groupBy(*keys).agg(F.max("__step").alias("__last"))
     chosen = chosen.join(newest, [*keys, "__last"]).drop("__last").withColumnRenamed("__from", "__step")
-    return zones.drop("place").join(chosen, [*keys, "zone", "__step"]).select(
+    return zones.join(chosen, [*keys, "zone", "__step"]).select(
         *keys, "place", "zone", "worksheet", "has_data", "panes", "story"
     )
 

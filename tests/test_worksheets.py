@@ -196,3 +196,11 @@ def test_interleaving_segments_keep_their_place(spark):
     df = spark.createDataFrame([(1, i, response(z, s)) for i, (s, z) in enumerate(steps)], "session int, step int, payload string")
     got = ws.decode_all(ws.open_sessions(df, ["session"], "step", "payload"), ["session"])
     assert [r.value for r in got.orderBy("row_no").collect()] == ["b2", "a0", "c0"]
+
+
+def test_sessions_parse_only_the_parts_they_read(spark):
+    df = spark.createDataFrame([("s", 1, "{}")], "session string, step long, payload string")
+    lines = ws.open_sessions(df, ["session"], "step", "payload")._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    parsed = [line for line in lines if "from_json" in line]
+    assert len(parsed) == 3
+    assert sum("dataValues" in p for p in parsed) == 1 and sum("vizPaneColumns" in p for p in parsed) == 1
