@@ -962,3 +962,10 @@ def test_pipeline_against_brute_force(spark):
     kept = {i: pii.redact_text(t, sum(finder.spans(t), [])) for i, t in kept.items()}
     check_packing(corpus_pipeline.run(spark, FOLDER).collect(), list(kept.items()))
     assert [name for name, _ in corpus_pipeline.STAGES] == ["quality", "near_duplicates", "decontamination", "personal_data", "packing"]
+
+
+def test_sorted_distinct_keys():
+    rng = np.random.default_rng(1)
+    for n in (0, 1, 2, 50, 1000):
+        keys = rng.integers(0, 1 << 64, n, np.uint64) >> np.uint64(rng.integers(0, 60))
+        assert common.sorted_distinct(keys).tolist() == np.unique(keys).tolist()
