@@ -52,7 +52,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents with their place in sequences of 4096 tokens."""
     small_memory(spark)
-    return packing.pack(docs, tokenizer_file())
+    return packing.pack(docs, tokenizer_file(), lean=True)
 
 
 STAGES = [

@@ -969,3 +969,35 @@ def test_sorted_distinct_keys():
     for n in (0, 1, 2, 50, 1000):
         keys = rng.integers(0, 1 << 64, n, np.uint64) >> np.uint64(rng.integers(0, 60))
         assert common.sorted_distinct(keys).tolist() == np.unique(keys).tolist()
+
+
+def test_parts_of_words_are_looked_up_once(monkeypatch):
+    """Words that differ from known ones in case or signs only cost no look-up of their letters."""
+    looked_up = []
+    encode = packing.WordIds._encode
+
+    def counted(self, parts):
+        looked_up.append(len(parts))
+        return encode(self, parts)
+
+    monkeypatch.setattr(packing.WordIds, "_encode", counted)
+    words, fresh = packing.WordIds(tokenizer_file()), packing.WordIds(tokenizer_file())
+    words(b"alpha beta Gamma !! ...")
+    looked_up.clear()
+    got = words(b"ALPHA!! beta... gamma!! Beta... gAMMA")
+    assert sum(looked_up) == 0
+    assert got == b"".join(fresh(w) for w in (b"alpha!!", b"beta...", b"gamma!!", b"beta...", b"gamma"))
+
+
+def test_ids_of_neighbouring_texts_are_those_of_each(monkeypatch):
+    """Nulls, empty texts, bytes that are no UTF-8, signs only, and words that stay whole; in batches of any size."""
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(tokenizer_file())
+    texts = ["", " \t\n ", "J\u030c!! J\u030c x", "!!! ?", "\u00c9T\u00c9%% \u0130x... \u00bd!", "<|startoftext|> <|STARTOFTEXT|>!", "a\x1cb \x7f!! 5%", prose(3, 80)]
+    want = [np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    for size in (1, 100, 1 << 20):
+        monkeypatch.setattr(packing, "TEXT_BYTES", size)
+        words = packing.WordIds(tokenizer_file())
+        assert list(words.of_texts([None, *(t.encode() for t in texts)])) == [b"", *want]
+    assert words(b"a\xff b!") == words("a\ufffd b!".encode())
