@@ -257,19 +257,23 @@ def _settled(e: DataFrame) -> bool:
 def components(edges: DataFrame, most_rounds: int = 60, chunk: int = CHUNK) -> DataFrame:
     """Connected components of (a, b) links as (v, component), component the smallest id.
 
-    Alternating star contraction: every round is two aggregations and two joins on ids, and the
-    number of rounds grows with the logarithm of a component's size. Before each round tasks
-    replace the links they read by stars, twice, as the scan packs what the first pass left
-    anew. Every step keeps the connections, so links that are stars are the components. Links
-    never leave Spark.
+    Tasks of ``chunk`` links replace the links they read by stars; once one task holds all that
+    is left, these are the components. Between two such passes more links are contracted by
+    alternating stars: a round is two aggregations and two joins on ids, and the number of rounds
+    grows with the logarithm of a component's size. Every step keeps the connections, so links
+    that are stars are the components. Links never leave Spark.
     """
     e = stage(
         edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct()
     )
     for _ in range(most_rounds):
+        tasks = 2
         for _ in range(2):
-            e = stage(_joined_locally(e, chunk), rows=1 << 16)
-        if _settled(e):
+            # A shuffle of few links in many partitions costs the driver more than the links do.
+            if tasks > 1:
+                tasks = max(1, -(-e.count() // chunk))
+                e = stage(_joined_locally(e.coalesce(tasks), chunk), rows=1 << 16)
+        if tasks == 1 or _settled(e):
             break
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))

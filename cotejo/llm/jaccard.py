@@ -175,7 +175,7 @@ def _buckets(sets: DataFrame, percent: int) -> DataFrame:
 def _verify(docs: DataFrame, pairs: DataFrame, sets: DataFrame, percent: int, size: int) -> DataFrame:
     """Pairs (a, b) of ids whose whole sets are similar enough."""
     ids = pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep"))).distinct()
-    wanted = sets.join(ids, "rep", "left_semi").select("rep", "s")
+    wanted = stage(sets.join(ids, "rep", "left_semi").select("rep", "s"))
     rows = docs.selectExpr("cast(doc_id as long) rep", "text")
     texts = keep_ids(rows, wanted, "rep").join(wanted, "rep")
 
@@ -260,10 +260,10 @@ def _across(docs: DataFrame, buckets: DataFrame, sets: DataFrame, tried: DataFra
     listed = buckets.select("h", "g", "n", "pos").join(kinds.drop("n"), "g").select("h", "g", "n", "pos", "k", "m").unionByName(alone)
     totals = listed.groupBy("h").agg(F.min("k").alias("low"), F.max("k").alias("high"), F.sum("m").alias("total"))
     listed = stage(listed.join(totals.filter("low <> high").select("h", "total"), "h"))
-    pairs = _short_lists(listed.filter(F.col("total") <= RARE), members, percent).join(tried, ["a", "b"], "left_anti")
-    return _verify(docs, pairs, sets, percent, size).unionByName(
-        _long_lists(docs, listed.filter(F.col("total") > RARE), members, percent, size)
-    )
+    # Each part is staged by itself: the driver holds the plan of a job, and draws it anew after every shuffle.
+    pairs = stage(_short_lists(listed.filter(F.col("total") <= RARE), members, percent).join(tried, ["a", "b"], "left_anti"))
+    short = stage(_verify(docs, pairs, sets, percent, size))
+    return short.unionByName(_long_lists(docs, listed.filter(F.col("total") > RARE), members, percent, size))
 
 
 def _short_lists(listed: DataFrame, members: DataFrame, percent: int) -> DataFrame:

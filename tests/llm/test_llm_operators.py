@@ -1001,3 +1001,21 @@ def test_ids_of_neighbouring_texts_are_those_of_each(monkeypatch):
         words = packing.WordIds(tokenizer_file())
         assert list(words.of_texts([None, *(t.encode() for t in texts)])) == [b"", *want]
     assert words(b"a\xff b!") == words("a\ufffd b!".encode())
+
+
+def test_few_links_take_few_jobs(spark):
+    """Links that one task holds are joined there: no rounds of shuffles, which cost the driver its memory."""
+    settings = {"spark.sql.files.maxPartitionBytes": "1k", "spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    edges = spark.range(400).selectExpr("id a", "id + 1 b").filter("a % 40 <> 39").repartition(8)
+    spark.sparkContext.setJobGroup("few-links", "test")
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        found = common.components(edges)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("few-links")) <= 8
+    assert sorted(map(tuple, found.collect())) == [(i, i - i % 40) for i in range(400)]
